@@ -5,7 +5,8 @@
 1. range-partition on the ordering columns and sort inside each partition,
 2. tag each row with its partition and its position inside the partition (``monotonically_increasing_id``
    is ``partition << 33 | position``),
-3. checkpoint, so the partitioning and positions are fixed even if a task is retried on another executor,
+3. write the tagged rows to the shared checkpoint folder, so partitioning and positions are fixed even if a
+   task is retried on another executor,
 4. count rows per partition (one row per partition, the only thing that reaches the driver), prefix-sum the
    counts, and add the partition's offset to each row's position.
 
@@ -19,7 +20,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.session import checkpoint_dir
+from starload.session import checkpoint_dir, materialize
 
 _PID = "__sk_pid"
 _MID = "__sk_mid"
@@ -52,11 +53,11 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
     )
-    # Reliable checkpoint: positions must not change between the count job and the final job, also when
-    # an executor is lost and the stage is recomputed.
-    fixed = ranged.checkpoint(eager=True)
+    # Materialised on shared storage: positions must not change between the count job and the final job,
+    # also when an executor is lost and a stage is recomputed.
+    fixed = materialize(ranged, "keys")
     counts = {r[0]: r[1] for r in fixed.groupBy(_PID).count().collect()}
-    n_parts = fixed.rdd.getNumPartitions()
+    n_parts = max(counts) + 1 if counts else 1
     sizes = [counts.get(p, 0) for p in range(n_parts)]
     offsets = [start] + [start + s for s in list(accumulate(sizes))[:-1]]
     offset_col = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)

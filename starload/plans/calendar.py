@@ -45,7 +45,7 @@ def normalise_holidays(raw: DataFrame) -> DataFrame:
     events the choice is deterministic: a national holiday wins over other events, then the lowest name.
     """
     r = raw.select(
-        F.try_cast(F.nullif(strip_dashes("event_date"), F.lit("")), "int").alias("date_id"),
+        F.nullif(strip_dashes("event_date"), F.lit("")).try_cast("int").alias("date_id"),
         F.col("event_name"),
         holiday_label(F.coalesce(F.col("is_national_holiday"), F.lit(False))).alias("is_holiday"),
     ).where(F.col("date_id").isNotNull())

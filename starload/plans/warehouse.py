@@ -2,13 +2,13 @@
 
 Order follows the dependencies: location before customer, SKU independent; device and channel independent;
 each fact after its dimensions; the summary last.  Every table is returned whole as a DataFrame; with
-``persist=True`` the new state is checkpointed into the shared checkpoint directory so the next batch does
-not re-run this batch's lineage (and survives executor loss).
+``persist=True`` each new table is written once as parquet under the shared checkpoint directory, so the next
+batch does not re-run this batch's lineage (and survives executor loss).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +34,9 @@ from starload.schemas import (
     FCT_PERIODIC_SUMMARY,
     FCT_SALES,
     FCT_TRAFFIC,
+    empty_frame,
 )
-from starload.session import checkpoint_dir
+from starload.session import checkpoint_dir, materialize, spread
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ class Warehouse:
 
 
 def empty_warehouse(spark: SparkSession) -> Warehouse:
-    e = lambda s: spark.createDataFrame([], s)
+    e = lambda s: empty_frame(spark, s)
     return Warehouse(e(DIM_LOCATION), e(DIM_CUSTOMER), e(DIM_SKU), e(DIM_DEVICE), e(DIM_CHANNEL), e(FCT_SALES),
                      e(FCT_TRAFFIC), e(FCT_PERIODIC_SUMMARY), e(FCT_SALES), e(FCT_TRAFFIC))
 
@@ -89,42 +90,47 @@ def load_traffic_dims(w: Warehouse, traffic: DataFrame) -> Warehouse:
     return replace(w, dim_device=load_device(w.dim_device, traffic), dim_channel=load_channel(w.dim_channel, traffic))
 
 
-def _persist(w: Warehouse) -> Warehouse:
-    """Reliable checkpoint of every table: cuts lineage between batches; files live in the shared
-    checkpoint directory."""
-    return Warehouse(**{f.name: getattr(w, f.name).checkpoint(eager=True) for f in fields(w)})
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a batch once (a staging table in the shared checkpoint directory): every dimension, the
+    fact and the touched dates read it, and key assignment reads it twice, so the upstream work (parsing,
+    joins) is not repeated."""
+    return materialize(spread(df), "stage")
 
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
               fact_mode: str = "active", persist: bool = True) -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
-    Empty or missing inputs skip their branch (and the summary when there are no orders).
+    Empty or missing inputs skip their branch (and the summary when there are no orders).  With
+    ``persist=True`` each new table is written once, so later batches start from files, not lineage.
     """
     checkpoint_dir(spark)
+    keep = (lambda df: materialize(df, "warehouse")) if persist else (lambda df: df)
+    orders = stage(orders) if orders is not None else None
+    traffic = stage(traffic) if traffic is not None else None
     has_orders = orders is not None and not orders.isEmpty()
     has_traffic = traffic is not None and not traffic.isEmpty()
     if has_orders:
         w = load_sales_dims(w, orders)
-        if persist:
-            w = replace(w, dim_location=w.dim_location.checkpoint(), dim_customer=w.dim_customer.checkpoint(),
-                        dim_sku=w.dim_sku.checkpoint())
+        w = replace(w, dim_location=keep(w.dim_location), dim_customer=keep(w.dim_customer),
+                    dim_sku=keep(w.dim_sku))
         sales, bad_sales = build_fct_sales(orders, w.dim_location, w.dim_customer, w.dim_sku, fact_mode)
-        w = replace(w, fct_sales=merge_upsert(w.fct_sales, sales, ["line_item_id"], preserve=["created_at"],
-                                              order="updated_at"),
-                    quarantine_sales=w.quarantine_sales.unionByName(bad_sales))
+        w = replace(w, fct_sales=keep(merge_upsert(w.fct_sales, sales, ["line_item_id"], preserve=["created_at"],
+                                                   order="updated_at")),
+                    quarantine_sales=keep(w.quarantine_sales.unionByName(bad_sales)))
     if has_traffic:
         w = load_traffic_dims(w, traffic)
+        w = replace(w, dim_device=keep(w.dim_device), dim_channel=keep(w.dim_channel))
         t, bad_t = build_fct_traffic(traffic, w.dim_channel, w.dim_device)
-        w = replace(w, fct_traffic=merge_upsert(w.fct_traffic, t, ["session_id"], preserve=["created_at"],
-                                                order="updated_at"),
-                    quarantine_traffic=w.quarantine_traffic.unionByName(bad_t))
+        w = replace(w, fct_traffic=keep(merge_upsert(w.fct_traffic, t, ["session_id"], preserve=["created_at"],
+                                                     order="updated_at")),
+                    quarantine_traffic=keep(w.quarantine_traffic.unionByName(bad_t)))
     if has_orders:
         dates = touched_dates(orders, "order_time")
         summary = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer)
-        w = replace(w, fct_periodic_summary=merge_upsert(w.fct_periodic_summary, summary.select(
-            *FCT_PERIODIC_SUMMARY.names), ["date_id"]))
-    return _persist(w) if persist else w
+        w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
+            *FCT_PERIODIC_SUMMARY.names), ["date_id"])))
+    return w
 
 
 def revenue_by_day_and_country(w: Warehouse) -> DataFrame:

@@ -287,11 +287,12 @@ def queries() -> dict[str, str]:
         {TS(f'(visit_time // {WINDOW}) * {WINDOW}')} window_start, count(*) sessions,
         cast(sum(page_views) as bigint) page_views from stg_traffic group by 1, 2"""
 
-    cal_cols = """cast(strftime(d, '%Y%m%d') as int) date_id, d as date,
-        strftime(d, '%A, %-d %B %Y') full_date_description, cast(year(d) as smallint) year,
-        cast(quarter(d) as smallint) quarter, cast(month(d) as smallint) month, cast(day(d) as smallint) day,
-        cast(isodow(d) as smallint) day_of_week, strftime(d, '%A') calendar_day_of_week,
-        strftime(d, '%B') calendar_month, case when isodow(d) in (6, 7) then 'Weekend' else 'Weekday' end is_weekend"""
+    cal_cols = """cast(strftime(d, '%Y%m%d') as int) as date_id, d as date,
+        strftime(d, '%A, %-d %B %Y') as full_date_description, cast(year(d) as smallint) as "year",
+        cast(quarter(d) as smallint) as "quarter", cast(month(d) as smallint) as "month",
+        cast(day(d) as smallint) as "day", cast(isodow(d) as smallint) as day_of_week,
+        strftime(d, '%A') as calendar_day_of_week, strftime(d, '%B') as calendar_month,
+        case when isodow(d) in (6, 7) then 'Weekend' else 'Weekday' end as is_weekend"""
     sentinels = """union all select -1, null, 'Not Entered', null, null, null, null, null, null, null, null, null, null
         union all select -2, null, 'Error', null, null, null, null, null, null, null, null, null, null"""
     out["dim_date"] = sql_with() + f"""select {cal_cols}, '{DEFAULT_EVENT_NAME}' event_name,
@@ -354,7 +355,7 @@ def queries() -> dict[str, str]:
     out["merge_sales"] = q.render(_sel(w2["fs"]))
     out["merge_traffic"] = q.render(_sel(w2["ft"]))
     out["merge_summary"] = q.render(_sel(w2["sum"]))
-    asof, _ = fct_sales(q, "asof", "stg_orders_b2", w2["loc"], w2["cust"], w2["sku"], mode="asof")
+    asof, _ = fct_sales(q, "sales_asof", "stg_orders_b2", w2["loc"], w2["cust"], w2["sku"], mode="asof")
     out["fct_sales_asof"] = q.render(_sel(asof))
     out["check_foreign_key"] = q.render(f"""select f.* from {w1['fs']} f where f.customer_id is not null and
         not exists (select 1 from (select * from {w2['cust']} where current_row_indicator = 'Active') c

@@ -28,7 +28,7 @@ from starload.plans.warehouse import (
     revenue_by_day_and_country,
     run_batch,
 )
-from starload.session import prepare, scratch_path
+from starload.session import materialize, prepare, scratch_path
 from starload.sources import bindings as B
 from starload.sources.landing import (
     ingest_orders,
@@ -39,7 +39,7 @@ from starload.sources.landing import (
     read_traffic,
     validate_orders,
 )
-from starload.schemas import DIM_CUSTOMER, DIM_SKU, STG_ORDERS, STG_TRAFFIC
+from starload.schemas import DIM_CUSTOMER, DIM_SKU, STG_ORDERS, STG_TRAFFIC, empty_frame
 from starload.streaming.ingest import stream_ingest_to_table
 
 
@@ -208,9 +208,9 @@ def surrogate_keys_q(spark, d):
 
 
 def _v1(spark, d, kind):
-    e = spark.createDataFrame([], DIM_CUSTOMER if kind == "customer" else DIM_SKU)
+    e = empty_frame(spark, DIM_CUSTOMER if kind == "customer" else DIM_SKU)
     f = load_customer if kind == "customer" else load_sku
-    return f(e, B.orders_batch1(spark, d)).checkpoint()
+    return materialize(f(e, B.orders_batch1(spark, d)), "dim")
 
 
 def _changes(spark, d, kind):
@@ -269,9 +269,9 @@ def scd2_parity_all_versions(spark, d):
     latest sighting, close only open versions."""
     spark = _s(spark)
     kw = dict(compare="all", eff="max", recompute=False)
-    c = spark.createDataFrame([], DIM_CUSTOMER)
-    c = load_customer(c, B.orders_batch1(spark, d), **kw).checkpoint()
-    c = load_customer(c, B.stg_orders_b2(spark, d), **kw).checkpoint()
+    c = empty_frame(spark, DIM_CUSTOMER)
+    c = materialize(load_customer(c, B.orders_batch1(spark, d), **kw), "dim")
+    c = materialize(load_customer(c, B.stg_orders_b2(spark, d), **kw), "dim")
     return load_customer(c, B.stg_orders_b2(spark, d), **kw)
 
 

@@ -99,3 +99,11 @@ FCT_PERIODIC_SUMMARY = _struct(
     ("gross_profit", AMOUNT), ("page_views", L), ("num_sessions", L), ("session_duration", AMOUNT),
     ("clicks", L), ("transactions", L),
 )
+
+
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame with ``schema``.  Built from ``range(0)`` so the optimizer sees an empty local
+    relation (no tasks, no Python data source) and folds joins and aggregates over it."""
+    from pyspark.sql import functions as F
+
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -65,3 +65,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint directory."""
     return f"{checkpoint_dir(spark).rstrip('/')}/starload/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df):
+    """Round-robin a frame over the cluster's cores when its scan yields fewer partitions than cores (a file
+    written as one row group is read by one task).  With many input files this is a no-op, so it never adds a
+    shuffle to a large, well-split input."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as parquet under the shared checkpoint directory and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor recomputes nothing upstream; the files are on
+    shared storage), costs one job instead of two, and later scans get column pruning and pushed filters.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

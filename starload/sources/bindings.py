@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.schemas import COORD, MONEY, STG_ORDERS, STG_TRAFFIC
+from starload.session import spread
 
 # Fixed values of the bindings: 2024-01-01 00:00:00 UTC, one day in seconds, the batch boundaries (day 15 ends
 # batch 1, day 14 starts batch 2, so day 14 is replayed).
@@ -26,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sales line, flat, in the staging schema."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                        "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size", "p_type", "p_retailprice")
@@ -89,7 +91,7 @@ def stg_orders_b2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per web session, in the staging schema."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     u = F.col("user_id")
     et = F.col("event_type")
     out = e.select(

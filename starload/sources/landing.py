@@ -86,12 +86,12 @@ def read_holidays(spark: SparkSession, path: str, json_array: bool = False) -> D
 
 def _int(c: str) -> Column:
     """Lax integer: '14', 14 and 14.0 are 14; '14.5' or 'abc' are invalid (NULL)."""
-    d = F.try_cast(F.col(c), "decimal(38,6)")
+    d = (F.col(c)).try_cast("decimal(38,6)")
     return F.when(d == F.floor(d), d.cast("bigint"))
 
 
 def _num(c: str, t: T.DataType) -> Column:
-    return F.try_cast(F.col(c), t)
+    return (F.col(c)).try_cast(t)
 
 
 def _required(cols: list[Column]) -> Column:
@@ -126,9 +126,9 @@ def validate_orders(raw: DataFrame) -> DataFrame:
     typed_items = F.transform("item_list", lambda i: F.struct(
         i["line_item_id"].alias("line_item_id"), i["sku_id"].alias("sku_id"), i["product_id"].alias("product_id"),
         i["product_name"].alias("product_name"), i["size"].alias("size"), i["color"].alias("color"),
-        F.try_cast(i["price"], MONEY).alias("price"), F.try_cast(i["cogs"], MONEY).alias("cogs"),
-        F.when(F.try_cast(i["quantity"], "decimal(38,6)") == F.floor(F.try_cast(i["quantity"], "decimal(38,6)")),
-               F.try_cast(i["quantity"], "decimal(38,6)").cast("int")).alias("quantity"),
+        (i["price"]).try_cast(MONEY).alias("price"), (i["cogs"]).try_cast(MONEY).alias("cogs"),
+        F.when((i["quantity"]).try_cast("decimal(38,6)") == F.floor((i["quantity"]).try_cast("decimal(38,6)")),
+               (i["quantity"]).try_cast("decimal(38,6)").cast("int")).alias("quantity"),
     ))
     items_present = F.forall(F.col("item_list"), lambda i: _required([i[f] for f in ITEM_REQUIRED]))
     typed = raw.select(

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starload.operators.merge import merge_upsert
-from starload.schemas import RAW_VISIT, STG_TRAFFIC
+from starload.schemas import RAW_VISIT, STG_TRAFFIC, empty_frame
 from starload.session import scratch_path
 from starload.sources.landing import ingest_traffic
 
@@ -58,5 +58,5 @@ def stream_ingest_to_table(spark: SparkSession, path: str, table_path: str | Non
                       sink)
     q.awaitTermination()
     if state["version"] is None:
-        return spark.createDataFrame([], STG_TRAFFIC)
+        return empty_frame(spark, STG_TRAFFIC)
     return spark.read.parquet(state["version"])

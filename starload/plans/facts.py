@@ -58,7 +58,8 @@ def _lookup_sku_active(f: DataFrame, dim_sku: DataFrame) -> DataFrame:
     return lookup(f, d, ["sku_id", *SKU_ATTRS], ["sku_bk", *SKU_ATTRS], "__sku_sk", active_only=True)
 
 
-def _split(resolved: DataFrame, fks: list[str]) -> tuple[DataFrame, DataFrame]:
+def split_resolved(resolved: DataFrame, fks: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with every foreign key set, rows with at least one unresolved key)."""
     ok = F.lit(True)
     for k in fks:
         ok = ok & F.col(k).isNotNull()
@@ -73,8 +74,13 @@ def build_fct_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer
     ``mode="asof"`` picks the version valid at the order time, so late lines find the version they belong to.
     A line whose key cannot be resolved is quarantined instead of producing a NULL foreign key.
     """
-    f = _resolve_sales(stg_orders, dim_location, dim_customer, dim_sku, mode)
-    return _split(f.select(*FCT_SALES.names), SALES_FKS)
+    return split_resolved(resolve_sales(stg_orders, dim_location, dim_customer, dim_sku, mode), SALES_FKS)
+
+
+def resolve_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
+                  mode: str = "active") -> DataFrame:
+    """Every (deduplicated) sales line in the fact's shape, foreign keys NULL where unresolved."""
+    return _resolve_sales(stg_orders, dim_location, dim_customer, dim_sku, mode).select(*FCT_SALES.names)
 
 
 def unresolved_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
@@ -102,4 +108,4 @@ def build_fct_traffic(stg_traffic: DataFrame, dim_channel: DataFrame, dim_device
         F.col("__t").alias("created_at"),
         F.col("__t").alias("updated_at"),
     )
-    return _split(f.select(*FCT_TRAFFIC.names), TRAFFIC_FKS)
+    return split_resolved(f.select(*FCT_TRAFFIC.names), TRAFFIC_FKS)

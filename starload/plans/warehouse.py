@@ -8,6 +8,7 @@ batch does not re-run this batch's lineage (and survives executor loss).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,11 @@ from starload.plans.facts import (
     DEVICE_KEYS,
     DEVICE_SRC,
     LOCATION_KEYS,
+    SALES_FKS,
     SKU_ATTRS,
-    build_fct_sales,
     build_fct_traffic,
+    resolve_sales,
+    split_resolved,
 )
 from starload.plans.summary import build_periodic_summary, touched_dates
 from starload.schemas import (
@@ -36,7 +39,7 @@ from starload.schemas import (
     FCT_TRAFFIC,
     empty_frame,
 )
-from starload.session import checkpoint_dir, materialize, spread
+from starload.session import checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -94,7 +97,17 @@ def stage(df: DataFrame) -> DataFrame:
     """Materialise a batch once (a staging table in the shared checkpoint directory): every dimension, the
     fact and the touched dates read it, and key assignment reads it twice, so the upstream work (parsing,
     joins) is not repeated."""
-    return materialize(spread(df), "stage")
+    return materialize(df, "stage")
+
+
+def _parallel(*thunks):
+    """Run independent branches as concurrent Spark jobs (the scheduler interleaves their tasks), the way
+    the original schedule runs location ‖ SKU, device ‖ channel and sales ‖ traffic side by side."""
+    live = [t for t in thunks if t is not None]
+    if len(live) <= 1:
+        return [t() for t in live]
+    with ThreadPoolExecutor(max_workers=len(live)) as pool:
+        return [f.result() for f in [pool.submit(t) for t in live]]
 
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
@@ -103,33 +116,44 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
 
     Empty or missing inputs skip their branch (and the summary when there are no orders).  With
     ``persist=True`` each new table is written once, so later batches start from files, not lineage.
+    Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
     """
     checkpoint_dir(spark)
-    keep = (lambda df: materialize(df, "warehouse")) if persist else (lambda df: df)
-    orders = stage(orders) if orders is not None else None
-    traffic = stage(traffic) if traffic is not None else None
+    keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
+    orders, traffic = _parallel(
+        (lambda: stage(orders)) if orders is not None else (lambda: None),
+        (lambda: stage(traffic)) if traffic is not None else (lambda: None))
     has_orders = orders is not None and not orders.isEmpty()
     has_traffic = traffic is not None and not traffic.isEmpty()
-    if has_orders:
-        w = load_sales_dims(w, orders)
-        w = replace(w, dim_location=keep(w.dim_location), dim_customer=keep(w.dim_customer),
-                    dim_sku=keep(w.dim_sku))
-        sales, bad_sales = build_fct_sales(orders, w.dim_location, w.dim_customer, w.dim_sku, fact_mode)
-        w = replace(w, fct_sales=keep(merge_upsert(w.fct_sales, sales, ["line_item_id"], preserve=["created_at"],
-                                                   order="updated_at")),
-                    quarantine_sales=keep(w.quarantine_sales.unionByName(bad_sales)))
-    if has_traffic:
-        w = load_traffic_dims(w, traffic)
-        w = replace(w, dim_device=keep(w.dim_device), dim_channel=keep(w.dim_channel))
-        t, bad_t = build_fct_traffic(traffic, w.dim_channel, w.dim_device)
-        w = replace(w, fct_traffic=keep(merge_upsert(w.fct_traffic, t, ["session_id"], preserve=["created_at"],
-                                                     order="updated_at")),
-                    quarantine_traffic=keep(w.quarantine_traffic.unionByName(bad_t)))
+
+    def sales_branch():
+        loc, cust, sku = _parallel(lambda: load_location(w.dim_location, orders),
+                                   lambda: keep(load_customer(w.dim_customer, orders), "dim_customer"),
+                                   lambda: keep(load_sku(w.dim_sku, orders), "dim_sku"))
+        resolved = keep(resolve_sales(orders, loc, cust, sku, fact_mode), "fct_sales_batch")
+        sales, bad = split_resolved(resolved, SALES_FKS)
+        fct = keep(merge_upsert(w.fct_sales, sales, ["line_item_id"], preserve=["created_at"], order="updated_at"),
+                   "fct_sales")
+        return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct,
+                    quarantine_sales=w.quarantine_sales.unionByName(bad))
+
+    def traffic_branch():
+        dev, chn = _parallel(lambda: load_device(w.dim_device, traffic), lambda: load_channel(w.dim_channel, traffic))
+        t, bad = build_fct_traffic(traffic, chn, dev)
+        fct = keep(merge_upsert(w.fct_traffic, t, ["session_id"], preserve=["created_at"], order="updated_at"),
+                   "fct_traffic")
+        return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct,
+                    quarantine_traffic=w.quarantine_traffic.unionByName(bad))
+
+    changes = {}
+    for part in _parallel(sales_branch if has_orders else None, traffic_branch if has_traffic else None):
+        changes.update(part)
+    w = replace(w, **changes)
     if has_orders:
         dates = touched_dates(orders, "order_time")
         summary = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer)
         w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
-            *FCT_PERIODIC_SUMMARY.names), ["date_id"])))
+            *FCT_PERIODIC_SUMMARY.names), ["date_id"]), "fct_periodic_summary"))
     return w
 
 

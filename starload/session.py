@@ -83,4 +83,5 @@ def materialize(df, name: str = "table"):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # the schema is known: passing it skips the footer-reading job of schema inference
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -42,16 +42,38 @@ def asof_versions(dim: DataFrame, bk: str) -> DataFrame:
                           .otherwise(F.col("row_eff_time")))
 
 
-def lookup_asof(fact: DataFrame, dim: DataFrame, fact_bk: str, bk: str, sk: str, at: str) -> DataFrame:
+def _month_bucket(ts, bucket_months: int):
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.floor((F.year(c) * 12 + F.month(c) - 1) / F.lit(bucket_months)).cast("int")
+
+
+def lookup_asof(fact: DataFrame, dim: DataFrame, fact_bk: str, bk: str, sk: str, at: str,
+                bucket_months: int = 1) -> DataFrame:
     """Left-join each fact row to the version of its business key valid at time ``at``:
-    ``valid_from <= at < row_exp_time`` with open ends.  Equi-join on the key plus a range residual; keys have
-    few versions, so the residual is evaluated on a handful of rows per fact."""
-    d = asof_versions(dim, bk).select(
-        F.col(sk), F.col(bk).alias("__abk"), "__valid_from", F.col("row_exp_time").alias("__valid_to"))
+    ``valid_from <= at < row_exp_time`` with open ends.
+
+    The join key is (business key, time bucket): each version is listed once per bucket of ``bucket_months``
+    months that it overlaps (clamped to the facts' own time span, found with one aggregate), and each fact row
+    carries the bucket of its time.  A fact row therefore meets only the versions of its key that overlap its
+    bucket, never every version of the key, so a hot key with a long history does not multiply rows; the
+    range predicate then picks the one valid version.  For a daily batch the facts span one or two buckets and
+    the dimension is not expanded at all.
+    """
     if sk in fact.columns:
         fact = fact.drop(sk)
-    t = fact[at]
-    cond = ((fact[fact_bk] == d["__abk"])
+    fb = _month_bucket(fact[at], bucket_months)
+    span = fact.agg(F.min(fb).alias("lo"), F.max(fb).alias("hi")).first()
+    d = asof_versions(dim, bk).select(
+        F.col(sk), F.col(bk).alias("__abk"), "__valid_from", F.col("row_exp_time").alias("__valid_to"))
+    if span is None or span["lo"] is None:  # no fact has a time: nothing can resolve
+        return fact.withColumn(sk, F.lit(None).cast(dim.schema[sk].dataType))
+    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
+    frm = F.greatest(F.coalesce(_month_bucket(F.col("__valid_from"), bucket_months), lo), lo)
+    to = F.least(F.coalesce(_month_bucket(F.col("__valid_to"), bucket_months), hi), hi)
+    d = d.where(frm <= to).withColumn("__ab", F.explode(F.sequence(frm, to)))
+    f = fact.withColumn("__fb", fb)
+    t = f[at]
+    cond = ((f[fact_bk] == d["__abk"]) & (f["__fb"] == d["__ab"])
             & (d["__valid_from"].isNull() | (d["__valid_from"] <= t))
             & (d["__valid_to"].isNull() | (t < d["__valid_to"])))
-    return fact.join(d, cond, "left").drop("__abk", "__valid_from", "__valid_to")
+    return f.join(d, cond, "left").drop("__abk", "__ab", "__fb", "__valid_from", "__valid_to")

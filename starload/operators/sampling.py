@@ -32,6 +32,15 @@ def random_sample(df: DataFrame, n: int, key: str, seed) -> DataFrame:
     return df.withColumn("__h", h).orderBy("__h", key).limit(n).drop("__h")
 
 
+def sample_table(spark, table: str, n: int, key: str, seed) -> DataFrame:
+    """``SELECT * FROM table ORDER BY <seeded random> LIMIT :n`` as a parameterised SQL scan: the table name and
+    the sizes are bound as parameters, never spliced into the text."""
+    return spark.sql(
+        "SELECT * FROM IDENTIFIER(:t) ORDER BY md5(concat(cast(IDENTIFIER(:k) AS STRING), :seed)), "
+        "IDENTIFIER(:k) LIMIT :n",
+        args={"t": table, "k": key, "seed": str(seed), "n": int(n)})
+
+
 def sample_per_group(groups: DataFrame, items: DataFrame, group_key: str, k_col: str, item_key: str, seed
                      ) -> DataFrame:
     """For every group, ``k`` distinct items (without replacement; ``k`` is capped at the number of items).

@@ -8,6 +8,7 @@ machine at a small scale factor and is only the reference the Spark code is comp
 from __future__ import annotations
 
 from starload.plans.calendar import DEFAULT_EVENT_NAME, DEFAULT_IS_HOLIDAY
+from starload.functions.ids import CROCKFORD_ALPHABET as CROCKFORD
 from starload.plans.catalog import COLORS, SIZES
 from starload.sources.bindings import sql_with
 
@@ -401,6 +402,12 @@ def queries() -> dict[str, str]:
         p as (select o_orderkey, i + 1 pick, (off + i) % (select m from m) pos
               from g, lateral (select unnest(range(k)) i))
         select p.o_orderkey, p.pick, items.p_partkey, items.p_name from p join items on p.pos = items.pos"""
+    out["sample_table"] = out["random_sample"]
+    digits = " || ".join(f"substr('{CROCKFORD}', cast((ms // {32 ** (9 - i)}) % 32 as int) + 1, 1)"
+                         for i in range(10))
+    out["time_ordered_id"] = sql_with() + f"""select line_item_id, {digits} || upper(substr(md5(line_item_id), 1, 16))
+        as tid from (select line_item_id, cast(order_time as bigint) * 1000 ms from stg_orders)"""
+    out["stream_ingest"] = sql_with() + _sel("stg_traffic")
     out["check_unique"] = sql_with() + """select order_id, sku_id, count(*) n from stg_orders
         group by 1, 2 having count(*) > 1"""
     return out

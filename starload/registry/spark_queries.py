@@ -12,7 +12,7 @@ from starload.operators.dims import scd2_changes, scd2_expire, scd2_order_cols
 from starload.operators.keys import assign_surrogate_keys
 from starload.operators.nested import explode_items, nest_orders
 from starload.operators.quality import check_foreign_key, check_unique
-from starload.operators.sampling import random_sample, sample_per_group
+from starload.operators.sampling import random_sample, sample_per_group, sample_table
 from starload.operators.windowing import assign_windows, diagonal_union
 from starload.plans.calendar import apply_holidays, build_dim_date, date_bounds
 from starload.plans.catalog import build_sku_catalog
@@ -71,7 +71,7 @@ def _land_orders(spark, stg: DataFrame) -> str:
     path = scratch_path(spark, "landing-orders")
     nested = _raw_orders(stg).withColumn("batch", F.date_format(
         F.window(F.timestamp_seconds(F.col("order_time").cast("bigint")), "4 hours").start, "yyyyMMddHHmm"))
-    land(nested, path)
+    land(nested, path, sort_by="order_time")
     return path
 
 
@@ -367,6 +367,14 @@ def random_sample_q(spark, d):
     return random_sample(c, 100, "c_custkey", 42)
 
 
+def sample_table_q(spark, d):
+    """The same sample through a parameterised SQL scan of a registered view."""
+    spark = _s(spark)
+    B.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").createOrReplaceTempView(
+        "starload_customer_sample_src")
+    return sample_table(spark, "starload_customer_sample_src", 100, "c_custkey", 42)
+
+
 def sample_per_group_q(spark, d):
     """For every order, as many distinct parts as it has lines, drawn with seed 7."""
     spark = _s(spark)
@@ -428,6 +436,7 @@ REGISTRY = {
     "periodic_summary_parity": periodic_summary_parity,
     "sku_catalog": sku_catalog,
     "random_sample": random_sample_q,
+    "sample_table": sample_table_q,
     "sample_per_group": sample_per_group_q,
     "time_ordered_id": time_ordered_id_q,
     "check_unique": check_unique_q,

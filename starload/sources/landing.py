@@ -32,11 +32,25 @@ class InvalidRecordError(ValueError):
 
 # ------------------------------------------------------------------------------------------------- writing
 
-def land(df: DataFrame, path: str, batch_col: str = "batch", mode: str = "append") -> None:
-    """Write records as JSON Lines under ``path/batch=<key>/`` (one directory per extract window)."""
+def land(df: DataFrame, path: str, batch_col: str = "batch", mode: str = "append", sort_by: str | None = None
+         ) -> None:
+    """Write records as JSON Lines under ``path/batch=<key>/`` (one directory per extract window).
+    ``sort_by`` orders records inside each file (e.g. by order time) without a global sort."""
+    if sort_by:
+        df = df.sortWithinPartitions(batch_col, sort_by)
     df.write.mode(mode).partitionBy(batch_col).json(path)
 
 
+def replace_table(df: DataFrame, name: str) -> None:
+    """Replace a staging table (``if_table_exists="replace"``)."""
+    df.write.mode("overwrite").saveAsTable(name)
+
+
+def create_table_or_fail(df: DataFrame, name: str) -> None:
+    """Create a master-data table; fail if it already exists (``if_table_exists="fail"``)."""
+    df.write.mode("errorifexists").saveAsTable(name)
+
+
 def to_document(df: DataFrame, count_name: str = "order_count", list_name: str = "orders",
                 batch_col: str = "batch") -> DataFrame:
     """The enveloped form, one JSON text per batch: ``{"order_count": n, "orders": [...]}``.

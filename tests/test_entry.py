@@ -12,7 +12,7 @@ def test_entry_runs(spark):
 def test_registry_and_oracle_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"time_ordered_id", "stream_ingest"}
+    assert set(q) == set(o)
 
 
 def test_stream_ingest_rows(spark):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.dims import ACTIVE
@@ -35,11 +35,13 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_keys: list[str], dim_keys: list
 
 def asof_versions(dim: DataFrame, bk: str) -> DataFrame:
     """Validity intervals of a type-2 dimension with the first version of each key opened to -inf, so a
-    fact older than the key's first sighting still resolves to it."""
-    first = F.min("row_eff_time").over(Window.partitionBy(bk))
-    return dim.withColumn("__valid_from",
-                          F.when(F.col("row_eff_time") == first, F.lit(None).cast("timestamp"))
-                          .otherwise(F.col("row_eff_time")))
+    fact older than the key's first sighting still resolves to it.  The first effective time per key is a
+    partial aggregate joined back on the key (no per-key window)."""
+    first = dim.groupBy(F.col(bk).alias("__fbk")).agg(F.min("row_eff_time").alias("__first"))
+    d = dim.join(first, dim[bk] == first["__fbk"], "left")
+    return d.withColumn("__valid_from",
+                        F.when(F.col("row_eff_time") == F.col("__first"), F.lit(None).cast("timestamp"))
+                        .otherwise(F.col("row_eff_time"))).drop("__fbk", "__first")
 
 
 def _month_bucket(ts, bucket_months: int):

@@ -51,18 +51,6 @@ def create_table_or_fail(df: DataFrame, name: str) -> None:
     df.write.mode("errorifexists").saveAsTable(name)
 
 
-def to_document(df: DataFrame, count_name: str = "order_count", list_name: str = "orders",
-                batch_col: str = "batch") -> DataFrame:
-    """The enveloped form, one JSON text per batch: ``{"order_count": n, "orders": [...]}``.
-
-    This gathers a whole batch into one row, so it is only for exporting small batches to systems that want
-    that shape; the landing zone itself uses :func:`land`.
-    """
-    rec = F.struct(*[F.col(c) for c in df.columns if c != batch_col])
-    return df.groupBy(batch_col).agg(F.to_json(F.struct(F.count(F.lit(1)).alias(count_name),
-                                                        F.collect_list(rec).alias(list_name))).alias("value"))
-
-
 # ------------------------------------------------------------------------------------------------- reading
 
 def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, envelope: str | None = None,

@@ -92,7 +92,8 @@ def landing_roundtrip(spark, d):
 def ingest_traffic_q(spark, d):
     spark = _s(spark)
     path = scratch_path(spark, "landing-traffic")
-    land(_as_text(assign_windows(B.stg_traffic(spark, d), "visit_time").drop("window_start", "window_end")), path)
+    land(_as_text(assign_windows(B.stg_traffic(spark, d), "visit_time").drop("window_start", "window_end")), path,
+         sort_by="visit_time")
     valid, _ = ingest_traffic(read_traffic(spark, path))
     return valid.select(*STG_TRAFFIC.names)
 
@@ -396,7 +397,8 @@ def stream_ingest_q(spark, d):
     files, and merge each micro-batch into the traffic fact by session id."""
     spark = _s(spark)
     src = scratch_path(spark, "stream-src")
-    land(_as_text(assign_windows(B.stg_traffic(spark, d), "visit_time").drop("window_start", "window_end")), src)
+    land(_as_text(assign_windows(B.stg_traffic(spark, d), "visit_time").drop("window_start", "window_end")), src,
+         sort_by="visit_time")
     return stream_ingest_to_table(spark, src)
 
 

@@ -35,9 +35,13 @@ class InvalidRecordError(ValueError):
 def land(df: DataFrame, path: str, batch_col: str = "batch", mode: str = "append", sort_by: str | None = None
          ) -> None:
     """Write records as JSON Lines under ``path/batch=<key>/`` (one directory per extract window).
-    ``sort_by`` orders records inside each file (e.g. by order time) without a global sort."""
-    if sort_by:
-        df = df.sortWithinPartitions(batch_col, sort_by)
+
+    Rows are range-partitioned on (batch, ``sort_by``) first: each task then writes a contiguous stretch of
+    batches (few files per folder instead of one per task and folder), a batch holding a large share of the
+    rows is still split over several tasks by the second column, and files come out ordered by ``sort_by``.
+    """
+    order = [batch_col] + ([sort_by] if sort_by else [])
+    df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     df.write.mode(mode).partitionBy(batch_col).json(path)
 
 

@@ -399,7 +399,7 @@ def queries() -> dict[str, str]:
         g as (select o_orderkey, least(n, (select m from m)) k,
                 ('0x' || substr(md5(cast(o_orderkey as varchar) || '7'), 1, 8))::bigint % (select m from m) off
               from (select l_orderkey o_orderkey, count(*) n from lineitem group by 1)),
-        p as (select o_orderkey, i + 1 pick, (off + i) % (select m from m) pos
+        p as (select o_orderkey, cast(i + 1 as int) pick, (off + i) % (select m from m) pos
               from g, lateral (select unnest(range(k)) i))
         select p.o_orderkey, p.pick, items.p_partkey, items.p_name from p join items on p.pos = items.pos"""
     out["sample_table"] = out["random_sample"]

@@ -49,9 +49,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FALLBACK_DIR: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a local one only when the session has none (tests)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext: use the setting itself
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = _FALLBACK_DIR.setdefault("dir", tempfile.mkdtemp(prefix="starload-ckpt-"))
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -71,8 +80,12 @@ def spread(df):
     """Round-robin a frame over the cluster's cores when its scan yields fewer partitions than cores (a file
     written as one row group is read by one task).  With many input files this is a no-op, so it never adds a
     shuffle to a large, well-split input."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view in a remote session: leave the scan as it is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def materialize(df, name: str = "table"):

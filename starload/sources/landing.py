@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from starload.schemas import (
     COORD,
@@ -23,6 +24,7 @@ from starload.schemas import (
     RAW_VISIT,
     STG_ORDERS,
     STG_TRAFFIC,
+    empty_frame,
 )
 
 
@@ -67,7 +69,15 @@ def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, env
     r = spark.read.schema(schema).option("pathGlobFilter", "*.json")
     if envelope:
         r = r.option("multiLine", "true")
-    df = r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+    try:
+        df = r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        # an empty or missing prefix is an empty batch, not an error
+        out = T.StructType(list(record_schema.fields) + [T.StructField("batch", T.StringType()),
+                                                         T.StructField("source_file", T.StringType())])
+        return empty_frame(spark, out)
     if envelope:
         df = df.select("batch", "source_file", F.explode(envelope).alias("__r")).select("__r.*", "batch",
                                                                                          "source_file")

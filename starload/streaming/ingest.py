@@ -20,9 +20,10 @@ from starload.sources.landing import ingest_traffic
 
 
 def stream_ingest(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, archive: str,
-                  sink: Callable[[DataFrame, int], None], max_files_per_trigger: int | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """Start a JSON file stream over ``path`` (``*.json`` only) that hands each micro-batch to ``sink``."""
+                  sink: Callable[[DataFrame, int], None], transform: Callable[[DataFrame], DataFrame] | None = None,
+                  max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start a JSON file stream over ``path`` (``*.json`` only); each micro-batch goes through ``transform``
+    (a DataFrame -> DataFrame function, e.g. validation and flattening) and then to ``sink``."""
     schema = T.StructType(list(schema.fields) + [T.StructField("batch", T.StringType())])
     r = (spark.readStream.schema(schema)
          .option("pathGlobFilter", "*.json")
@@ -30,33 +31,55 @@ def stream_ingest(spark: SparkSession, path: str, schema: T.StructType, checkpoi
          .option("sourceArchiveDir", archive))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    w = r.json(path).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    handler = sink if transform is None else (lambda batch, epoch: sink(transform(batch), epoch))
+    w = r.json(path).writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def stream_ingest_to_table(spark: SparkSession, path: str, table_path: str | None = None) -> DataFrame:
+def _versions(spark: SparkSession, base: str) -> dict[int, str]:
+    """Committed table versions under ``base`` (``v000003`` -> 3), from a directory listing."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    out = {}
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if name.startswith("v") and name[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(
+                st.getPath(), "_SUCCESS")):
+            out[int(name[1:])] = st.getPath().toString()
+    return out
+
+
+def stream_ingest_to_table(spark: SparkSession, path: str, table_path: str | None = None,
+                           checkpoint: str | None = None, archive: str | None = None) -> DataFrame:
     """Consume landed traffic files into a parquet table of staged sessions keyed by ``session_id``.
 
-    Each micro-batch is validated, merged with the current table by key (latest ``visit_time`` wins) and
-    written as a new table version; the last version is returned as a DataFrame.
+    Each micro-batch is validated, merged by key (latest ``visit_time`` wins) into the latest committed table
+    version, and written as version ``v<batch id>``.  The previous version is found on storage, not kept in
+    memory, so a restarted query continues from what was committed, and a replayed micro-batch rewrites the
+    same version with the same content.  The stream's checkpoint and archive default to folders next to the
+    table, so running again over the same table resumes the same stream.  Returns the latest version.
     """
-    base = table_path or scratch_path(spark, "stream-table")
-    state = {"version": None}
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        valid, _ = ingest_traffic(batch)
-        valid = valid.select(*STG_TRAFFIC.names)
-        if state["version"] is not None:
-            cur = spark.read.parquet(state["version"])
+    base = (table_path or scratch_path(spark, "stream-table")).rstrip("/")
+    checkpoint = checkpoint or f"{base}_checkpoint"
+    archive = archive or f"{base}_archive"
+
+    def validate(batch: DataFrame) -> DataFrame:
+        return ingest_traffic(batch)[0].select(*STG_TRAFFIC.names)
+
+    def sink(valid: DataFrame, epoch: int) -> None:
+        older = {v: p for v, p in _versions(spark, base).items() if v < epoch}
+        if older:
+            cur = spark.read.schema(STG_TRAFFIC).parquet(older[max(older)])
             valid = merge_upsert(cur, valid, ["session_id"], order="visit_time")
-        out = f"{base}/v{epoch:06d}"
-        valid.write.mode("overwrite").parquet(out)
-        state["version"] = out
+        valid.write.mode("overwrite").parquet(f"{base}/v{epoch:06d}")
 
-    q = stream_ingest(spark, path, RAW_VISIT, scratch_path(spark, "stream-ckpt"), scratch_path(spark, "archive"),
-                      sink)
+    q = stream_ingest(spark, path, RAW_VISIT, checkpoint, archive, sink, transform=validate)
     q.awaitTermination()
-    if state["version"] is None:
+    done = _versions(spark, base)
+    if not done:
         return empty_frame(spark, STG_TRAFFIC)
-    return spark.read.parquet(state["version"])
+    return spark.read.schema(STG_TRAFFIC).parquet(done[max(done)])

@@ -69,3 +69,9 @@ def test_enveloped_document(spark, tmp_path):
     (d / "doc.json").write_text(json.dumps({"order_count": 2, "orders": [order(), order(order_id="O9")]}))
     valid, _ = ingest_orders(read_orders(spark, str(tmp_path / "env"), envelope=True))
     assert sorted(r.order_id for r in valid.collect()) == ["O1", "O9"]
+
+
+def test_missing_prefix_is_empty_batch(spark, tmp_path):
+    valid, bad = ingest_orders(read_orders(spark, str(tmp_path / "nothing-landed-yet")))
+    assert valid.count() == 0 and bad.count() == 0
+    assert "line_item_id" in valid.columns

@@ -111,18 +111,20 @@ def _parallel(*thunks):
 
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
-              fact_mode: str = "active", persist: bool = True) -> Warehouse:
+              fact_mode: str = "active", persist: bool = True, staged: bool = False) -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
     Empty or missing inputs skip their branch (and the summary when there are no orders).  With
     ``persist=True`` each new table is written once, so later batches start from files, not lineage.
     Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
+    ``staged=True`` says the inputs are already materialised (or cheap filters of materialised tables).
     """
     checkpoint_dir(spark)
     keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
-    orders, traffic = _parallel(
-        (lambda: stage(orders)) if orders is not None else (lambda: None),
-        (lambda: stage(traffic)) if traffic is not None else (lambda: None))
+    if not staged:
+        orders, traffic = _parallel(
+            (lambda: stage(orders)) if orders is not None else (lambda: None),
+            (lambda: stage(traffic)) if traffic is not None else (lambda: None))
     has_orders = orders is not None and not orders.isEmpty()
     has_traffic = traffic is not None and not traffic.isEmpty()
 

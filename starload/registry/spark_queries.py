@@ -136,8 +136,9 @@ def validate_orders_q(spark, d):
 def diagonal_union_q(spark, d):
     """Batch 1 with every field and batch 2 without the optional customer/location fields, by name."""
     spark = _s(spark)
-    b2 = B.stg_orders_b2(spark, d).drop("name", "latitude", "longitude", "place", "country")
-    return diagonal_union(B.orders_batch1(spark, d), b2)
+    i = B.Inputs(spark, d)
+    b2 = i.orders_b2.drop("name", "latitude", "longitude", "place", "country")
+    return diagonal_union(i.orders_b1, b2)
 
 
 def batch_window_q(spark, d):
@@ -186,21 +187,20 @@ def dim_date_holidays_q(spark, d):
 
 def dim_location_q(spark, d):
     spark = _s(spark)
-    w = empty_warehouse(spark)
-    l1 = load_location(w.dim_location, B.orders_batch1(spark, d))
-    return load_location(l1, B.stg_orders_b2(spark, d))
+    w, i = empty_warehouse(spark), B.Inputs(spark, d)
+    return load_location(load_location(w.dim_location, i.orders_b1), i.orders_b2)
 
 
 def dim_device_q(spark, d):
     spark = _s(spark)
-    w = empty_warehouse(spark)
-    return load_device(load_device(w.dim_device, B.traffic_batch1(spark, d)), B.traffic_batch2(spark, d))
+    w, i = empty_warehouse(spark), B.Inputs(spark, d)
+    return load_device(load_device(w.dim_device, i.traffic_b1), i.traffic_b2)
 
 
 def dim_channel_q(spark, d):
     spark = _s(spark)
-    w = empty_warehouse(spark)
-    return load_channel(load_channel(w.dim_channel, B.traffic_batch1(spark, d)), B.traffic_batch2(spark, d))
+    w, i = empty_warehouse(spark), B.Inputs(spark, d)
+    return load_channel(load_channel(w.dim_channel, i.traffic_b1), i.traffic_b2)
 
 
 def surrogate_keys_q(spark, d):
@@ -208,15 +208,16 @@ def surrogate_keys_q(spark, d):
     return assign_surrogate_keys(B.stg_orders(spark, d).select("line_item_id"), ["line_item_id"], "sk")
 
 
-def _v1(spark, d, kind):
-    e = empty_frame(spark, DIM_CUSTOMER if kind == "customer" else DIM_SKU)
+def _v1(i: B.Inputs, kind):
+    e = empty_frame(i.spark, DIM_CUSTOMER if kind == "customer" else DIM_SKU)
     f = load_customer if kind == "customer" else load_sku
-    return materialize(f(e, B.orders_batch1(spark, d)), "dim")
+    return materialize(f(e, i.orders_b1), "dim")
 
 
 def _changes(spark, d, kind):
-    v1 = _v1(spark, d, kind)
-    b2 = B.stg_orders_b2(spark, d)
+    i = B.Inputs(spark, d)
+    v1 = _v1(i, kind)
+    b2 = i.orders_b2
     if kind == "customer":
         return v1, scd2_changes(v1, b2, "customer_bk", ["customer_name"], "updated_at", src_bk="customer_id",
                                 src_attrs=["name"])
@@ -257,12 +258,14 @@ def scd2_expire_sku(spark, d):
 
 def scd2_customer(spark, d):
     spark = _s(spark)
-    return load_customer(_v1(spark, d, "customer"), B.stg_orders_b2(spark, d))
+    i = B.Inputs(spark, d)
+    return load_customer(_v1(i, "customer"), i.orders_b2)
 
 
 def scd2_sku(spark, d):
     spark = _s(spark)
-    return load_sku(_v1(spark, d, "sku"), B.stg_orders_b2(spark, d))
+    i = B.Inputs(spark, d)
+    return load_sku(_v1(i, "sku"), i.orders_b2)
 
 
 def scd2_parity_all_versions(spark, d):
@@ -270,66 +273,70 @@ def scd2_parity_all_versions(spark, d):
     latest sighting, close only open versions."""
     spark = _s(spark)
     kw = dict(compare="all", eff="max", recompute=False)
+    i = B.Inputs(spark, d)
     c = empty_frame(spark, DIM_CUSTOMER)
-    c = materialize(load_customer(c, B.orders_batch1(spark, d), **kw), "dim")
-    c = materialize(load_customer(c, B.stg_orders_b2(spark, d), **kw), "dim")
-    return load_customer(c, B.stg_orders_b2(spark, d), **kw)
+    c = materialize(load_customer(c, i.orders_b1, **kw), "dim")
+    c = materialize(load_customer(c, i.orders_b2, **kw), "dim")
+    return load_customer(c, i.orders_b2, **kw)
 
 
 # ------------------------------------------------------------------------------------------------ facts
 
-def _w1(spark, d):
-    return run_batch(spark, empty_warehouse(spark), B.orders_batch1(spark, d), B.traffic_batch1(spark, d))
+def _w1(i: B.Inputs):
+    return run_batch(i.spark, empty_warehouse(i.spark), i.orders_b1, i.traffic_b1, staged=True)
 
 
-def _w2(spark, d):
-    return run_batch(spark, _w1(spark, d), B.stg_orders_b2(spark, d), B.traffic_batch2(spark, d))
+def _w2(i: B.Inputs, w1=None):
+    return run_batch(i.spark, w1 if w1 is not None else _w1(i), i.orders_b2, i.traffic_b2, staged=True)
 
 
 def fct_sales_q(spark, d):
     spark = _s(spark)
-    return _w1(spark, d).fct_sales
+    return _w1(B.Inputs(spark, d)).fct_sales
 
 
 def fct_traffic_q(spark, d):
     spark = _s(spark)
-    return _w1(spark, d).fct_traffic
+    return _w1(B.Inputs(spark, d)).fct_traffic
 
 
 def unresolved_keys(spark, d):
     """Batch 2 resolved against batch 1's current versions: changed customers and prices are quarantined."""
     spark = _s(spark)
-    w = _w1(spark, d)
-    return unresolved_sales(B.stg_orders_b2(spark, d), w.dim_location, w.dim_customer, w.dim_sku)
+    i = B.Inputs(spark, d)
+    w = _w1(i)
+    return unresolved_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku)
 
 
 def fct_sales_asof(spark, d):
     spark = _s(spark)
-    w = _w2(spark, d)
-    good, _ = build_fct_sales(B.stg_orders_b2(spark, d), w.dim_location, w.dim_customer, w.dim_sku, mode="asof")
+    i = B.Inputs(spark, d)
+    w = _w2(i)
+    good, _ = build_fct_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku, mode="asof")
     return good
 
 
 def merge_sales(spark, d):
     spark = _s(spark)
-    return _w2(spark, d).fct_sales
+    return _w2(B.Inputs(spark, d)).fct_sales
 
 
 def merge_traffic(spark, d):
     spark = _s(spark)
-    return _w2(spark, d).fct_traffic
+    return _w2(B.Inputs(spark, d)).fct_traffic
 
 
 def merge_summary(spark, d):
     spark = _s(spark)
-    return _w2(spark, d).fct_periodic_summary
+    return _w2(B.Inputs(spark, d)).fct_periodic_summary
 
 
 def check_foreign_key_q(spark, d):
     """Batch-1 sales lines whose customer version is no longer current after batch 2."""
     spark = _s(spark)
-    w1 = _w1(spark, d)
-    w2 = run_batch(spark, w1, B.stg_orders_b2(spark, d), B.traffic_batch2(spark, d))
+    i = B.Inputs(spark, d)
+    w1 = _w1(i)
+    w2 = _w2(i, w1)
     active = w2.dim_customer.where(F.col("current_row_indicator") == "Active")
     return check_foreign_key(w1.fct_sales, active, ["customer_id"])
 
@@ -347,9 +354,9 @@ def periodic_summary(spark, d):
 
 def periodic_summary_parity(spark, d):
     spark = _s(spark)
-    orders = B.stg_orders(spark, d)
-    w = run_batch(spark, empty_warehouse(spark), orders, B.stg_traffic(spark, d))
-    return build_periodic_summary_parity(w.fct_sales, B.stg_traffic(spark, d), touched_dates(orders, "order_time"))
+    i = B.Inputs(spark, d)
+    w = run_batch(spark, empty_warehouse(spark), i.orders, i.traffic, staged=True)
+    return build_periodic_summary_parity(w.fct_sales, i.traffic, touched_dates(i.orders, "order_time"))
 
 
 # ------------------------------------------------------------------------------------- catalogue, sampling

@@ -1,8 +1,9 @@
 """Keyed merges without a transactional table format.
 
 ``merge_upsert`` is ``INSERT ... ON CONFLICT (keys) DO UPDATE`` as one full outer join: one shuffle of each
-side on the key, no union of a left join with an anti-join.  ``write_touched_partitions`` persists the result
-by rewriting only the date partitions that the batch touched.
+side on the key, no union of a left join with an anti-join.  For a date-partitioned fact the join is confined
+to the partitions the batch touches.  ``write_touched_partitions`` persists the result by rewriting only those
+partitions.
 """
 
 from __future__ import annotations
@@ -34,13 +35,33 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1)
 
 
+def touched_partitions(target: DataFrame, src: DataFrame, keys: list[str], partition_col: str) -> list:
+    """Partition values a merge of ``src`` into ``target`` touches: the source rows' own values and the
+    current values of the keys it rewrites (a key may move between partitions).  Reads only the key and
+    partition columns of the target; the result has one entry per partition (e.g. per day), so it is collected.
+    """
+    old = target.select(*keys, partition_col).join(src.select(*keys).distinct(), keys, "left_semi")
+    parts = src.select(partition_col).union(old.select(partition_col)).distinct()
+    return [r[0] for r in parts.collect()]
+
+
+def _in_parts(col: str, parts: list) -> Column:
+    vals = [p for p in parts if p is not None]
+    cond = F.col(col).isin(vals) if vals else F.lit(False)
+    return cond | F.col(col).isNull() if None in parts else cond
+
+
 def merge_upsert(target: DataFrame, src: DataFrame, keys: list[str], preserve: tuple | list = (),
-                 order: str | None = None, strict: bool = False) -> DataFrame:
+                 order: str | None = None, strict: bool = False, partition_col: str | None = None) -> DataFrame:
     """Upsert ``src`` into ``target`` by ``keys`` and return the merged table.
 
     * source rows replace target rows with the same key, column by column, NULLs included;
     * ``preserve`` columns keep the target's value when the key already exists (first-seen ``created_at``);
     * a source key seen twice is reduced to its latest row by ``order`` (or raises with ``strict=True``).
+
+    With ``partition_col`` (a fact partitioned by date) only the partitions the batch touches take part in the
+    join: they are listed first (:func:`touched_partitions`), the target is filtered to them (partition
+    pruning on a partitioned table), and every other partition passes through unchanged with no shuffle.
     """
     if strict:
         dup = duplicate_keys(src, keys)
@@ -48,6 +69,41 @@ def merge_upsert(target: DataFrame, src: DataFrame, keys: list[str], preserve: t
             raise DuplicateKeyError(f"source has duplicate keys on {keys}: {dup.limit(5).collect()}")
     else:
         src = dedupe_latest(src, keys, order)
+    if partition_col is not None:
+        merged, parts = merge_touched(target, src, keys, preserve, partition_col, deduped=True)
+        hit = _in_parts(partition_col, parts)
+        return target.where(~hit | hit.isNull()).unionByName(merged)
+    return _full_outer_merge(target, src, keys, preserve)
+
+
+def merge_touched(target: DataFrame, src: DataFrame, keys: list[str], preserve, partition_col: str,
+                  order: str | None = None, deduped: bool = False) -> tuple[DataFrame, list]:
+    """The merged rows of the partitions ``src`` touches, and the list of those partitions.  Writing these rows
+    with dynamic partition overwrite (and deleting listed partitions that end up empty) updates a stored
+    fact without reading or rewriting any other partition."""
+    if not deduped:
+        src = dedupe_latest(src, keys, order)
+    parts = touched_partitions(target, src, keys, partition_col)
+    return _full_outer_merge(target.where(_in_parts(partition_col, parts)), src, keys, preserve), parts
+
+
+def replace_partitions(rows: DataFrame, parts: list, path: str, part_col: str) -> None:
+    """Make the stored partitions ``parts`` of the table at ``path`` hold exactly ``rows``: dynamic overwrite
+    for the partitions that have rows, deletion for those left empty (all their rows moved elsewhere)."""
+    spark = rows.sparkSession
+    kept = {r[0] for r in rows.select(part_col).distinct().collect()}
+    write_touched_partitions(rows, path, part_col)
+    gone = [p for p in parts if p not in kept]
+    if gone:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for v in gone:
+            name = "__HIVE_DEFAULT_PARTITION__" if v is None else v
+            p = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={name}")
+            p.getFileSystem(conf).delete(p, True)
+
+
+def _full_outer_merge(target: DataFrame, src: DataFrame, keys: list[str], preserve) -> DataFrame:
     cols = target.columns
     s = src.select(*cols).withColumn("__in_src", F.lit(True))
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols]).withColumn("__in_tgt", F.lit(True))

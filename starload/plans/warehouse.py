@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.operators.dims import insert_ignore, scd2_apply
-from starload.operators.merge import merge_upsert
+from starload.operators.merge import merge_touched, merge_upsert, replace_partitions
 from starload.plans.facts import (
     CHANNEL_KEYS,
     DEVICE_KEYS,
@@ -110,14 +110,32 @@ def _parallel(*thunks):
         return [f.result() for f in [pool.submit(t) for t in live]]
 
 
+def _merge_fact(spark: SparkSession, current: DataFrame, batch: DataFrame, key: str, part: str, name: str,
+                root: str | None, keep) -> DataFrame:
+    """Upsert a batch into a date-partitioned fact.  Only the touched partitions are joined.  Without a
+    warehouse root the new fact is returned as a frame (untouched partitions pass through); with one, only the
+    touched partitions are rewritten in ``root/name`` and the fact is read back from there."""
+    if root is None:
+        return keep(merge_upsert(current, batch, [key], preserve=["created_at"], order="updated_at",
+                                 partition_col=part), name)
+    rows, parts = merge_touched(current, batch, [key], ["created_at"], part, order="updated_at")
+    # a scratch copy first: the write below replaces partitions that ``rows`` is computed from
+    replace_partitions(materialize(rows, name), parts, f"{root}/{name}", part)
+    return spark.read.schema(current.schema).parquet(f"{root}/{name}").select(*current.columns)
+
+
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
-              fact_mode: str = "active", persist: bool = True, staged: bool = False) -> Warehouse:
+              fact_mode: str = "active", persist: bool = True, staged: bool = False,
+              root: str | None = None) -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
     Empty or missing inputs skip their branch (and the summary when there are no orders).  With
     ``persist=True`` each new table is written once, so later batches start from files, not lineage.
     Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
     ``staged=True`` says the inputs are already materialised (or cheap filters of materialised tables).
+    With ``root`` the warehouse lives on storage: facts are partitioned by date there and each batch rewrites
+    only the partitions it touches; dimensions and the summary are rewritten whole (they are small).  Start
+    from ``load_warehouse(spark, root)`` (or ``empty_warehouse`` for the first batch).
     """
     checkpoint_dir(spark)
     keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
@@ -134,16 +152,14 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
                                    lambda: keep(load_sku(w.dim_sku, orders), "dim_sku"))
         resolved = keep(resolve_sales(orders, loc, cust, sku, fact_mode), "fct_sales_batch")
         sales, bad = split_resolved(resolved, SALES_FKS)
-        fct = keep(merge_upsert(w.fct_sales, sales, ["line_item_id"], preserve=["created_at"], order="updated_at"),
-                   "fct_sales")
+        fct = _merge_fact(spark, w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", root, keep)
         return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct,
                     quarantine_sales=w.quarantine_sales.unionByName(bad))
 
     def traffic_branch():
         dev, chn = _parallel(lambda: load_device(w.dim_device, traffic), lambda: load_channel(w.dim_channel, traffic))
         t, bad = build_fct_traffic(traffic, chn, dev)
-        fct = keep(merge_upsert(w.fct_traffic, t, ["session_id"], preserve=["created_at"], order="updated_at"),
-                   "fct_traffic")
+        fct = _merge_fact(spark, w.fct_traffic, t, "session_id", "visit_date_id", "fct_traffic", root, keep)
         return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct,
                     quarantine_traffic=w.quarantine_traffic.unionByName(bad))
 
@@ -156,6 +172,11 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         summary = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer)
         w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
             *FCT_PERIODIC_SUMMARY.names), ["date_id"]), "fct_periodic_summary"))
+    if root is not None:
+        for name in ("dim_location", "dim_customer", "dim_sku", "dim_device", "dim_channel", "fct_periodic_summary"):
+            df = getattr(w, name)
+            materialize(df, name).write.mode("overwrite").parquet(f"{root}/{name}")
+            w = replace(w, **{name: spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)})
     return w
 
 

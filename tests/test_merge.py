@@ -33,3 +33,15 @@ def test_merge_twice_equals_once(spark):
     once = merge_upsert(t, s, ["k"], preserve=["created_at"])
     twice = merge_upsert(once, s, ["k"], preserve=["created_at"])
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_partitioned_merge_equals_full_merge(spark):
+    schema = "k string, d int, q int, created_at long"
+    t = spark.createDataFrame([("a", 1, 1, 10), ("b", 1, 2, 10), ("c", 2, 3, 10), ("e", None, 9, 10)], schema)
+    # 'a' is rewritten in place, 'b' moves from day 1 to day 3, 'z' is new, 'c' and 'e' are untouched
+    s = spark.createDataFrame([("a", 1, 5, 20), ("b", 3, 6, 20), ("z", 3, 7, 20)], schema)
+    full = merge_upsert(t, s, ["k"], preserve=["created_at"])
+    part = merge_upsert(t, s, ["k"], preserve=["created_at"], partition_col="d")
+    assert sorted(full.collect()) == sorted(part.collect())
+    got = {r.k: (r.d, r.q, r.created_at) for r in part.collect()}
+    assert got == {"a": (1, 5, 10), "b": (3, 6, 10), "c": (2, 3, 10), "e": (None, 9, 10), "z": (3, 7, 20)}

@@ -38,3 +38,20 @@ def test_save_rewrites_only_touched_partitions(spark, tmp_path):
     assert sorted(os.listdir(f"{root}/fct_sales/order_date_id=20240102")) == day2
     got = {r.line_item_id: r.order_date_id for r in load_warehouse(spark, root).fct_sales.collect()}
     assert got == {"1": 20240103, "2": 20240102}
+
+
+def test_run_batch_on_storage_matches_in_memory(spark, tmp_path):
+    from starload.plans.tables import load_warehouse
+
+    root = str(tmp_path / "wh2")
+    b1 = orders_df(spark, [order("1", t=T0), order("2", t=T0 + 86400), order("3", t=T0 + 86400)])
+    b2 = orders_df(spark, [order("1", qty=3, t=T0 + 2 * 86400), order("4", t=T0 + 3 * 86400)])
+    mem = run_batch(spark, run_batch(spark, empty_warehouse(spark), b1, None), b2, None)
+    run_batch(spark, empty_warehouse(spark), b1, None, root=root)
+    disk = run_batch(spark, load_warehouse(spark, root), b2, None, root=root)
+    key = lambda r: r.line_item_id
+    assert sorted(mem.fct_sales.collect(), key=key) == sorted(disk.fct_sales.collect(), key=key)
+    assert sorted(mem.fct_periodic_summary.collect()) == sorted(disk.fct_periodic_summary.collect())
+    parts = sorted(p for p in os.listdir(f"{root}/fct_sales") if p.startswith("order_date_id="))
+    # line 1 moved from day 1 to day 3: day 1 is gone, not left with a stale copy
+    assert parts == ["order_date_id=20240102", "order_date_id=20240103", "order_date_id=20240104"]

@@ -57,6 +57,11 @@ def create_table_or_fail(df: DataFrame, name: str) -> None:
     df.write.mode("errorifexists").saveAsTable(name)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a staging table once its batch is loaded."""
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": name})
+
+
 # ------------------------------------------------------------------------------------------------- reading
 
 def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, envelope: str | None = None,

@@ -55,3 +55,18 @@ def test_run_batch_on_storage_matches_in_memory(spark, tmp_path):
     parts = sorted(p for p in os.listdir(f"{root}/fct_sales") if p.startswith("order_date_id="))
     # line 1 moved from day 1 to day 3: day 1 is gone, not left with a stale copy
     assert parts == ["order_date_id=20240102", "order_date_id=20240103", "order_date_id=20240104"]
+
+
+def test_staging_table_replace_create_drop(spark):
+    import pytest
+
+    from starload.sources.landing import create_table_or_fail, drop_table, replace_table
+
+    df = spark.range(3)
+    replace_table(df, "starload_stg_t")
+    replace_table(spark.range(5), "starload_stg_t")
+    assert spark.table("starload_stg_t").count() == 5
+    with pytest.raises(Exception):
+        create_table_or_fail(df, "starload_stg_t")
+    drop_table(spark, "starload_stg_t")
+    assert not spark.catalog.tableExists("starload_stg_t")

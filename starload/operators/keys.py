@@ -46,9 +46,10 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
         row = start.first()
         start = int(row[0]) if row is not None and row[0] is not None else 0
     cols = _sort_cols(order_cols)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count AQE sizes the range partitions from the data (it merges adjacent ranges, so
+    # the order survives): a 25-row dimension gets one partition, a billion keys get thousands.
     ranged = (
-        df.repartitionByRange(n, *cols)
+        (df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols))
         .sortWithinPartitions(*cols)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())

@@ -25,3 +25,17 @@ def test_keys_null_first(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
     got = sorted((r.sk, r.k) for r in assign_surrogate_keys(df, ["k"], "sk").collect())
     assert got == [(1, None), (2, "a"), (3, "b")]
+
+
+def test_keys_with_adaptive_partitions(spark):
+    """Default path: AQE decides how many range partitions to keep; keys must still equal row_number."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        df = spark.range(20000).select((F.col("id") * 7919 % 20011).cast("string").alias("k"))
+        got = assign_surrogate_keys(df, ["k"], "sk")
+        ref = df.withColumn("rn", F.row_number().over(Window.orderBy("k")))
+        assert got.join(ref, "k").where(F.col("sk") != F.col("rn")).count() == 0
+        assert got.select("sk").distinct().count() == 20000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

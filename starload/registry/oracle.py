@@ -408,6 +408,7 @@ def queries() -> dict[str, str]:
     out["time_ordered_id"] = sql_with() + f"""select line_item_id, {digits} || upper(substr(md5(line_item_id), 1, 16))
         as tid from (select line_item_id, cast(order_time as bigint) * 1000 ms from stg_orders)"""
     out["stream_ingest"] = sql_with() + _sel("stg_traffic")
+    out["stream_ingest_orders"] = sql_with() + _sel("stg_orders")
     out["check_unique"] = sql_with() + """select order_id, sku_id, count(*) n from stg_orders
         group by 1, 2 having count(*) > 1"""
     return out

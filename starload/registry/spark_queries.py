@@ -40,7 +40,7 @@ from starload.sources.landing import (
     validate_orders,
 )
 from starload.schemas import DIM_CUSTOMER, DIM_SKU, STG_ORDERS, STG_TRAFFIC, empty_frame
-from starload.streaming.ingest import stream_ingest_to_table
+from starload.streaming.ingest import stream_ingest_orders_to_table, stream_ingest_to_table
 
 
 def _s(spark: SparkSession) -> SparkSession:
@@ -409,6 +409,13 @@ def stream_ingest_q(spark, d):
     return stream_ingest_to_table(spark, src)
 
 
+def stream_ingest_orders_q(spark, d):
+    """Land nested orders per 4-hour batch, consume them with an available-now file stream, validate and
+    flatten each micro-batch and merge it into the staged lines by line id."""
+    spark = _s(spark)
+    return stream_ingest_orders_to_table(spark, _land_orders(spark, B.stg_orders(spark, d)))
+
+
 REGISTRY = {
     "daily_revenue_by_country": daily_revenue_by_country,
     "ingest_orders": ingest_orders_q,
@@ -451,4 +458,5 @@ REGISTRY = {
     "check_unique": check_unique_q,
     "check_foreign_key": check_foreign_key_q,
     "stream_ingest": stream_ingest_q,
+    "stream_ingest_orders": stream_ingest_orders_q,
 }

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starload.operators.merge import merge_upsert
-from starload.schemas import RAW_VISIT, STG_TRAFFIC, empty_frame
+from starload.schemas import RAW_ORDER, RAW_VISIT, STG_ORDERS, STG_TRAFFIC, empty_frame
 from starload.session import scratch_path
-from starload.sources.landing import ingest_traffic
+from starload.sources.landing import ingest_orders, ingest_traffic
 
 
 def stream_ingest(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, archive: str,
@@ -53,33 +53,48 @@ def _versions(spark: SparkSession, base: str) -> dict[int, str]:
     return out
 
 
-def stream_ingest_to_table(spark: SparkSession, path: str, table_path: str | None = None,
-                           checkpoint: str | None = None, archive: str | None = None) -> DataFrame:
-    """Consume landed traffic files into a parquet table of staged sessions keyed by ``session_id``.
+def stream_merge_to_table(spark: SparkSession, path: str, raw_schema: T.StructType,
+                          transform: Callable[[DataFrame], DataFrame], keys: list[str], order: str,
+                          table_path: str | None = None, checkpoint: str | None = None,
+                          archive: str | None = None) -> DataFrame:
+    """Consume landed files into a parquet table keyed by ``keys``.
 
-    Each micro-batch is validated, merged by key (latest ``visit_time`` wins) into the latest committed table
-    version, and written as version ``v<batch id>``.  The previous version is found on storage, not kept in
-    memory, so a restarted query continues from what was committed, and a replayed micro-batch rewrites the
-    same version with the same content.  The stream's checkpoint and archive default to folders next to the
-    table, so running again over the same table resumes the same stream.  Returns the latest version.
+    Each micro-batch goes through ``transform`` (validation, flattening), is merged by key (latest ``order``
+    wins) into the latest committed table version, and is written as version ``v<batch id>``.  The previous
+    version is found on storage, not kept in memory, so a restarted query continues from what was committed,
+    and a replayed micro-batch rewrites the same version with the same content.  The stream's checkpoint and
+    archive default to folders next to the table, so running again over the same table resumes the same
+    stream.  Returns the latest version.
     """
     base = (table_path or scratch_path(spark, "stream-table")).rstrip("/")
     checkpoint = checkpoint or f"{base}_checkpoint"
     archive = archive or f"{base}_archive"
 
-    def validate(batch: DataFrame) -> DataFrame:
-        return ingest_traffic(batch)[0].select(*STG_TRAFFIC.names)
-
-    def sink(valid: DataFrame, epoch: int) -> None:
+    def sink(rows: DataFrame, epoch: int) -> None:
         older = {v: p for v, p in _versions(spark, base).items() if v < epoch}
         if older:
-            cur = spark.read.schema(STG_TRAFFIC).parquet(older[max(older)])
-            valid = merge_upsert(cur, valid, ["session_id"], order="visit_time")
-        valid.write.mode("overwrite").parquet(f"{base}/v{epoch:06d}")
+            cur = spark.read.schema(rows.schema).parquet(older[max(older)])
+            rows = merge_upsert(cur, rows, keys, order=order)
+        rows.write.mode("overwrite").parquet(f"{base}/v{epoch:06d}")
 
-    q = stream_ingest(spark, path, RAW_VISIT, checkpoint, archive, sink, transform=validate)
+    q = stream_ingest(spark, path, raw_schema, checkpoint, archive, sink, transform=transform)
     q.awaitTermination()
     done = _versions(spark, base)
-    if not done:
-        return empty_frame(spark, STG_TRAFFIC)
-    return spark.read.schema(STG_TRAFFIC).parquet(done[max(done)])
+    return spark.read.parquet(done[max(done)]) if done else None
+
+
+def stream_ingest_to_table(spark: SparkSession, path: str, table_path: str | None = None,
+                           checkpoint: str | None = None, archive: str | None = None) -> DataFrame:
+    """Landed web sessions -> staged sessions keyed by ``session_id`` (see :func:`stream_merge_to_table`)."""
+    out = stream_merge_to_table(spark, path, RAW_VISIT, lambda b: ingest_traffic(b)[0].select(*STG_TRAFFIC.names),
+                                ["session_id"], "visit_time", table_path, checkpoint, archive)
+    return empty_frame(spark, STG_TRAFFIC) if out is None else out.select(*STG_TRAFFIC.names)
+
+
+def stream_ingest_orders_to_table(spark: SparkSession, path: str, table_path: str | None = None,
+                                  checkpoint: str | None = None, archive: str | None = None) -> DataFrame:
+    """Landed nested orders -> flat staged lines keyed by ``line_item_id``; invalid orders are dropped from
+    the table (``ingest_orders`` quarantines them)."""
+    out = stream_merge_to_table(spark, path, RAW_ORDER, lambda b: ingest_orders(b)[0].select(*STG_ORDERS.names),
+                                ["line_item_id"], "updated_at", table_path, checkpoint, archive)
+    return empty_frame(spark, STG_ORDERS) if out is None else out.select(*STG_ORDERS.names)

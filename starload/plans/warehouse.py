@@ -173,9 +173,16 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
             *FCT_PERIODIC_SUMMARY.names), ["date_id"]), "fct_periodic_summary"))
     if root is not None:
-        for name in ("dim_location", "dim_customer", "dim_sku", "dim_device", "dim_channel", "fct_periodic_summary"):
+        # Customer, SKU and summary were already materialised in the shared checkpoint folder during the batch;
+        # the insert-only dimensions still read the root's files (old rows plus new keys), so they get a
+        # scratch copy first: a table is never overwritten while it is being read.
+        read_root = {"dim_location", "dim_device", "dim_channel"}
+        touched = ({"dim_location", "dim_customer", "dim_sku", "fct_periodic_summary"} if has_orders else set()) | \
+            ({"dim_device", "dim_channel"} if has_traffic else set())
+        for name in sorted(touched):
             df = getattr(w, name)
-            materialize(df, name).write.mode("overwrite").parquet(f"{root}/{name}")
+            src = materialize(df, name) if (name in read_root or not persist) else df
+            src.write.mode("overwrite").parquet(f"{root}/{name}")
             w = replace(w, **{name: spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)})
     return w
 

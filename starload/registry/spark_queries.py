@@ -282,48 +282,51 @@ def scd2_parity_all_versions(spark, d):
 
 # ------------------------------------------------------------------------------------------------ facts
 
-def _w1(i: B.Inputs):
-    return run_batch(i.spark, empty_warehouse(i.spark), i.orders_b1, i.traffic_b1, staged=True)
+def _w1(i: B.Inputs, orders: bool = True, traffic: bool = True):
+    """Batch 1 into an empty warehouse; a query that reports on one feed loads only that feed."""
+    return run_batch(i.spark, empty_warehouse(i.spark), i.orders_b1 if orders else None,
+                     i.traffic_b1 if traffic else None, staged=True)
 
 
-def _w2(i: B.Inputs, w1=None):
-    return run_batch(i.spark, w1 if w1 is not None else _w1(i), i.orders_b2, i.traffic_b2, staged=True)
+def _w2(i: B.Inputs, w1=None, orders: bool = True, traffic: bool = True):
+    w1 = w1 if w1 is not None else _w1(i, orders, traffic)
+    return run_batch(i.spark, w1, i.orders_b2 if orders else None, i.traffic_b2 if traffic else None, staged=True)
 
 
 def fct_sales_q(spark, d):
     spark = _s(spark)
-    return _w1(B.Inputs(spark, d)).fct_sales
+    return _w1(B.Inputs(spark, d), traffic=False).fct_sales
 
 
 def fct_traffic_q(spark, d):
     spark = _s(spark)
-    return _w1(B.Inputs(spark, d)).fct_traffic
+    return _w1(B.Inputs(spark, d), orders=False).fct_traffic
 
 
 def unresolved_keys(spark, d):
     """Batch 2 resolved against batch 1's current versions: changed customers and prices are quarantined."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = _w1(i)
+    w = _w1(i, traffic=False)
     return unresolved_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku)
 
 
 def fct_sales_asof(spark, d):
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = _w2(i)
+    w = _w2(i, traffic=False)
     good, _ = build_fct_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku, mode="asof")
     return good
 
 
 def merge_sales(spark, d):
     spark = _s(spark)
-    return _w2(B.Inputs(spark, d)).fct_sales
+    return _w2(B.Inputs(spark, d), traffic=False).fct_sales
 
 
 def merge_traffic(spark, d):
     spark = _s(spark)
-    return _w2(B.Inputs(spark, d)).fct_traffic
+    return _w2(B.Inputs(spark, d), orders=False).fct_traffic
 
 
 def merge_summary(spark, d):
@@ -335,8 +338,8 @@ def check_foreign_key_q(spark, d):
     """Batch-1 sales lines whose customer version is no longer current after batch 2."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w1 = _w1(i)
-    w2 = _w2(i, w1)
+    w1 = _w1(i, traffic=False)
+    w2 = _w2(i, w1, traffic=False)
     active = w2.dim_customer.where(F.col("current_row_indicator") == "Active")
     return check_foreign_key(w1.fct_sales, active, ["customer_id"])
 

@@ -126,13 +126,14 @@ def _merge_fact(spark: SparkSession, current: DataFrame, batch: DataFrame, key:
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
               fact_mode: str = "active", persist: bool = True, staged: bool = False,
-              root: str | None = None) -> Warehouse:
+              root: str | None = None, summary: bool = True) -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
     Empty or missing inputs skip their branch (and the summary when there are no orders).  With
     ``persist=True`` each new table is written once, so later batches start from files, not lineage.
     Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
     ``staged=True`` says the inputs are already materialised (or cheap filters of materialised tables).
+    ``summary=False`` leaves the daily summary as it was (for callers that only need the facts).
     With ``root`` the warehouse lives on storage: facts are partitioned by date there and each batch rewrites
     only the partitions it touches; dimensions and the summary are rewritten whole (they are small).  Start
     from ``load_warehouse(spark, root)`` (or ``empty_warehouse`` for the first batch).
@@ -167,7 +168,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
     for part in _parallel(sales_branch if has_orders else None, traffic_branch if has_traffic else None):
         changes.update(part)
     w = replace(w, **changes)
-    if has_orders:
+    if has_orders and summary:
         dates = touched_dates(orders, "order_time")
         summary = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer)
         w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
@@ -177,7 +178,8 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         # the insert-only dimensions still read the root's files (old rows plus new keys), so they get a
         # scratch copy first: a table is never overwritten while it is being read.
         read_root = {"dim_location", "dim_device", "dim_channel"}
-        touched = ({"dim_location", "dim_customer", "dim_sku", "fct_periodic_summary"} if has_orders else set()) | \
+        touched = ({"dim_location", "dim_customer", "dim_sku"} if has_orders else set()) | \
+            ({"fct_periodic_summary"} if has_orders and summary else set()) | \
             ({"dim_device", "dim_channel"} if has_traffic else set())
         for name in sorted(touched):
             df = getattr(w, name)

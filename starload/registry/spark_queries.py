@@ -52,7 +52,7 @@ def _s(spark: SparkSession) -> SparkSession:
 def daily_revenue_by_country(spark, d):
     """Load all orders as one batch (dims, keys, fact) and report revenue per day and country."""
     spark = _s(spark)
-    w = run_batch(spark, empty_warehouse(spark), B.stg_orders(spark, d), None)
+    w = run_batch(spark, empty_warehouse(spark), B.stg_orders(spark, d), None, summary=False)
     return revenue_by_day_and_country(w)
 
 

@@ -358,7 +358,7 @@ def periodic_summary(spark, d):
 def periodic_summary_parity(spark, d):
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = run_batch(spark, empty_warehouse(spark), i.orders, i.traffic, staged=True)
+    w = run_batch(spark, empty_warehouse(spark), i.orders, i.traffic, staged=True, summary=False)
     return build_periodic_summary_parity(w.fct_sales, i.traffic, touched_dates(i.orders, "order_time"))
 
 

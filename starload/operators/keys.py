@@ -64,3 +64,40 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
     offset_col = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
     position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
     return fixed.withColumn(name, offset_col + position + 1).drop(_PID, _MID)
+
+
+def successor_value(df: DataFrame, group: str, order_cols: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out`` = ``value`` of the next row of the same ``group`` in ascending ``order_cols`` order (NULL
+    for the group's last row), without a window partitioned by ``group``.
+
+    Rows are range-partitioned and sorted on (group, order_cols), so a group with a very large share of the
+    rows spans many partitions.  Each row's position is materialised (partition id, position in partition);
+    its successor position is the next position in the same partition, or the first row of the next non-empty
+    partition (from the per-partition counts, one number per partition).  One equi-join on (group, successor
+    position) then fetches the value: every row matches at most one row, so no pairs are formed.
+    ``order_cols`` must make rows unique within a group.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    cols = _sort_cols([group, *order_cols])
+    ranged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+              .withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id()))
+    fixed = materialize(ranged, "successor")
+    counts = {r[0]: r[1] for r in fixed.groupBy(_PID).count().collect()}
+    n_parts = max(counts) + 1 if counts else 1
+    sizes = [counts.get(p, 0) for p in range(n_parts)]
+    next_nonempty = [next((q for q in range(p + 1, n_parts) if sizes[q]), -1) for p in range(n_parts)]
+    pid = F.col(_PID)
+    pos = F.col(_MID) - F.shiftleft(pid.cast("bigint"), 33)
+    last = F.element_at(F.array(*[F.lit(s - 1).cast("bigint") for s in sizes]), pid + 1)
+    nxt = F.element_at(F.array(*[F.lit(q) for q in next_nonempty]), pid + 1)
+    left = fixed.withColumns({
+        "__succ_pid": F.when(pos < last, pid).otherwise(nxt),
+        "__succ_pos": F.when(pos < last, pos + 1).otherwise(F.lit(0).cast("bigint")),
+    })
+    right = fixed.select(F.col(group).alias("__sg"), F.col(_PID).alias("__sp"), pos.alias("__sq"),
+                         F.col(value).alias(out))
+    cond = (left[group].eqNullSafe(right["__sg"]) & (left["__succ_pid"] == right["__sp"])
+            & (left["__succ_pos"] == right["__sq"]))
+    return (left.join(right, cond, "left")
+            .drop("__sg", "__sp", "__sq", "__succ_pid", "__succ_pos", _PID, _MID))

@@ -120,3 +120,19 @@ def test_scd2_apply_generic_keys(spark):
     s = spark.createDataFrame([("k", "1", T0)], "bk string, a string, t long")
     d = scd2_apply(t, s, "bk", ["a"], "t", "sk")
     assert [(r.sk, r.current_row_indicator) for r in d.collect()] == [(1, "Active")]
+
+
+def test_expire_paths_agree(spark):
+    """The windowed and the range-partitioned successor path give the same dimension."""
+    from starload.operators.dims import scd2_expire
+
+    recs = [("C1", n, T0 + i * 10) for i, n in enumerate(["a", "b", "a", "c", "d"])] + [("C2", "x", T0)]
+    d = spark.createDataFrame(
+        [(i + 1, bk, nm, ts(t), None, "Active", ts(t)) for i, (bk, nm, t) in enumerate(recs)],
+        "customer_id long, customer_bk string, customer_name string, row_eff_time timestamp, "
+        "row_exp_time timestamp, current_row_indicator string, updated_at timestamp")
+    touched = spark.createDataFrame([("C1",), ("C2",)], "customer_bk string")
+    a = scd2_expire(d, touched, "customer_bk", "customer_id")
+    b = scd2_expire(d, touched, "customer_bk", "customer_id", window_max_rows=0)
+    assert sorted(a.collect()) == sorted(b.collect())
+    check_intervals(rows(a, "row_eff_time"))

@@ -39,3 +39,22 @@ def test_keys_with_adaptive_partitions(spark):
         assert got.select("sk").distinct().count() == 20000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_successor_value_matches_lead(spark):
+    from starload.operators.keys import successor_value
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        # group 'HOT' holds a third of the rows and spans many range partitions
+        df = spark.range(6000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 97).cast("string")).alias("g"),
+            ((F.col("id") * 7919) % 6007).alias("t"), F.col("id").alias("sk"))
+        got = successor_value(df, "g", ["t", "sk"], "t", "nxt")
+        ref = df.withColumn("ref", F.lead("t").over(Window.partitionBy("g").orderBy("t", "sk")))
+        j = got.join(ref, ["g", "t", "sk"])
+        assert j.count() == 6000
+        assert j.where(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

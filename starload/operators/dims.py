@@ -67,16 +67,25 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
     )
     if compare not in ("current", "all"):
         raise ValueError(f"compare must be 'current' or 'all', not {compare!r}")
-    versions = target if compare == "all" else target.where(F.col("current_row_indicator") == ACTIVE)
-    versions = versions.select(F.col(bk).alias("__bk"), *[F.col(a).alias(f"__{a}") for a in attrs])
-    # Left join on the business key only: the fan-out is bounded by the number of versions of one key.
-    joined = cand.join(versions, cand[bk] == versions["__bk"], "left")
-    keep = F.col("__bk").isNull() | _distinct_on(attrs, joined, joined, [f"__{a}" for a in attrs])
-    new = joined.where(keep).select(*cand.columns)
-    if compare == "all":
-        # several versions may differ from the same candidate; the join output is already clustered by key,
-        # so this dedupe adds no shuffle
-        new = new.dropDuplicates()
+    if compare == "current":
+        # at most one Active version per key: a 1:1 left join on the business key
+        versions = target.where(F.col("current_row_indicator") == ACTIVE).select(
+            F.col(bk).alias("__bk"), *[F.col(a).alias(f"__{a}") for a in attrs])
+        joined = cand.join(versions, cand[bk] == versions["__bk"], "left")
+        keep = F.col("__bk").isNull() | _distinct_on(attrs, joined, joined, [f"__{a}" for a in attrs])
+        new = joined.where(keep).select(*cand.columns)
+    else:
+        # "differs from at least one version" == the key has more versions than versions equal to the
+        # candidate.  Both counts are partial aggregates joined 1:1, so a key with very many versions never
+        # pairs each candidate with each of its versions.
+        per_key = target.groupBy(F.col(bk).alias("__bk")).agg(F.count(F.lit(1)).alias("__n"))
+        per_set = target.groupBy(F.col(bk).alias("__sbk"), *[F.col(a).alias(f"__s_{a}") for a in attrs]).agg(
+            F.count(F.lit(1)).alias("__eq"))
+        c = cand.join(per_key, cand[bk] == per_key["__bk"], "left")
+        c = c.join(per_set, (c[bk] == per_set["__sbk"]) & ~_distinct_on(attrs, c, per_set,
+                                                                        [f"__s_{a}" for a in attrs]), "left")
+        keep = F.col("__n").isNull() | (F.col("__n") > F.coalesce(F.col("__eq"), F.lit(0)))
+        new = c.where(keep).select(*cand.columns)
     return new.withColumns({
         "row_exp_time": F.lit(None).cast("timestamp"),
         "current_row_indicator": F.lit(ACTIVE),

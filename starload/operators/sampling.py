@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from starload.operators.keys import assign_surrogate_keys
 
 
+CHUNK = 10_000
+
+
 def seeded_hash(key, seed) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.md5(F.concat(k.cast("string"), F.lit(str(seed))))
@@ -56,10 +59,17 @@ def sample_per_group(groups: DataFrame, items: DataFrame, group_key: str, k_col:
     if m == 0:
         return groups.limit(0).select(group_key).withColumn("pick", F.lit(1)).join(
             ranked.drop("__pos"), F.lit(False), "inner")
-    k = F.least(F.col(k_col).cast("int"), F.lit(m).cast("int"))
-    picks = (groups.select(group_key, k.alias("__k"), F.pmod(hash_int(group_key, seed), F.lit(m)).alias("__off"))
-             .where(F.col("__k") > 0)
-             .withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)))
-             .select(group_key, (F.col("__i") + 1).alias("pick"),
+    k = F.least(F.col(k_col).cast("bigint"), F.lit(m).cast("bigint"))
+    # Picks are generated in chunks of CHUNK: first one row per chunk, spread over the cluster, then the picks
+    # of each chunk, so a group asking for millions of items is not generated by one task.
+    chunks = (groups.select(group_key, k.alias("__k"), F.pmod(hash_int(group_key, seed), F.lit(m)).alias("__off"))
+              .where(F.col("__k") > 0)
+              .withColumn("__c", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      F.floor((F.col("__k") - 1) / CHUNK).cast("bigint")))))
+    chunks = chunks.repartition(group_key, "__c")
+    lo = F.col("__c") * CHUNK
+    hi = F.least(F.col("__k"), lo + CHUNK) - 1
+    picks = (chunks.withColumn("__i", F.explode(F.sequence(lo, hi)))
+             .select(group_key, (F.col("__i") + 1).cast("int").alias("pick"),
                      F.pmod(F.col("__off") + F.col("__i"), F.lit(m)).alias("__pos")))
     return picks.join(ranked, "__pos").drop("__pos")

@@ -84,3 +84,13 @@ def test_sample_per_group_hot_group_is_capped_by_catalogue_only(spark):
     items = spark.range(50).withColumnRenamed("id", "item")
     s = sample_per_group(groups, items, "g", "k", "item", 1)
     assert s.count() == 50 and s.select("item").distinct().count() == 50
+
+
+def test_sample_per_group_spans_chunks(spark):
+    groups = spark.createDataFrame([(1, 10 ** 9), (2, 3)], "g long, k long")
+    items = spark.range(25000).withColumnRenamed("id", "item")
+    s = sample_per_group(groups, items, "g", "k", "item", 5)
+    one = s.where("g = 1")
+    assert one.count() == 25000 and one.select("item").distinct().count() == 25000
+    assert one.agg({"pick": "max"}).first()[0] == 25000
+    assert s.where("g = 2").count() == 3

@@ -352,6 +352,8 @@ def queries() -> dict[str, str]:
     _, bad = fct_sales(q, "u", "stg_orders_b2", w1["loc"], w1["cust"], w1["sku"])
     out["unresolved_keys"] = q.render(f"""select line_item_id, order_id, sku_id is null missing_sku_id,
         customer_id is null missing_customer_id, location_id is null missing_location_id from {bad}""")
+    out["check_not_null"] = q.render("""select line_item_id, sku_id, customer_id, location_id from u_f
+        where sku_id is null or customer_id is null or location_id is null""")
     w2 = warehouse(q, "w2", w1, "stg_orders_b2", "traffic_b2")
     out["merge_sales"] = q.render(_sel(w2["fs"]))
     out["merge_traffic"] = q.render(_sel(w2["ft"]))

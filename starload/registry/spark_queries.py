@@ -11,12 +11,12 @@ from starload.functions.ids import time_ordered_id
 from starload.operators.dims import scd2_changes, scd2_expire, scd2_order_cols
 from starload.operators.keys import assign_surrogate_keys
 from starload.operators.nested import explode_items, nest_orders
-from starload.operators.quality import check_foreign_key, check_unique
+from starload.operators.quality import check_foreign_key, check_not_null, check_unique
 from starload.operators.sampling import random_sample, sample_per_group, sample_table
 from starload.operators.windowing import assign_windows, diagonal_union
 from starload.plans.calendar import apply_holidays, build_dim_date, date_bounds
 from starload.plans.catalog import build_sku_catalog
-from starload.plans.facts import SKU_ATTRS, build_fct_sales, unresolved_sales
+from starload.plans.facts import SKU_ATTRS, build_fct_sales, resolve_sales, unresolved_sales
 from starload.plans.summary import build_periodic_summary_parity, touched_dates
 from starload.plans.warehouse import (
     empty_warehouse,
@@ -344,6 +344,17 @@ def check_foreign_key_q(spark, d):
     return check_foreign_key(w1.fct_sales, active, ["customer_id"])
 
 
+def check_not_null_q(spark, d):
+    """The NOT NULL rule of the fact's key columns, checked on batch 2 resolved against batch 1's current
+    versions (before the split into fact and quarantine)."""
+    spark = _s(spark)
+    i = B.Inputs(spark, d)
+    w = _w1(i, traffic=False)
+    r = resolve_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku)
+    return check_not_null(r, ["sku_id", "customer_id", "location_id"]).select(
+        "line_item_id", "sku_id", "customer_id", "location_id")
+
+
 def touched_dates_q(spark, d):
     spark = _s(spark)
     return touched_dates(B.stg_orders_b2(spark, d), "order_time")
@@ -460,6 +471,7 @@ REGISTRY = {
     "time_ordered_id": time_ordered_id_q,
     "check_unique": check_unique_q,
     "check_foreign_key": check_foreign_key_q,
+    "check_not_null": check_not_null_q,
     "stream_ingest": stream_ingest_q,
     "stream_ingest_orders": stream_ingest_orders_q,
 }

@@ -37,15 +37,14 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
                           ) -> DataFrame:
     """Add a dense ``bigint`` key ``name`` = start + 1, start + 2, ... in ``order_cols`` order.
 
-    ``start`` may be an int or a one-row, one-column DataFrame (e.g. ``max(sk)`` of the target, NULL meaning
-    0), which is planned as a scalar subquery of the final projection rather than fetched to the driver.
+    ``start`` may be an int or a one-row, one-column DataFrame (e.g. ``max(sk)`` of the target), which is
+    evaluated once.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    base = F.lit(0).cast("bigint")
     if isinstance(start, DataFrame):
-        base = F.coalesce(start.scalar().cast("bigint"), base)
-        start = 0
+        row = start.first()
+        start = int(row[0]) if row is not None and row[0] is not None else 0
     cols = _sort_cols(order_cols)
     # Without an explicit count AQE sizes the range partitions from the data (it merges adjacent ranges, so
     # the order survives): a 25-row dimension gets one partition, a billion keys get thousands.
@@ -64,7 +63,7 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
     offsets = [start] + [start + s for s in list(accumulate(sizes))[:-1]]
     offset_col = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
     position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
-    return fixed.withColumn(name, base + offset_col + position + 1).drop(_PID, _MID)
+    return fixed.withColumn(name, offset_col + position + 1).drop(_PID, _MID)
 
 
 def successor_value(df: DataFrame, group: str, order_cols: list[str], value: str, out: str) -> DataFrame:

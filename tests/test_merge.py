@@ -45,3 +45,24 @@ def test_partitioned_merge_equals_full_merge(spark):
     assert sorted(full.collect()) == sorted(part.collect())
     got = {r.k: (r.d, r.q, r.created_at) for r in part.collect()}
     assert got == {"a": (1, 5, 10), "b": (3, 6, 10), "c": (2, 3, 10), "e": (None, 9, 10), "z": (3, 7, 20)}
+
+
+def test_partitioned_merge_random(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from("abcdefgh"), st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9),
+                    st.integers(0, 5))
+    schema = "k string, d int, q int, created_at long"
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, max_size=8, unique_by=lambda r: r[0]), st.lists(row, max_size=6, unique_by=lambda r: r[0]))
+    def check(target_rows, src_rows):
+        t = spark.createDataFrame(target_rows, schema)
+        s = spark.createDataFrame(src_rows, schema)
+        full = merge_upsert(t, s, ["k"], preserve=["created_at"])
+        part = merge_upsert(t, s, ["k"], preserve=["created_at"], partition_col="d")
+        key = lambda r: tuple((v is None, v) for v in r)
+        assert sorted(full.collect(), key=key) == sorted(part.collect(), key=key)
+
+    check()

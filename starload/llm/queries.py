@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.llm.bpe import token_counts
 from starload.llm.common import table
 from starload.llm.minhash import near_duplicates
+from starload.llm.packing import pack
+
+#: The tokenizer of the registered queries; the operators take any path.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024).withColumnRenamed("id", "doc_id")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,4 +31,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-QUERIES = {"op3_minhash": op3_minhash}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens; one row per piece."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op3_minhash": op3_minhash,
+    "op8_packing": op8_packing,
+}

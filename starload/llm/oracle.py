@@ -18,4 +18,16 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS componen
 FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
 """
 
-ORACLE = {"op3_minhash": OP3}
+OP6 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), f AS (SELECT hex, payload_bytes, min(page_id) AS response FROM p GROUP BY ALL)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> response THEN response END AS refers_to
+FROM p JOIN f USING (hex, payload_bytes)
+"""
+
+ORACLE = {"op3_minhash": OP3, "op6_warc": OP6}

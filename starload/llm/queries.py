@@ -9,6 +9,8 @@ from starload.llm.bpe import token_counts
 from starload.llm.common import table
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
+from starload.llm.warc import read_archives, write_archives
+from starload.session import scratch_path
 
 #: The tokenizer of the registered queries; the operators take any path.
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +33,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive all pages and read the archives back; one row per page."""
+    folder = scratch_path(spark, "warc")
+    back = read_archives(spark, write_archives(table(spark, sf_dir, "pages"), folder), payloads=False)
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; one row per piece."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048).withColumnRenamed("id", "doc_id")
@@ -39,5 +48,6 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
+    "op6_warc": op6_warc,
     "op8_packing": op8_packing,
 }

@@ -30,4 +30,21 @@ SELECT page_id, payload_bytes,
 FROM p JOIN f USING (hex, payload_bytes)
 """
 
-ORACLE = {"op3_minhash": OP3, "op6_warc": OP6}
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), l AS (SELECT item_id, ws, least(10, len(ws)) AS k FROM i WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda p: array_to_string(ws[p : p + k - 1], ' '))) AS win FROM l),
+ks AS (SELECT DISTINCT k FROM l),
+dp AS (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM d, ks WHERE len(ws) >= k),
+dw AS (SELECT doc_id, k, p, array_to_string(ws[p : p + k - 1], ' ') AS win FROM dp),
+h AS (SELECT doc_id, p, k, item_id FROM dw JOIN iw USING (k, win)),
+n AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS x FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10}

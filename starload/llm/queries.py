@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.llm.bpe import token_counts
 from starload.llm.common import table
+from starload.llm.decontam import contamination
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
 from starload.llm.warc import read_archives, write_archives
@@ -45,9 +46,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048).withColumnRenamed("id", "doc_id")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of ten words of benchmark items."""
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
     "op6_warc": op6_warc,
     "op8_packing": op8_packing,
+    "op10_decontamination": op10_decontamination,
 }

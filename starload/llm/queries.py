@@ -10,6 +10,7 @@ from starload.llm.common import table
 from starload.llm.decontam import contamination
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
+from starload.llm.paragraphs import repeated_passages
 from starload.llm.warc import read_archives, write_archives
 from starload.session import scratch_path
 
@@ -41,6 +42,13 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of documents that an earlier document has; words from start_word to end_word are repeats of first_doc_id's."""
+    out = repeated_passages(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"), F.col("first_id").alias("first_doc_id"),
+                      F.col("first_start").alias("first_start_word"), F.col("first_end").alias("first_end_word"), F.col("cluster_id").alias("cluster_doc_id"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; one row per piece."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048).withColumnRenamed("id", "doc_id")
@@ -58,6 +66,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
     "op6_warc": op6_warc,
+    "op7_paragraphs": op7_paragraphs,
     "op8_packing": op8_packing,
     "op10_decontamination": op10_decontamination,
 }

@@ -11,6 +11,7 @@ from starload.llm.decontam import contamination
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
+from starload.llm.suffixes import duplicate_spans
 from starload.llm.warc import read_archives, write_archives
 from starload.session import scratch_path
 
@@ -54,6 +55,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048).withColumnRenamed("id", "doc_id")
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of at least 50 words that occur elsewhere; where ``repeat`` is true, the other occurrence stands earlier."""
+    out = duplicate_spans(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "repeat",
+                      F.col("other_id").alias("other_doc_id"), F.col("other_start").alias("other_start_word"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in windows of ten words of benchmark items."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,5 +76,6 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_paragraphs": op7_paragraphs,
     "op8_packing": op8_packing,
+    "op9_suffixes": op9_suffixes,
     "op10_decontamination": op10_decontamination,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starload.llm.bpe import token_counts
 from starload.llm.common import table
 from starload.llm.decontam import contamination
+from starload.llm.language import address_parts, identify, markup_language, visible_text
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
@@ -36,6 +37,22 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from its text, the declared language and its source as host."""
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return out.select(F.col("id").alias("doc_id"), F.col("lang").alias("language"), F.round("posterior", 6).alias("posterior"), "n_trigrams", F.col("accepted").alias("kept"))
+
+
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its visible text, the markup's declaration, and the address' suffix, domain and host."""
+    pages = table(spark, sf_dir, "pages")
+    host, domain, suffix = address_parts(F.col("url"))
+    seen = pages.select("page_id", visible_text(F.col("html")).alias("text"), markup_language(F.col("html")).alias("declared"), host.alias("host"), domain.alias("domain"), suffix.alias("suffix"))
+    out = identify(seen, "page_id", "text", F.col("declared"), F.col("host"), F.col("domain"), F.col("suffix"))
+    return out.select(F.col("id").alias("page_id"), F.col("lang").alias("language"), F.round("posterior", 6).alias("posterior"), "n_trigrams", "accepted")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive all pages and read the archives back; one row per page."""
     folder = scratch_path(spark, "warc")
@@ -73,6 +90,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
+    "op5_language": op5_language,
+    "pages_language": pages_language,
     "op6_warc": op6_warc,
     "op7_paragraphs": op7_paragraphs,
     "op8_packing": op8_packing,

@@ -12,6 +12,7 @@ from starload.llm.language import address_parts, identify, markup_language, visi
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
+from starload.llm.quality import quality
 from starload.llm.suffixes import duplicate_spans
 from starload.llm.warc import read_archives, write_archives
 from starload.session import scratch_path
@@ -26,6 +27,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and likelihood ratio of every document; documents labelled as good are the trusted ones."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("id"))
+    out = quality(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("score", 9).alias("score"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024).withColumnRenamed("id", "doc_id")
@@ -88,6 +96,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
     "op5_language": op5_language,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import os
+from contextvars import ContextVar
+from functools import wraps
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.session import checkpoint_dir
+from starload import session
+from starload.session import checkpoint_dir, scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 #: Bytes and rows of an Arrow batch handed to a Python worker; together they bound a worker's memory.
@@ -28,6 +31,36 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_WORK: ContextVar[str | None] = ContextVar("work", default=None)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the shared checkpoint folder and read again; inside an operator its working folder is used."""
+    folder = _WORK.get()
+    if folder is None:
+        return session.materialize(df, name)
+    path = f"{folder}/{os.path.basename(scratch_path(df.sparkSession, name))}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tidy(operator):
+    """An operator whose working tables go when its result is written, so that a pipeline's stages don't add them up."""
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        spark = ready(docs.sparkSession)
+        folder = scratch_path(spark, f"work-{operator.__name__}")
+        token = _WORK.set(folder)
+        try:
+            return session.materialize(operator(docs, *args, **kwargs), operator.__name__)
+        finally:
+            _WORK.reset(token)
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

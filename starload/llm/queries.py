@@ -9,6 +9,7 @@ from starload.llm.bpe import token_counts
 from starload.llm.common import table
 from starload.llm.decontam import contamination
 from starload.llm.language import address_parts, identify, markup_language, visible_text
+from starload.llm.licenses import scan
 from starload.llm.minhash import near_duplicates
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
@@ -45,6 +46,15 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document.  Documents have no paths, so source, language and doc_id stand in for repository,
+    directory and file name."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    out = scan(docs.select("doc_id", "text", path.alias("path")), "doc_id", "path", "text")
+    return out.select(F.col("id").alias("doc_id"), "path", "licence", F.round("score", 6).alias("score"), "origin", "licence_path")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document from its text, the declared language and its source as host."""
     docs = table(spark, sf_dir, "documents")
@@ -99,6 +109,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op3_minhash": op3_minhash,
+    "op4_licenses": op4_licenses,
     "op5_language": op5_language,
     "pages_language": pages_language,
     "op6_warc": op6_warc,

@@ -19,8 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import ready
-from starload.session import materialize
+from starload.llm.common import materialize, ready
 
 #: Fixed by the format: the skippable frame that holds a dictionary, and the profile of a revisit by digest.
 DICT_MAGIC = 0x184D2A5D
@@ -98,7 +97,7 @@ class Archive:
 
     def _start(self) -> None:
         where, path = _open(self.uri)
-        self.sink = where.open_output_stream(path)
+        self.sink = where.open_output_stream(path, compression=None)  # not by the name's ending
         words = None
         try:
             words = zstandard.train_dictionary(DICT_BYTES, self.waiting, k=256, d=8)
@@ -150,7 +149,7 @@ def _writer(folder: str, date: str, archive_bytes: int):
 def records_of(uri: str) -> Iterator[bytes]:
     """The records of an archive, one at a time."""
     where, path = _open(uri)
-    with where.open_input_stream(path) as source:
+    with where.open_input_stream(path, compression=None) as source:
         data = source.read(8)
         words = None
         if len(data) == 8 and struct.unpack("<I", data[:4])[0] == DICT_MAGIC:

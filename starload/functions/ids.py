@@ -12,9 +12,9 @@ _CONV_BASE32_LETTERS = "ABCDEFGHIJKLMNOPQRSTUV"
 
 
 def padded_id(prefix: str, n, width: int) -> Column:
-    """'ID-00000042' style keys: prefix + zero-padded number."""
-    c = F.col(n) if isinstance(n, str) else n
-    return F.concat(F.lit(prefix), F.lpad(c.cast("string"), width, "0"))
+    """'ID-00000042' style keys: prefix + number, zero-padded to ``width`` digits at least (longer numbers stay whole)."""
+    c = (F.col(n) if isinstance(n, str) else n).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0")))
 
 
 def time_ordered_id(epoch_ms, key) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.keys import assign_surrogate_keys, successor_value
@@ -93,13 +93,7 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
     })
 
 
-# Above this many versions of touched keys, expiry avoids a window partitioned by key (a hot key would be
-# sorted in one task) and uses the range-partitioned successor join instead.
-WINDOW_MAX_ROWS = 2_000_000
-
-
-def scd2_expire(target: DataFrame, touched: DataFrame, bk: str, sk: str, recompute: bool = True,
-                window_max_rows: int = WINDOW_MAX_ROWS) -> DataFrame:
+def scd2_expire(target: DataFrame, touched: DataFrame, bk: str, sk: str, recompute: bool = True) -> DataFrame:
     """Close superseded versions of the keys in ``touched`` (a frame with column ``bk``).
 
     The next newer version's effective time is the key's next version in (effective time, surrogate key)
@@ -110,14 +104,8 @@ def scd2_expire(target: DataFrame, touched: DataFrame, bk: str, sk: str, recompu
     keys = touched.select(bk).distinct()
     hit = target.join(keys, bk, "left_semi")  # only the touched keys' versions are sorted
     rest = target.join(keys, bk, "left_anti")
-    # next newer version's effective time = successor in (row_eff_time, sk) order within the key.  With a
-    # measured bound on the touched versions no task can see more than the bound, so the per-key window is
-    # safe; beyond it the range-partitioned successor join spreads a key with very many versions over tasks.
-    if hit.count() <= window_max_rows:
-        w = Window.partitionBy(bk).orderBy(F.col("row_eff_time").desc(), F.col(sk).desc())
-        hit = hit.withColumn("__next", F.lag("row_eff_time").over(w))
-    else:
-        hit = successor_value(hit, bk, ["row_eff_time", sk], "row_eff_time", "__next")
+    # a key with very many versions is spread over tasks: no window partitioned by the key
+    hit = successor_value(hit, bk, ["row_eff_time", sk], "row_eff_time", "__next")
     if recompute:
         hit = hit.withColumns({
             "row_exp_time": F.col("__next"),

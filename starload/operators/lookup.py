@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.dims import ACTIVE
+from starload.operators.keys import successor_value
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_keys: list[str], dim_keys: list[str], sk: str,
@@ -33,15 +34,15 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_keys: list[str], dim_keys: list
     return fact.join(d, cond, "left").drop(*tmp)
 
 
-def asof_versions(dim: DataFrame, bk: str) -> DataFrame:
-    """Validity intervals of a type-2 dimension with the first version of each key opened to -inf, so a
-    fact older than the key's first sighting still resolves to it.  The first effective time per key is a
-    partial aggregate joined back on the key (no per-key window)."""
-    first = dim.groupBy(F.col(bk).alias("__fbk")).agg(F.min("row_eff_time").alias("__first"))
-    d = dim.join(first, dim[bk] == first["__fbk"], "left")
-    return d.withColumn("__valid_from",
-                        F.when(F.col("row_eff_time") == F.col("__first"), F.lit(None).cast("timestamp"))
-                        .otherwise(F.col("row_eff_time"))).drop("__fbk", "__first")
+def asof_versions(dim: DataFrame, bk: str, sk: str) -> DataFrame:
+    """Validity intervals [__valid_from, __valid_to) of a type-2 dimension, without overlaps whatever the history: a
+    version is valid until the key's next one in (effective time, surrogate key) order begins, a version that ends when it
+    begins is left out, and the first one left is opened to -inf, so an older fact still resolves to it."""
+    d = successor_value(dim, bk, ["row_eff_time", sk], "row_eff_time", "__valid_to")
+    d = d.where(F.col("__valid_to").isNull() | (F.col("row_eff_time") < F.col("__valid_to")))
+    first = d.groupBy(F.col(bk).alias("__fbk")).agg(F.min("row_eff_time").alias("__first"))
+    d = d.join(first, d[bk].eqNullSafe(first["__fbk"]), "left")
+    return d.withColumn("__valid_from", F.when(F.col("row_eff_time") != F.col("__first"), F.col("row_eff_time"))).drop("__fbk", "__first")
 
 
 def _month_bucket(ts, bucket_months: int):
@@ -52,7 +53,7 @@ def _month_bucket(ts, bucket_months: int):
 def lookup_asof(fact: DataFrame, dim: DataFrame, fact_bk: str, bk: str, sk: str, at: str,
                 bucket_months: int = 1) -> DataFrame:
     """Left-join each fact row to the version of its business key valid at time ``at``:
-    ``valid_from <= at < row_exp_time`` with open ends.
+    ``valid_from <= at < valid_to`` with open ends (:func:`asof_versions`), so one row comes out for each fact row.
 
     The join key is (business key, time bucket): each version is listed once per bucket of ``bucket_months``
     months that it overlaps (clamped to the facts' own time span, found with one aggregate), and each fact row
@@ -65,10 +66,11 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, fact_bk: str, bk: str, sk: str,
         fact = fact.drop(sk)
     fb = _month_bucket(fact[at], bucket_months)
     span = fact.agg(F.min(fb).alias("lo"), F.max(fb).alias("hi")).first()
-    d = asof_versions(dim, bk).select(
-        F.col(sk), F.col(bk).alias("__abk"), "__valid_from", F.col("row_exp_time").alias("__valid_to"))
     if span is None or span["lo"] is None:  # no fact has a time: nothing can resolve
         return fact.withColumn(sk, F.lit(None).cast(dim.schema[sk].dataType))
+    seen = fact.select(F.col(fact_bk).alias("__seen")).distinct()  # versions of other keys aren't needed
+    d = asof_versions(dim.join(seen, dim[bk] == F.col("__seen"), "left_semi"), bk, sk).select(
+        F.col(sk), F.col(bk).alias("__abk"), "__valid_from", "__valid_to")
     lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
     frm = F.greatest(F.coalesce(_month_bucket(F.col("__valid_from"), bucket_months), lo), lo)
     to = F.least(F.coalesce(_month_bucket(F.col("__valid_to"), bucket_months), hi), hi)

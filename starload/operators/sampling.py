@@ -20,8 +20,8 @@ def seeded_hash(key, seed) -> Column:
     return F.md5(F.concat(k.cast("string"), F.lit(str(seed))))
 
 
-def hash_int(key, seed, digits: int = 8) -> Column:
-    """A non-negative integer from the first ``digits`` hex digits of the seeded md5."""
+def hash_int(key, seed, digits: int = 15) -> Column:
+    """A non-negative integer from the first ``digits`` hex digits of the seeded md5 (60 bits)."""
     return F.conv(F.substring(seeded_hash(key, seed), 1, digits), 16, 10).cast("bigint")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,12 +125,25 @@ def _merge_fact(spark: SparkSession, current: DataFrame, batch: DataFrame, key:
     return spark.read.schema(current.schema).parquet(f"{root}/{name}").select(*current.columns)
 
 
+def _summary_dates(before: Warehouse, orders: DataFrame | None, traffic: DataFrame | None) -> DataFrame:
+    """The days of a batch's rows, and of the rows that it replaces."""
+    parts = []
+    if orders is not None:
+        parts += [touched_dates(orders, "order_time").select("date_id"), before.fct_sales.join(
+            orders.select("line_item_id").distinct(), "line_item_id", "left_semi").select(F.col("order_date_id").alias("date_id"))]
+    if traffic is not None:
+        parts += [touched_dates(traffic, "visit_time").select("date_id"), before.fct_traffic.join(
+            traffic.select("session_id").distinct(), "session_id", "left_semi").select(F.col("visit_date_id").alias("date_id"))]
+    return reduce(lambda a, b: a.union(b), parts).distinct()
+
+
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
               fact_mode: str = "active", persist: bool = True, staged: bool = False,
               root: str | None = None, summary: bool = True) -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
-    Empty or missing inputs skip their branch (and the summary when there are no orders).  With
+    Empty or missing inputs skip their branch.  The summary is rebuilt for every day whose facts may have changed: the
+    days of both inputs, and those where the rewritten keys stood before.  With
     ``persist=True`` each new table is written once, so later batches start from files, not lineage.
     Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
     ``staged=True`` says the inputs are already materialised (or cheap filters of materialised tables).
@@ -164,22 +178,23 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct,
                     quarantine_traffic=w.quarantine_traffic.unionByName(bad))
 
-    changes = {}
+    before, changes = w, {}
     for part in _parallel(sales_branch if has_orders else None, traffic_branch if has_traffic else None):
         changes.update(part)
     w = replace(w, **changes)
-    if has_orders and summary:
-        dates = touched_dates(orders, "order_time")
-        summary = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer)
-        w = replace(w, fct_periodic_summary=keep(merge_upsert(w.fct_periodic_summary, summary.select(
-            *FCT_PERIODIC_SUMMARY.names), ["date_id"]), "fct_periodic_summary"))
+    if summary and (has_orders or has_traffic):
+        dates = keep(_summary_dates(before, orders if has_orders else None, traffic if has_traffic else None), "dates")
+        days = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer).select(*FCT_PERIODIC_SUMMARY.names)
+        # days that lost their last line go with the old rows
+        untouched = w.fct_periodic_summary.join(dates.select("date_id"), "date_id", "left_anti").select(*FCT_PERIODIC_SUMMARY.names)
+        w = replace(w, fct_periodic_summary=keep(untouched.unionByName(days), "fct_periodic_summary"))
     if root is not None:
         # Customer, SKU and summary were already materialised in the shared checkpoint folder during the batch;
         # the insert-only dimensions still read the root's files (old rows plus new keys), so they get a
         # scratch copy first: a table is never overwritten while it is being read.
         read_root = {"dim_location", "dim_device", "dim_channel"}
         touched = ({"dim_location", "dim_customer", "dim_sku"} if has_orders else set()) | \
-            ({"fct_periodic_summary"} if has_orders and summary else set()) | \
+            ({"fct_periodic_summary"} if summary and (has_orders or has_traffic) else set()) | \
             ({"dim_device", "dim_channel"} if has_traffic else set())
         for name in sorted(touched):
             df = getattr(w, name)

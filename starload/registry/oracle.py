@@ -368,25 +368,22 @@ def queries() -> dict[str, str]:
     q = Sql()
     w = warehouse(q, "w", None, "stg_orders", "stg_traffic")
     out["periodic_summary"] = q.render(_sel(w["sum"]))
-    out["periodic_summary_parity"] = q.render(f"""select cast(strftime(fs.order_time, '%Y%m%d') as int) date_id,
-        count(distinct fs.order_id) unique_orders, count(distinct fs.customer_id) unique_customers,
-        cast(round(sum(fs.quantity)) as bigint) quantity, cast(round(sum(fs.revenue)) as bigint) revenue,
-        cast(round(sum(fs.gross_profit)) as bigint) gross_profit, cast(round(sum(st.page_views)) as bigint) page_views,
-        count(distinct st.session_id) num_sessions, cast(round(sum(st.session_duration)) as bigint) session_duration,
-        cast(round(sum(st.clicks)) as bigint) clicks, cast(round(sum(st.transactions)) as bigint) transactions
-        from {w['fs']} fs
-        join (select distinct cast({TS('order_time')} as date) order_date from stg_orders) so
-          on cast(fs.order_time as date) = so.order_date
-        left join (select cast({TS('visit_time')} as date) visit_date, session_id, page_views, session_duration,
-                   clicks, transactions from stg_traffic) st on cast(fs.order_time as date) = st.visit_date
-        group by 1""")
+    out["periodic_summary_parity"] = q.render(f"""select date_id, count(distinct order_id) unique_orders,
+            count(distinct customer_id) unique_customers, count(distinct session_id) num_sessions,
+            {', '.join(f"cast(round(sum({m})) as decimal(38,0)) {m}" for m in
+                ('quantity', 'revenue', 'gross_profit', 'page_views', 'session_duration', 'clicks', 'transactions'))}
+        from (select line.*, cast(strftime(order_time, '%Y%m%d') as int) as date_id from {w['fs']} line) of_day
+        left join (select cast(strftime({TS('visit_time')}, '%Y%m%d') as int) as date_id, session_id, page_views,
+                   session_duration, clicks, transactions from stg_traffic) visits using (date_id)
+        where date_id in (select {DID('order_time')} from stg_orders)  -- lines of a day are paired with its sessions
+        group by date_id""")
 
     sizes = " union all ".join(f"select {i} si, '{s}' size, cast('{a}' as decimal(4,2)) adj"
                                for i, (s, a) in enumerate(SIZES))
     colors = " union all ".join(f"select {i} ci, '{c}' color" for i, c in enumerate(COLORS))
     out["sku_catalog"] = sql_with() + f"""select
-        'SKU-' || lpad(cast(row_number() over (order by p.pno, s.si, c.ci) - 1 as varchar), 4, '0') sku_id,
-        'P-' || lpad(cast(p.pno - 1 as varchar), 4, '0') product_id, p.product_name, s.size, c.color,
+        'SKU-' || lpad(cast(row_number() over (order by p.pno, s.si, c.ci) - 1 as varchar), greatest(4, length(cast(row_number() over (order by p.pno, s.si, c.ci) - 1 as varchar)))::int, '0') sku_id,
+        'P-' || lpad(cast(p.pno - 1 as varchar), greatest(4, length(cast(p.pno - 1 as varchar)))::int, '0') product_id, p.product_name, s.size, c.color,
         cast(round(p.base_price + s.adj, 2) as decimal(12,2)) price,
         cast(round(p.base_price * 0.6, 2) as decimal(12,2)) cogs
         from (select product_name, base_price, row_number() over (order by product_name) pno from
@@ -399,7 +396,7 @@ def queries() -> dict[str, str]:
           from part),
         m as (select count(*) m from items),
         g as (select o_orderkey, least(n, (select m from m)) k,
-                ('0x' || substr(md5(cast(o_orderkey as varchar) || '7'), 1, 8))::bigint % (select m from m) off
+                ('0x' || substr(md5(cast(o_orderkey as varchar) || '7'), 1, 15))::bigint % (select m from m) off
               from (select l_orderkey o_orderkey, count(*) n from lineitem group by 1)),
         p as (select o_orderkey, cast(i + 1 as int) pick, (off + i) % (select m from m) pos
               from g, lateral (select unnest(range(k)) i))

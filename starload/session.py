@@ -2,7 +2,7 @@
 
 Everything written by the library (landed files, checkpoints, staged merge output) goes under the
 checkpoint directory the cluster names in ``spark.checkpoint.dir``.  We only pick our own directory when
-that setting is absent, which is the case for local tests.
+that setting is absent and the session is local (tests); elsewhere its absence is an error.
 """
 
 from __future__ import annotations
@@ -52,6 +52,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 _FALLBACK_DIR: dict[str, str] = {}
 
 
+def _local_folder(spark: SparkSession) -> str:
+    """A folder of this machine, for a session in one process; executors elsewhere would not see it."""
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - a remote (Connect) session names no master
+        master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="starload-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a local one only when the session has none (tests)."""
     try:
@@ -59,14 +70,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext: use the setting itself
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = _FALLBACK_DIR.setdefault("dir", tempfile.mkdtemp(prefix="starload-ckpt-"))
+            configured = _FALLBACK_DIR.get("dir") or _FALLBACK_DIR.setdefault("dir", _local_folder(spark))
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="starload-ckpt-")
+        configured = _local_folder(spark)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -76,18 +87,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/starload/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df):
-    """Round-robin a frame over the cluster's cores when its scan yields fewer partitions than cores (a file
-    written as one row group is read by one task).  With many input files this is a no-op, so it never adds a
-    shuffle to a large, well-split input."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view in a remote session: leave the scan as it is
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def materialize(df, name: str = "table"):
     """Write ``df`` as parquet under the shared checkpoint directory and read it back.
 

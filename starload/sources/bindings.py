@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.schemas import COORD, MONEY, STG_ORDERS, STG_TRAFFIC
-from starload.session import materialize, spread
+from starload.functions.ids import padded_id
+from starload.session import materialize
 
 # Fixed values of the bindings: 2024-01-01 00:00:00 UTC, one day in seconds, the batch boundaries (day 15 ends
 # batch 1, day 14 starts batch 2, so day 14 is replayed).
@@ -29,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per sales line, flat, in the staging schema."""
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                         "l_quantity"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -48,7 +49,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey",
                                                               "l_suppkey")], q.cast("string")).alias("line_item_id"),
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.concat(F.lit("SKU-"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("sku_id"),
+        padded_id("SKU-", "p_partkey", 8).alias("sku_id"),
         F.col("p_brand").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_size").cast("string").alias("size"),
@@ -56,7 +57,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("price"),
         (price * F.lit(0.6).cast("decimal(1,1)")).cast(MONEY).alias("cogs"),
         q.alias("quantity"),
-        F.concat(F.lit("ID-"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("customer_id"),
+        padded_id("ID-", "c_custkey", 8).alias("customer_id"),
         F.col("c_name").alias("name"),
         F.col("r_name").alias("country"),
         F.col("n_name").alias("place"),
@@ -101,7 +102,7 @@ def batch2_of(orders: DataFrame) -> DataFrame:
 
 def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per web session, in the staging schema."""
-    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    e = (table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     u = F.col("user_id")
     et = F.col("event_type")
     out = e.select(
@@ -184,12 +185,12 @@ SQL_STG_ORDERS = f"""
 select concat_ws('-', cast(l_orderkey as varchar), cast(l_linenumber as varchar), cast(l_partkey as varchar),
                  cast(l_suppkey as varchar), cast(cast(l_quantity as int) as varchar)) line_item_id,
   cast(o_orderkey as varchar) order_id,
-  concat('SKU-', lpad(cast(p_partkey as varchar),8,'0')) sku_id, p_brand product_id, p_name product_name,
+  concat('SKU-', lpad(cast(p_partkey as varchar), greatest(8, length(cast(p_partkey as varchar)))::int, '0')) sku_id, p_brand product_id, p_name product_name,
   cast(p_size as varchar) size, p_type color,
   cast(p_retailprice as decimal(12,2)) price,
   cast(cast(p_retailprice as decimal(12,2))*0.6 as decimal(12,2)) cogs,
   cast(l_quantity as int) quantity,
-  concat('ID-', lpad(cast(c_custkey as varchar),8,'0')) customer_id, c_name name,
+  concat('ID-', lpad(cast(c_custkey as varchar), greatest(8, length(cast(c_custkey as varchar)))::int, '0')) customer_id, c_name name,
   r_name country, n_name place,
   cast(n_nationkey*1.5 as decimal(12,5)) latitude, cast(100-n_nationkey*2.25 as decimal(12,5)) longitude,
   cast({EPOCH_BASE} + (o_orderkey % 30)*{DAY} + (o_orderkey*37) % {DAY} as bigint) order_time,

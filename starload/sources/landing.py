@@ -105,10 +105,10 @@ def read_holidays(spark: SparkSession, path: str, json_array: bool = False) -> D
 
 # ---------------------------------------------------------------------------------------------- validating
 
-def _int(c: str) -> Column:
-    """Lax integer: '14', 14 and 14.0 are 14; '14.5' or 'abc' are invalid (NULL)."""
-    d = (F.col(c)).try_cast("decimal(38,6)")
-    return F.when(d == F.floor(d), d.cast("bigint"))
+def _int(c: str | Column, kind: str = "bigint") -> Column:
+    """Lax integer: '14', 14 and 14.0 are 14; '14.5', 'abc' or a number that ``kind`` can't hold are invalid (NULL)."""
+    d = (F.col(c) if isinstance(c, str) else c).try_cast("decimal(38,6)")
+    return F.when(d == F.floor(d), d.try_cast(kind))
 
 
 def _num(c: str, t: T.DataType) -> Column:
@@ -148,8 +148,7 @@ def validate_orders(raw: DataFrame) -> DataFrame:
         i["line_item_id"].alias("line_item_id"), i["sku_id"].alias("sku_id"), i["product_id"].alias("product_id"),
         i["product_name"].alias("product_name"), i["size"].alias("size"), i["color"].alias("color"),
         (i["price"]).try_cast(MONEY).alias("price"), (i["cogs"]).try_cast(MONEY).alias("cogs"),
-        F.when((i["quantity"]).try_cast("decimal(38,6)") == F.floor((i["quantity"]).try_cast("decimal(38,6)")),
-               (i["quantity"]).try_cast("decimal(38,6)").cast("int")).alias("quantity"),
+        _int(i["quantity"], "int").alias("quantity"),
     ))
     items_present = F.forall(F.col("item_list"), lambda i: _required([i[f] for f in ITEM_REQUIRED]))
     typed = raw.select(
@@ -219,10 +218,10 @@ def ingest_traffic(raw: DataFrame, on_invalid: str = "quarantine") -> tuple[Data
     take their defaults; a present optional number that does not parse is invalid.
     """
     def opt_int(c):
-        return F.coalesce(_int(c), F.lit(VISIT_DEFAULTS[c])).cast("int")
+        return F.coalesce(_int(c, "int"), F.lit(VISIT_DEFAULTS[c]))
 
     typed = raw.select(
-        "session_id", _int("visit_time").alias("visit_time"), _int("page_views").cast("int").alias("page_views"),
+        "session_id", _int("visit_time").alias("visit_time"), _int("page_views", "int").alias("page_views"),
         _num("session_duration", MONEY).alias("session_duration"),
         opt_int("clicks").alias("clicks"),
         *[F.coalesce(F.col(c), F.lit(VISIT_DEFAULTS[c])).alias(c)
@@ -236,8 +235,8 @@ def ingest_traffic(raw: DataFrame, on_invalid: str = "quarantine") -> tuple[Data
         ("bad visit_time", F.col("visit_time").isNull()),
         ("bad page_views", F.col("page_views").isNull()),
         ("bad session_duration", F.col("session_duration").isNull()),
-        ("bad clicks", F.col("__raw_clicks").isNotNull() & _int("__raw_clicks").isNull()),
-        ("bad transactions", F.col("__raw_tx").isNotNull() & _int("__raw_tx").isNull()),
+        ("bad clicks", F.col("__raw_clicks").isNotNull() & _int("__raw_clicks", "int").isNull()),
+        ("bad transactions", F.col("__raw_tx").isNotNull() & _int("__raw_tx", "int").isNull()),
     ]
     reason = F.concat_ws("; ", *[F.when(c, F.lit(n)) for n, c in checks])
     ok = ~reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for _, c in checks])

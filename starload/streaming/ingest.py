@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starload.operators.merge import merge_upsert
+from starload.operators.merge import dedupe_latest, merge_upsert
 from starload.schemas import RAW_ORDER, RAW_VISIT, STG_ORDERS, STG_TRAFFIC, empty_frame
 from starload.session import scratch_path
 from starload.sources.landing import ingest_orders, ingest_traffic
@@ -72,7 +72,9 @@ def stream_merge_to_table(spark: SparkSession, path: str, raw_schema: T.StructTy
 
     def sink(rows: DataFrame, epoch: int) -> None:
         older = {v: p for v, p in _versions(spark, base).items() if v < epoch}
-        if older:
+        if not older:
+            rows = dedupe_latest(rows, keys, order)
+        else:
             cur = spark.read.schema(rows.schema).parquet(older[max(older)])
             rows = merge_upsert(cur, rows, keys, order=order)
         rows.write.mode("overwrite").parquet(f"{base}/v{epoch:06d}")

@@ -56,13 +56,13 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
     or latest (``eff="max"``) sighting of ``ts`` (epoch seconds).  A candidate is new when its key is unknown or
     its attributes differ (null-safe) from the key's Active version (``compare="current"``) or from any version
     (``compare="all"``, which re-inserts a version that equals the newest one but differs from an older one).
-    Returns rows with the dimension's columns except the surrogate key.
+    Rows without a business key are left out.  Returns rows with the dimension's columns except the surrogate key.
     """
     src_bk = src_bk or bk
     src_attrs = src_attrs or attrs
     agg = F.min if eff == "min" else F.max
     cand = (
-        src.groupBy(F.col(src_bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs, attrs)])
+        src.where(F.col(src_bk).isNotNull()).groupBy(F.col(src_bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs, attrs)])
         .agg(agg(F.timestamp_seconds(F.col(ts))).alias("row_eff_time"))
     )
     if compare not in ("current", "all"):

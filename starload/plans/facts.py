@@ -17,12 +17,16 @@ DEVICE_KEYS = ["device_name", "os", "browser"]
 DEVICE_SRC = ["device", "os", "browser"]
 
 SALES_FKS = ["sku_id", "customer_id", "location_id"]
+SALES_KEYS = ["line_item_id", *SALES_FKS]  # what a fact row must have
 TRAFFIC_FKS = ["channel_id", "device_id"]
 
 
 def _resolve_sales(stg: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
                    mode: str) -> DataFrame:
-    stg = dedupe_latest(stg, ["line_item_id"], "updated_at")
+    # an order with an empty item list has one row without a line: kept, one for each order, for the quarantine
+    has_line = F.col("line_item_id").isNotNull()
+    stg = dedupe_latest(stg.where(has_line), ["line_item_id"], "updated_at").unionByName(
+        dedupe_latest(stg.where(~has_line), ["order_id"], "updated_at"))
     f = stg.withColumn("__t", F.timestamp_seconds("order_time"))
     f = lookup(f, dim_location, LOCATION_KEYS, LOCATION_KEYS, "location_id")
     if mode == "active":
@@ -59,7 +63,7 @@ def _lookup_sku_active(f: DataFrame, dim_sku: DataFrame) -> DataFrame:
 
 
 def split_resolved(resolved: DataFrame, fks: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every foreign key set, rows with at least one unresolved key)."""
+    """(rows with every key set, rows with at least one key missing)."""
     ok = F.lit(True)
     for k in fks:
         ok = ok & F.col(k).isNotNull()
@@ -72,9 +76,10 @@ def build_fct_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer
 
     ``mode="active"`` matches the current version on key and attributes, as the load statement does;
     ``mode="asof"`` picks the version valid at the order time, so late lines find the version they belong to.
-    A line whose key cannot be resolved is quarantined instead of producing a NULL foreign key.
+    A line whose key cannot be resolved is quarantined instead of producing a NULL foreign key, and so is an order
+    without lines instead of producing a fact row without an id.
     """
-    return split_resolved(resolve_sales(stg_orders, dim_location, dim_customer, dim_sku, mode), SALES_FKS)
+    return split_resolved(resolve_sales(stg_orders, dim_location, dim_customer, dim_sku, mode), SALES_KEYS)
 
 
 def resolve_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,

@@ -22,7 +22,7 @@ from starload.plans.facts import (
     DEVICE_KEYS,
     DEVICE_SRC,
     LOCATION_KEYS,
-    SALES_FKS,
+    SALES_KEYS,
     SKU_ATTRS,
     build_fct_traffic,
     resolve_sales,
@@ -166,7 +166,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
                                    lambda: keep(load_customer(w.dim_customer, orders), "dim_customer"),
                                    lambda: keep(load_sku(w.dim_sku, orders), "dim_sku"))
         resolved = keep(resolve_sales(orders, loc, cust, sku, fact_mode), "fct_sales_batch")
-        sales, bad = split_resolved(resolved, SALES_FKS)
+        sales, bad = split_resolved(resolved, SALES_KEYS)
         fct = _merge_fact(spark, w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", root, keep)
         return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct,
                     quarantine_sales=w.quarantine_sales.unionByName(bad))

@@ -77,6 +77,17 @@ def test_summary_follows_moved_lines_and_late_sessions(spark, tmp_path):
     assert days == {20231114: (1, 2), 20231116: (6, 1)}
 
 
+def test_empty_orders_make_no_fact_rows(spark, tmp_path):
+    land(f"{tmp_path}/o", "a", [order("O1", T0, [("L1", 1)]), order("O2", T0, []), order("O3", T0, [])])
+    lines = ingest_orders(read_orders(spark, f"{tmp_path}/o"))[0]
+    w = run_batch(spark, empty_warehouse(spark), lines, None)
+    again = run_batch(spark, w, lines, None)
+    for state in (w, again):
+        assert [(r.line_item_id, r.order_id) for r in state.fct_sales.collect()] == [("L1", "O1")]
+        assert state.dim_sku.count() == 1
+    assert sorted(r.order_id for r in w.quarantine_sales.collect()) == ["O2", "O3"]
+
+
 def test_stream_merges_within_and_across_micro_batches(spark, tmp_path):
     source, base = f"{tmp_path}/in", f"{tmp_path}/table"
     land(source, "1", [visit("a", T0, clicks=1), visit("a", T0 + 9, clicks=2), visit("b", T0)])

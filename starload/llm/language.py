@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import ready, text_bytes
-from starload.session import materialize
+from starload.llm.common import materialize, ready, text_bytes, tidy
 
 BUCKETS = 1 << 14
 #: A text counts as so many independent trigrams at most; strength of the smoothing of hosts and domains; a language
@@ -84,6 +83,7 @@ def _log_shares(counts: DataFrame, by: str, size: int, prior: Column) -> DataFra
     return got.withColumn("p", F.zip_with("c", prior, lambda c, p: (c + KAPPA * p) / (total + KAPPA))).select(by, "p")
 
 
+@tidy
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared: Column | None = None, host: Column | None = None,
              domain: Column | None = None, suffix: Column | None = None, least_posterior: float = LEAST_POSTERIOR) -> DataFrame:
     """One row for each row of ``docs``: (id, text_hash, lang, posterior, n_trigrams, accepted).
@@ -100,9 +100,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     given = lambda c: none if c is None else F.nullif(F.trim(F.lower(c)), F.lit(""))
     src = docs.select(text_bytes(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"),
                       given(declared).alias("declared"), given(host).alias("host"), given(domain).alias("domain"), given(suffix).alias("suffix"))
-    shares = src.where("declared is not null").groupBy("declared").agg(F.count("*").alias("rows"))
-    least = shares.agg((F.sum("rows") * LEAST_SHARE).alias("least"))
-    languages = sorted(r[0] for r in shares.join(least, F.col("rows") >= F.col("least")).select("declared").collect())  # 200 at most
+    shares = materialize(src.where("declared is not null").groupBy("declared").agg(F.count("*").alias("rows")), "shares")
+    least = (shares.agg(F.sum("rows")).first()[0] or 0) * LEAST_SHARE
+    languages = sorted(r[0] for r in shares.where(F.col("rows") >= least).select("declared").collect())  # 200 at most
     size = max(1, len(languages))
 
     counted = src.where(F.col("declared").isin(languages)).select("text", "declared").mapInArrow(_counts(languages), "l long, bucket long, n long")
@@ -134,8 +134,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     def likelihood(by: str) -> DataFrame:
         """(by, lik): log P(value | language), each language's values smoothed alike."""
         values = counts.where(F.col(by).isNotNull()).groupBy(by).agg(*[F.sum(F.when(F.col("l") == i, F.col("rows")).otherwise(0)).alias(f"c{i}") for i in range(size)])
-        totals = values.agg(F.count("*").alias("values"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(size)])
-        return values.join(totals, F.lit(True)).select(by, F.array(*[F.log((F.col(f"c{i}") + 0.5) / (F.col(f"t{i}") + 0.5 * F.col("values"))) for i in range(size)]).alias(f"lik_{by}"))
+        n, *totals = values.agg(F.count("*"), *[F.sum(f"c{i}") for i in range(size)]).first()
+        each = [F.log((F.col(f"c{i}") + 0.5) / F.lit((totals[i] or 0) + 0.5 * n)) for i in range(size)]
+        return values.select(by, F.array(*each).alias(f"lik_{by}"))
 
     zero = F.array(*[F.lit(0.0)] * size)
     out = seen.join(hosts, "host", "left").join(likelihood("declared"), "declared", "left").join(likelihood("suffix"), "suffix", "left")

@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import ready, shingle_hashes, text_bytes
+from starload.llm.common import materialize, ready, shingle_hashes, text_bytes, tidy
 from starload.llm.passages import hashes_of, matched, merged_spans, neighbours, run_around, window_minima
-from starload.session import materialize
 
 MIN_RUN, ANCHOR, WINDOW = 50, 8, 26
 ROW = "key long, left long, right long, doc long, p long"
@@ -60,6 +59,7 @@ def _extended(min_run: int):
     return run
 
 
+@tidy
 def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, anchor: int = ANCHOR,
                     window: int = WINDOW) -> DataFrame:
     """One row for each span of a document that occurs elsewhere, in another document or at another place: (id, start,

@@ -7,7 +7,8 @@ a pair at the threshold of 0.8 is missed with probability 2e-4, one at 0.9 with
 
 Sets that are equal are one node from the start.  Within a bucket every member is compared with the smallest one;
 afterwards only members of a bucket that still lie in different components are compared, so a bucket of near copies costs
-its size, not its square, and every pair that could change a component is checked on the full sets.
+its size, not its square.  Every pair that could change a component is checked on the full sets, unless the sizes rule it
+out or fewer than half of all minima agree (at a similarity of 0.8 one pair in a million).
 """
 
 from __future__ import annotations
@@ -21,9 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import mixed, ready, shingle_hashes, text_bytes, word_hashes
+from starload.llm.common import materialize, mixed, ready, shingle_hashes, text_bytes, tidy, word_hashes
 from starload.llm.components import connected_components
-from starload.session import materialize
 
 COLLECTIONS, ROWS = 16, 3
 
@@ -33,27 +33,30 @@ def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes((text or b"").lower().split()), k))
 
 
-def _signature(s: np.ndarray, collections: int, rows: int) -> np.ndarray:
+def _signature(s: np.ndarray, collections: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The value of every collection, and eight bits of every minimum."""
     seeds = mixed(np.arange(1, collections * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     low = np.array([(s * a).min() for a in seeds], np.uint64).reshape(collections, rows)
     out = np.zeros(collections, np.uint64)
     for r in range(rows):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + low[:, r])
-    return out.view(np.int64)
+    return out.view(np.int64), (mixed(low.ravel()) & np.uint64(255)).astype(np.int16)
 
 
 def _sketches(k: int, collections: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, key, sig = [], [], []
+            n, key, sig, bits = [], [], [], []
             for text in batch.column(2):
                 s = shingle_set(text.as_py(), k)
                 n.append(len(s))
                 key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sig.append(_signature(s, collections, rows) if len(s) else None)
+                values, eight = _signature(s, collections, rows) if len(s) else (None, None)
+                sig.append(values)
+                bits.append(eight)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.list_(pa.int64()))],
-                names=["id", "text_hash", "n_shingles", "set_key", "sig"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(sig, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int16()))],
+                names=["id", "text_hash", "n_shingles", "set_key", "sig", "bits"],
             )
 
     return run
@@ -68,6 +71,7 @@ def _sets(k: int):
     return run
 
 
+@tidy
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
                     collections: int = COLLECTIONS, rows: int = ROWS) -> DataFrame:
     """One row for each row of ``docs``: (id, text_hash, n_shingles, component_id, group), where documents with
@@ -81,27 +85,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = ready(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), text_bytes(text_col).alias("text"))
-    sketch = materialize(src.mapInArrow(_sketches(shingle, collections, rows), "id long, text_hash long, n_shingles long, set_key binary, sig array<long>"), "sketch")
+    sketch = materialize(src.mapInArrow(_sketches(shingle, collections, rows), "id long, text_hash long, n_shingles long, set_key binary, sig array<long>, bits array<smallint>"), "sketch")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("rep")
-    nodes = sketch.where("set_key is not null").groupBy("set_key").agg(first, F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    nodes = sketch.where("set_key is not null").groupBy("set_key").agg(first, F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     g = [F.col("sig")[i] for i in range(collections)]
     keys = F.array(*[F.xxhash64(F.lit(t), g[i], g[j]) for t, (i, j) in enumerate(combinations(range(collections), 2))])
-    entries = nodes.select("node", F.explode(keys).alias("key"))
+    entries = nodes.select("node", F.posexplode(keys).alias("t", "key"))
     buckets = materialize(entries.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("a"), F.max("node").alias("b")).where("size > 1"), "buckets")
     # a bucket of two is its pair; larger ones are listed, for pairs with their smallest member
     large = buckets.where("size > 2").select("key", F.col("a").alias("pivot"))
-    members = materialize(entries.join(large, "key").select("key", "pivot", "node"), "members")
+    members = materialize(entries.join(large, "key").select("t", "key", "pivot", "node"), "members")
     pairs = buckets.where("size = 2").select("a", "b").union(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
     links = _linked(src, nodes, materialize(pairs.distinct(), "pairs"), shingle, percent)
     labels = connected_components(links)
     # members of a bucket that are still apart: every such pair is compared
-    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.join(labels, "node", "left").select("t", "key", "node", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("key")
-    apart = materialize(placed.join(split, "key"), "apart")
-    left, right = (apart.select("key", F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "ab")
-    more = left.join(right, "key").where("ca <> cb and a < b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    known = nodes.select("node", "n", "sig", "bits")
+    apart = materialize(placed.join(split, "key").join(known, "node"), "apart")
+    left, right = (apart.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "node", "component", "n", "sig", "bits")]) for x in "ab")
+    # similar sets have similar sizes, and agree in half of the minima but for one in a million
+    agree = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    sizes = f"component_a <> component_b and node_a < node_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    # a pair that meets in several tables is made in the first of them
+    same = F.filter(F.sequence(F.lit(0), F.lit(collections - 1)), lambda i: F.get("sig_a", i) == F.get("sig_b", i))
+    i, j = F.get(same, F.lit(0)), F.get(same, F.lit(1))
+    first = F.expr("t_a") == (i * (2 * collections - 1 - i) / 2 + j - i - 1).cast("int")
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & F.expr(sizes) & (agree * 2 >= collections * rows) & first)
+    more = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = materialize(more, "pairs")
     if more.limit(1).count():
         found = _linked(src, nodes, more, shingle, percent)

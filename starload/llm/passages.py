@@ -14,8 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.llm.common import mixed, word_hashes
-from starload.session import materialize
+from starload.llm.common import materialize, mixed, word_hashes
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 MATCH = ["a", "b", "start_a", "end_a", "start_b", "end_b", "seed_a", "seed_b"]
@@ -78,11 +77,12 @@ def matched(pairs: DataFrame, docs: DataFrame, compare) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for a, b, seeds, ta, tb in zip(*(batch.column(i) for i in range(5)), strict=True):
-                places = sorted((s["pa"], s["pb"]) for s in seeds.as_py())
-                found = compare(hashes_of(ta.as_py()), hashes_of(tb.as_py()), places)
-                rows += [(a.as_py(), b.as_py(), *map(int, x)) for x in found]
+            rows, last, words = [], None, None  # pairs come sorted by b
+            for a, b, seeds, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+                if last is None or last[0] != b or last[1] != tb:
+                    last, words = (b, tb), hashes_of(tb.as_py())
+                found = compare(hashes_of(ta.as_py()), words, sorted((s["pa"], s["pb"]) for s in seeds))
+                rows += [(a, b, *map(int, x)) for x in found]
             columns = zip(*rows, strict=True) if rows else [[]] * len(MATCH)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MATCH)
 

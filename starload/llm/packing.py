@@ -21,8 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import ready, text_bytes
-from starload.session import materialize
+from starload.llm.common import materialize, ready, text_bytes, tidy
 
 LENGTH, OPEN, MIN_CUT = 2048, 64, 32
 #: Unfinished windows that one task of a merging round takes (each holds less than one window's ids).
@@ -195,6 +194,7 @@ def _merged(length: int, n_open: int, min_cut: int):
     return run
 
 
+@tidy
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
          n_open: int = OPEN, min_cut: int = MIN_CUT, last_id: int = 1) -> DataFrame:
     """One row for each piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
@@ -219,7 +219,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         done[-1] = (level, found.where("ids is null"))
         level += 1
         tasks = (unfinished + FAN_IN - 1) // FAN_IN
-        found = materialize(left.repartition(tasks, F.col("part")).mapInArrow(_merged(length, n_open, min_cut), PIECES), "pack")
+        found = materialize(left.repartition(tasks).mapInArrow(_merged(length, n_open, min_cut), PIECES), "pack")
     out = None
     for n, frame in done:
         seq = F.shiftleft(F.lit(n).cast("long"), 59) + F.shiftleft("part", 35) + F.col("window")

@@ -178,12 +178,14 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct,
                     quarantine_traffic=w.quarantine_traffic.unionByName(bad))
 
-    before, changes = w, {}
+    dates = None
+    if summary and (has_orders or has_traffic):  # read before the facts are written: a merge replaces stored files
+        dates = materialize(_summary_dates(w, orders if has_orders else None, traffic if has_traffic else None), "dates")
+    changes = {}
     for part in _parallel(sales_branch if has_orders else None, traffic_branch if has_traffic else None):
         changes.update(part)
     w = replace(w, **changes)
-    if summary and (has_orders or has_traffic):
-        dates = keep(_summary_dates(before, orders if has_orders else None, traffic if has_traffic else None), "dates")
+    if dates is not None:
         days = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer).select(*FCT_PERIODIC_SUMMARY.names)
         # days that lost their last line go with the old rows
         untouched = w.fct_periodic_summary.join(dates.select("date_id"), "date_id", "left_anti").select(*FCT_PERIODIC_SUMMARY.names)

@@ -155,6 +155,28 @@ def test_repeated_passages(edge_docs, edge_rows, no_docs):
     assert paragraphs.repeated_passages(no_docs).count() == 0
 
 
+def test_passages_that_a_document_repeats(spark):
+    import random
+
+    from conftest import prose
+
+    rng, rows = random.Random(11), []
+    for i in range(12):  # an earlier document has the passage once or twice, a later one two to six times
+        shared = prose(rng, (60, 80, 100, 300)[i % 4], 10**6)
+        for copies in (1 + i % 2, 2 + i % 5):
+            parts = [prose(rng, rng.randint(20, 60), 10**6) + shared for _ in range(copies)]
+            rows.append((len(rows), " ".join(sum(parts, []) + prose(rng, 30, 10**6))))
+    x, y, z = (prose(rng, 40, 10**6) for _ in range(3))  # one phrase in two contexts: the later document has the second one
+    rows += [(len(rows), " ".join(y + x + y + z + x + z)), (len(rows) + 1, " ".join(prose(rng, 50, 10**6) + z + x + z))]
+    line = prose(rng, 30, 10**6)
+    rows += [(len(rows), " ".join(line * 40)), (len(rows) + 1, " ".join(line * 90 + prose(rng, 40, 10**6) + line * 3))]
+    found, want = collections.defaultdict(set), repeats(rows, 50)
+    for r in paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        found[r.id] |= set(range(r.start, r.end))
+    assert {i: len(want[i] - found[i]) for i in want if want[i] - found[i]} == {}
+    assert set(found) <= set(want)
+
+
 def test_duplicate_spans(edge_docs, edge_rows, no_docs):
     found, want = collections.defaultdict(set), repeats(edge_rows, 50)
     texts = dict(edge_rows)

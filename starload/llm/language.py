@@ -20,9 +20,19 @@ from pyspark.sql import functions as F
 from starload.llm.common import materialize, ready, text_bytes, tidy
 
 BUCKETS = 1 << 14
-#: A text counts as so many independent trigrams at most; strength of the smoothing of hosts and domains; a language
-#: needs this share of the declared rows to be modelled (so their number is bounded), and a document this posterior.
-EVIDENCE, KAPPA, LEAST_SHARE, LEAST_POSTERIOR = 100, 20.0, 0.005, 0.5
+#: A text counts as so many independent trigrams at most; strength of the smoothing of hosts and domains; a document needs
+#: this posterior.  Modelled are what this share of the declared rows says, and two-letter codes with so many bytes of text
+#: (so their number is bounded).
+EVIDENCE, KAPPA, LEAST_POSTERIOR, LEAST_SHARE, LEAST_BYTES = 100, 20.0, 0.5, 0.005, 1_000_000
+#: The two-letter codes of ISO 639, and the three-letter codes that name no language.
+CODES = frozenset(
+    """aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu
+    fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik in io is it iu iw ja ji jv jw ka kg ki kj kk
+    kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mo mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj
+    om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg sh si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr
+    ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu""".split()
+)
+NO_LANGUAGE = ("und", "mul", "mis", "zxx", "unk")
 
 #: ASCII letters in lower case, everything else in ASCII a space, other bytes as they are.
 _FOLD = bytes(ord(chr(b).lower()) if chr(b).isalpha() and b < 128 else 32 if b < 128 else b for b in range(256))
@@ -89,7 +99,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     """One row for each row of ``docs``: (id, text_hash, lang, posterior, n_trigrams, accepted).
 
     ``declared``, ``host``, ``domain`` and ``suffix`` are string columns of ``docs`` or None; a null says nothing.  At
-    least one row must declare a language, or no row is accepted.  A document is accepted if it has letters, if its
+    least one row must declare a language, or no row is accepted.  Languages with little text (fewer than ``LEAST_BYTES`` and
+    less than ``LEAST_SHARE`` of the declared rows) can't be told by it: documents with letters that declare one, by a code
+    with or without region, keep it and are accepted; their posterior is null.  Any other document is accepted if it has letters, if its
     best language explains its trigrams better than chance (all buckets alike), and if that language's posterior is at
     least ``least_posterior``.  Null and empty texts, or texts without letters, have lang null and are not accepted.
     Ids may be null and rows may repeat: rows are judged one by one.  Texts are read whole, in stretches of bounded size;
@@ -100,10 +112,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     given = lambda c: none if c is None else F.nullif(F.trim(F.lower(c)), F.lit(""))
     src = docs.select(text_bytes(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"),
                       given(declared).alias("declared"), given(host).alias("host"), given(domain).alias("domain"), given(suffix).alias("suffix"))
-    shares = materialize(src.where("declared is not null").groupBy("declared").agg(F.count("*").alias("rows")), "shares")
+    shares = materialize(src.where("declared is not null").groupBy("declared").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")), "shares")
     least = (shares.agg(F.sum("rows")).first()[0] or 0) * LEAST_SHARE
-    languages = sorted(r[0] for r in shares.where(F.col("rows") >= least).select("declared").collect())  # 200 at most
+    enough = F.col("declared").isin(sorted(CODES)) & (F.col("bytes") >= LEAST_BYTES)
+    languages = sorted(r[0] for r in shares.where((F.col("rows") >= least) | enough).select("declared").collect())  # 200 and the codes at most
     size = max(1, len(languages))
+    code = F.regexp_extract("declared", "^([a-z]{2,3})([-_][a-z0-9_-]+)?$", 1)
+    named = code.isin(sorted(CODES)) | ((F.length(code) == 3) & ~code.isin(*NO_LANGUAGE))
+    rare = F.coalesce(named & ~F.col("declared").isin(languages), F.lit(False))
 
     counted = src.where(F.col("declared").isin(languages)).select("text", "declared").mapInArrow(_counts(languages), "l long, bucket long, n long")
     table = np.zeros((size, BUCKETS))
@@ -116,7 +132,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     kept = "id long, text_hash long, declared string, host string, domain string, suffix string, n long, ll array<double>"
     seen = materialize(src.mapInArrow(lambda batches: _likelihoods(model.value)(batches), kept), "likelihoods")
     best = F.array_position("ll", F.array_max("ll")).cast("int") - 1
-    counts = seen.where("n > 0").groupBy(best.alias("l"), "declared", "suffix", "domain", "host").agg(F.count("*").alias("rows"))
+    counts = seen.where((F.col("n") > 0) & ~rare).groupBy(best.alias("l"), "declared", "suffix", "domain", "host").agg(F.count("*").alias("rows"))
     counts = materialize(counts, "evidence")
 
     even = F.array(*[F.lit(1.0 / size)] * size)
@@ -150,9 +166,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     fits = F.element_at("ll", F.col("at")) / F.greatest("n", F.lit(1)) > -math.log(BUCKETS)
     known = F.lit(bool(languages)) & (F.col("n") > 0) & fits
     lang = F.when(known, F.element_at(F.array(*[F.lit(x) for x in languages or ["-"]]), F.col("at")))
-    posterior = F.when(F.col("n") > 0, F.col("posterior"))
-    return out.select("id", "text_hash", lang.alias("lang"), posterior.alias("posterior"), F.col("n").alias("n_trigrams"),
-                      F.coalesce(known & (F.col("posterior") >= least_posterior), F.lit(False)).alias("accepted"))
+    posterior = F.when((F.col("n") > 0) & ~rare, F.col("posterior"))
+    keeps = rare & (F.col("n") > 0)
+    return out.select("id", "text_hash", F.when(keeps, F.col("declared")).otherwise(lang).alias("lang"), posterior.alias("posterior"), F.col("n").alias("n_trigrams"),
+                      F.coalesce(keeps | (known & (F.col("posterior") >= least_posterior)), F.lit(False)).alias("accepted"))
 
 
 def address_parts(url: Column) -> tuple[Column, Column, Column]:

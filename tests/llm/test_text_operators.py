@@ -263,6 +263,30 @@ def test_language(spark, no_docs):
     assert language.identify(no_docs, declared=F.col("lang"), host=F.col("source")).count() == 0
 
 
+def test_languages_of_few_documents(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language, "LEAST_BYTES", 2000, raising=False)
+    rng, rows = random.Random(8), []
+    for i in range(1200):
+        lang = "en de".split()[i % 2]
+        parts = ["the", "ing", "tion", "wh", "and "] if lang == "en" else ["ung", "sch", "ein", "der ", "lich"]
+        rows.append((i, " ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(30)), lang))
+    russian = ["ный ", "ост", "ени", "про", "ать "]
+    rows += [(2000 + i, " ".join("".join(rng.choices(russian, k=2)) for _ in range(80)), "en" if i == 4 else "ru") for i in range(5)]  # modelled: enough bytes
+    rows += [(2100, "这是一个很短的句子", "zh"), (2101, "mikä tämä kieli oikein on", "fi"), (2102, "ko wai tenei reo", "mri"), (2103, "texto em outra língua", "pt-BR")]
+    rows += [(2200, rows[0][1], "unknown"), (2201, rows[0][1], "und"), (2202, "123", "fi"), (2203, rows[1][1], None), (2204, "жйф цщэ юыё", "?")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.id: r for r in language.identify(docs, declared=F.col("lang")).collect()}
+    assert len(got) == len(rows) and all(got[i].accepted and got[i].lang == rows[i][2] for i in range(1200))
+    assert all(got[2000 + i].accepted and got[2000 + i].lang == "ru" and got[2000 + i].posterior > 0.5 for i in range(5))
+    assert [(got[i].lang, got[i].accepted, got[i].posterior) for i in range(2100, 2104)] == [(x, True, None) for x in ("zh", "fi", "mri", "pt-br")]
+    assert [(got[i].lang, got[i].accepted) for i in (2200, 2201, 2203)] == [("en", True), ("en", True), ("de", True)]
+    assert not got[2202].accepted and not got[2204].accepted
+
+
 def test_address_and_markup(spark):
     from pyspark.sql import functions as F
 

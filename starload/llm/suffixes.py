@@ -5,7 +5,9 @@ consecutive ones.  Two occurrences of a passage select the same positions inside
 words, so the suffixes there share the rest of the passage.  Suffixes are sorted by their first words (as a hash), then
 by the words before, then by the words that follow; neighbours that share the first words are compared on the texts and
 the match is extended to both sides.  A second sort, with the following words before the preceding ones, finds partners
-that the first order puts apart; and each is compared with the earliest suffix that has the same first words.
+that the first order puts apart; and each is compared with the earliest suffix that has the same first words.  Where three or more share their first
+words, every run of ``MIN_RUN`` words there that lies in no span found so far is a key of its own: places that share it are
+compared with the one before, so no passage is lost between strangers.
 """
 
 from __future__ import annotations
@@ -45,6 +47,28 @@ def _suffixes(anchor: int, window: int, prefix: int):
     return run
 
 
+def _windows(min_run: int, prefix: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every run of ``min_run`` words around a suffix' first words (a key and its place), but for those inside a span."""
+        for batch in batches:
+            rows = [[np.empty(0, np.int64)] for _ in range(3)]
+            for doc, text, places, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                h = hashes_of(text.as_py())
+                if len(h) < min_run:
+                    continue
+                wanted = np.zeros(len(h) - min_run + 1, bool)
+                for p in places:
+                    wanted[max(0, p - min_run + prefix) : p + 1] = True
+                for x in spans or []:
+                    wanted[x["start"] : max(x["start"], x["end"] - min_run + 1)] = False
+                at = np.flatnonzero(wanted)
+                for column, x in zip(rows, (shingle_hashes(h, min_run)[at].view(np.int64), np.full(len(at), doc, np.int64), at), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in rows], names=["key", "doc", "p"])
+
+    return run
+
+
 def _extended(min_run: int):
     def run(x: np.ndarray, y: np.ndarray, seeds: list[tuple[int, int]]) -> Iterator[tuple]:
         done: dict[int, int] = {}  # by diagonal: where the last match ends
@@ -85,6 +109,14 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pick = lambda x, y: F.when(ahead, F.col(x)).otherwise(F.col(y))  # noqa: E731  the earlier one is a
     seeds = one.union(two).select(pick("prev_doc", "doc").alias("a"), pick("prev_p", "p").alias("pa"), pick("doc", "prev_doc").alias("b"), pick("p", "prev_p").alias("pb"))
     found = matched(seeds.union(three).where("a <> b or pa <> pb").distinct(), src, _extended(min_run))
+    # among three or more the partner may be none of those: runs that no earlier place was found for are compared whole
+    many = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")).where("size > 2").select("key"), "key", "left_semi")
+    places = many.groupBy(F.col("doc").alias("id")).agg(F.collect_set("p").alias("places"))
+    spans = found.groupBy(F.col("b").alias("id")).agg(F.collect_set(F.struct(F.col("start_b").alias("start"), F.col("end_b").alias("end"))).alias("spans"))
+    wide = src.join(places, "id").join(spans, "id", "left").select("id", "text", "places", "spans")
+    whole = materialize(wide.mapInArrow(_windows(min_run, prefix), "key long, doc long, p long"), "windows")
+    last = neighbours(whole, ["key"], ["doc", "p"]).select(F.col("prev_doc").alias("a"), F.col("prev_p").alias("pa"), F.col("doc").alias("b"), F.col("p").alias("pb"))
+    found = found.union(matched(last.where("a <> b or pa <> pb").distinct(), src, _extended(min_run))).distinct()
     sides = found.select(F.col("b").alias("id"), F.col("start_b").alias("start"), F.col("end_b").alias("end"), F.lit(True).alias("repeat"), F.col("a").alias("other_id"), F.col("start_a").alias("other_start"))
     return sides.union(found.select("a", "start_a", "end_a", F.lit(False), "b", "start_b")).distinct()
 

@@ -189,6 +189,24 @@ def test_duplicate_spans(edge_docs, edge_rows, no_docs):
     assert suffixes.duplicate_spans(no_docs).count() == 0
 
 
+def test_spans_around_a_common_phrase(spark):
+    import random
+
+    from conftest import prose
+
+    rng, rows = random.Random(13), []
+    for longer in (50, 50, 52, 55, 60, 50, 51, 53):  # sixty documents have a phrase, two of them share a longer passage around it
+        phrase = prose(rng, 45, 10**6)
+        left = rng.randint(0, longer - 45)
+        passage = prose(rng, left, 10**6) + phrase + prose(rng, longer - 45 - left, 10**6)
+        for i in rng.sample(range(60), 60):
+            rows.append((len(rows), " ".join(prose(rng, 40, 10**6) + (passage if i < 2 else phrase) + prose(rng, 40, 10**6))))
+    found, want = collections.defaultdict(set), repeats(rows, 50)
+    for r in suffixes.duplicate_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("repeat").collect():
+        found[r.id] |= set(range(r.start, r.end))
+    assert len(want) == 8 and dict(found) == dict(want)
+
+
 def test_contamination(spark, edge_docs, edge_rows, no_docs):
     texts = dict(edge_rows)
     items = [(1, " ".join(texts[20].split()[5:30])), (2, "ONE"), (2, "ONE"), (3, None), (4, ""), (None, " ".join(texts[40].split()[100:112])), (5, "same line"), (10, texts[10][:400]), (6, "nothing of this kind"), (7, "x" * 50000)]

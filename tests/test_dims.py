@@ -6,7 +6,7 @@ from starload.operators.dims import insert_ignore, scd2_apply, scd2_changes
 from starload.plans.warehouse import load_customer, load_location
 from starload.schemas import DIM_CUSTOMER, DIM_LOCATION, empty_frame
 
-from conftest import rows
+from rows import rows
 
 T0 = 1704067200
 

@@ -1,11 +1,7 @@
 import random
 
 import pytest
-
-
-def prose(rng: random.Random, n: int, vocabulary: int = 3000) -> list[str]:
-    """Words of an invented text; a few are frequent."""
-    return [f"w{int(vocabulary * rng.random() ** 2.5)}" for _ in range(n)]
+from prose import prose
 
 
 @pytest.fixture(scope="session")

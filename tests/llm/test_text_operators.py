@@ -158,7 +158,7 @@ def test_repeated_passages(edge_docs, edge_rows, no_docs):
 def test_passages_that_a_document_repeats(spark):
     import random
 
-    from conftest import prose
+    from prose import prose
 
     rng, rows = random.Random(11), []
     for i in range(12):  # an earlier document has the passage once or twice, a later one two to six times
@@ -192,7 +192,7 @@ def test_duplicate_spans(edge_docs, edge_rows, no_docs):
 def test_spans_around_a_common_phrase(spark):
     import random
 
-    from conftest import prose
+    from prose import prose
 
     rng, rows = random.Random(13), []
     for longer in (50, 50, 52, 55, 60, 50, 51, 53):  # sixty documents have a phrase, two of them share a longer passage around it

@@ -47,4 +47,23 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
-ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10}
+OP11 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), r AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS role_before, lead(role) OVER w AS role_after,
+    length(text) + length(text) - length(replace(text, '\', '')) + len(regexp_extract_all(text, '</turn>|<turn>|<says>|<part>')) AS text_size,
+    length(role) + length(role) - length(replace(role, '\', '')) + len(regexp_extract_all(role, '</turn>|<turn>|<says>|<part>')) AS role_size
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(text_size + CASE WHEN role_before IS DISTINCT FROM role THEN 12 + role_size ELSE 6 END
+    + CASE WHEN role_after IS DISTINCT FROM role THEN 8 ELSE 0 END)::BIGINT AS formatted_chars,
+  count(*) FILTER (role_before IS DISTINCT FROM role) AS n_blocks
+FROM r GROUP BY conv_id
+"""
+
+ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10, "op11_chat": OP11}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm.bpe import token_counts
+from starload.llm.chat import format_conversations, read_loss, read_turns
 from starload.llm.common import table
 from starload.llm.decontam import contamination
 from starload.llm.language import address_parts, identify, markup_language, visible_text
@@ -105,6 +106,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+#: A conversation whose texts hold control strings of the template, and of another one.
+ODD_ID, ODD_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and an odd one, formatted and read back from what was written."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = [spark.range(1).select(F.lit(ODD_ID).cast("long"), F.lit(i).cast("long"), F.lit(role), F.lit(ODD_TEXT)) for i, role in enumerate(("user", "assistant"))]
+    made = format_conversations(turns.union(odd[0]).union(odd[1]))
+    back = made.withColumns({"turns": read_turns(F.col("formatted")), "loss": read_loss(F.col("formatted"), F.col("loss_spans"))})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(F.col("id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"), "n_blocks")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -117,4 +134,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_suffixes": op9_suffixes,
     "op10_decontamination": op10_decontamination,
+    "op11_chat": op11_chat,
 }

@@ -66,4 +66,21 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM r GROUP BY conv_id
 """
 
-ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10, "op11_chat": OP11}
+OP12 = r"""
+WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id, row_number() OVER w::INT AS rank, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10, "op11_chat": OP11, "op12_negatives": OP12}

@@ -12,6 +12,7 @@ from starload.llm.decontam import contamination
 from starload.llm.language import address_parts, identify, markup_language, visible_text
 from starload.llm.licenses import scan
 from starload.llm.minhash import near_duplicates
+from starload.llm.negatives import hard_negatives
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
 from starload.llm.quality import quality
@@ -122,6 +123,12 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.char_length("formatted").cast("long").alias("formatted_chars"), "n_blocks")
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -135,4 +142,5 @@ QUERIES = {
     "op9_suffixes": op9_suffixes,
     "op10_decontamination": op10_decontamination,
     "op11_chat": op11_chat,
+    "op12_negatives": op12_negatives,
 }

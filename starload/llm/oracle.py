@@ -83,4 +83,32 @@ FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <=
 WINDOW w AS (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) QUALIFY row_number() OVER w <= 10
 """
 
-ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10, "op11_chat": OP11, "op12_negatives": OP12}
+OP13 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t FROM range(256) r(n)
+), r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), d AS (SELECT doc_id, run, count(*) AS n FROM r GROUP BY ALL),
+h AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+    lambda c, b: xor(c // 256, t[(xor(c, b) % 256) + 1])), 4294967295) AS h
+  FROM d, crc
+), s AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h
+), v AS (SELECT word, sum(n)::BIGINT AS n FROM s WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+x AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+o AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM x),
+p AS (
+  SELECT o.word, o.n, q.word AS other, q.n AS other_n FROM o JOIN o q ON o.i = q.i AND o.a = q.a AND o.b = q.b AND o.word <> q.word
+  UNION SELECT o.word, o.n, v.word, v.n FROM o JOIN v ON v.word = o.a || o.b
+  UNION SELECT v.word, v.n, o.word, o.n FROM o JOIN v ON v.word = o.a || o.b
+), g AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM p GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * v.n THEN best END AS form, CASE WHEN best_n >= 2 * v.n THEN best_n END AS form_n
+  FROM v LEFT JOIN g USING (word)
+), w(word, top) AS (SELECT word, word FROM f UNION ALL SELECT w.word, f.form FROM w JOIN f ON f.word = w.top AND f.form IS NOT NULL)
+SELECT f.word, f.form, e.top AS root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT w.word, w.top FROM w JOIN f ON f.word = w.top AND f.form IS NULL) e ON e.word = f.word
+"""
+
+ORACLE = {"op3_minhash": OP3, "op6_warc": OP6, "op10_decontamination": OP10, "op11_chat": OP11, "op12_negatives": OP12, "op13_spelling": OP13}

@@ -16,6 +16,7 @@ from starload.llm.negatives import hard_negatives
 from starload.llm.packing import pack
 from starload.llm.paragraphs import repeated_passages
 from starload.llm.quality import quality
+from starload.llm.spelling import spelling_variants
 from starload.llm.suffixes import duplicate_spans
 from starload.llm.warc import read_archives, write_archives
 from starload.session import scratch_path
@@ -129,6 +130,11 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their near words and the form that they are grouped under."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -143,4 +149,5 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
     "op11_chat": op11_chat,
     "op12_negatives": op12_negatives,
+    "op13_spelling": op13_spelling,
 }

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.operators.keys import assign_surrogate_keys, successor_value
+from starload.operators.keys import assign_surrogate_keys, carry_forward, successor_value
 
 ACTIVE = "Active"
 EXPIRED = "Expired"
@@ -47,16 +47,44 @@ def _distinct_on(attrs: list[str], a: DataFrame, b: DataFrame, b_attrs: list[str
     return reduce(lambda x, y: x | y, [~a[x].eqNullSafe(b[y]) for x, y in zip(attrs, b_attrs)])
 
 
+def _history_changes(target: DataFrame, sightings: DataFrame, bk: str, attrs: list[str]) -> DataFrame:
+    """The sightings (``bk``, ``attrs``, ``row_eff_time``) that begin a version.
+
+    Versions of the batch's keys and sightings are put into one order by key and time.  A sighting that equals a version that
+    began at the same time is that version; any other one is compared with the event before it, be it a version or a sighting.
+    At one time versions come first, in the order of their appending (``__seq``), then sightings in the order of their
+    attributes.  A sighting with nothing before it is new, also where the key's first version, which begins later, looks the same.
+    Sightings are reduced to one for each (key, attributes, time) before the shuffle; a key with very many events is split over
+    tasks (:func:`carry_forward`)."""
+    sk = next(c for c in target.columns if c not in (bk, *attrs, "row_eff_time", "row_exp_time", "current_row_indicator", "updated_at"))
+    seen = sightings.where(F.col(bk).isNotNull() & F.col("row_eff_time").isNotNull()).withColumn("__seq", F.lit(None).cast(target.schema[sk].dataType))
+    keys = seen.select(bk).distinct()
+    columns = [bk, *attrs, "row_eff_time", "__seq"]
+    versions = target.withColumn("__seq", F.col(sk)).select(*columns).join(keys, bk, "left_semi")
+    events = versions.unionByName(seen.select(*columns)).groupBy(bk, *attrs, "row_eff_time").agg(F.max("__seq").alias("__seq"))
+    events = events.withColumn("__sighting", F.col("__seq").isNull())
+    state = F.struct(*[F.col(a) for a in attrs])
+    order = ["row_eff_time", "__sighting", "__seq", *attrs]
+    told = carry_forward(events, bk, order, state, "__before")
+    same = reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(f"__before.{a}")) for a in attrs])
+    return told.where(F.col("__sighting") & (F.col("__before").isNull() | ~same)).select(bk, *attrs, "row_eff_time")
+
+
 def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], ts: str,
                  src_bk: str | None = None, src_attrs: list[str] | None = None,
-                 compare: str = "current", eff: str = "min") -> DataFrame:
-    """New versions to insert into a type-2 dimension.
+                 compare: str = "history", eff: str = "min") -> DataFrame:
+    """New versions to insert into a type-2 dimension: rows with the dimension's columns except the surrogate key.
+    Rows without a business key are left out.
+
+    ``compare="history"`` follows each key through time (:func:`_history_changes`): a sighting begins a version where it
+    differs from what was valid just before it, so A, B, A in one batch are three versions, and a batch that was loaded
+    before adds nothing, also when newer ones came in between.  (If a late batch has put a version into its time since, the
+    sightings after that version count: they say that it ended.)
 
-    One candidate per (business key, attribute set) in the batch, effective from the earliest (``eff="min"``)
+    The other two are rules of the original statements.  They take one candidate per (business key, attribute set) in the batch, effective from the earliest (``eff="min"``)
     or latest (``eff="max"``) sighting of ``ts`` (epoch seconds).  A candidate is new when its key is unknown or
     its attributes differ (null-safe) from the key's Active version (``compare="current"``) or from any version
     (``compare="all"``, which re-inserts a version that equals the newest one but differs from an older one).
-    Rows without a business key are left out.  Returns rows with the dimension's columns except the surrogate key.
     """
     src_bk = src_bk or bk
     src_attrs = src_attrs or attrs
@@ -65,16 +93,17 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
         src.where(F.col(src_bk).isNotNull()).groupBy(F.col(src_bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs, attrs)])
         .agg(agg(F.timestamp_seconds(F.col(ts))).alias("row_eff_time"))
     )
-    if compare not in ("current", "all"):
-        raise ValueError(f"compare must be 'current' or 'all', not {compare!r}")
-    if compare == "current":
+    if compare == "history":
+        new = _history_changes(target, src.select(F.col(src_bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs, attrs)],
+                                                  F.timestamp_seconds(F.col(ts)).alias("row_eff_time")), bk, attrs)
+    elif compare == "current":
         # at most one Active version per key: a 1:1 left join on the business key
         versions = target.where(F.col("current_row_indicator") == ACTIVE).select(
             F.col(bk).alias("__bk"), *[F.col(a).alias(f"__{a}") for a in attrs])
         joined = cand.join(versions, cand[bk] == versions["__bk"], "left")
         keep = F.col("__bk").isNull() | _distinct_on(attrs, joined, joined, [f"__{a}" for a in attrs])
         new = joined.where(keep).select(*cand.columns)
-    else:
+    elif compare == "all":
         # "differs from at least one version" == the key has more versions than versions equal to the
         # candidate.  Both counts are partial aggregates joined 1:1, so a key with very many versions never
         # pairs each candidate with each of its versions.
@@ -86,6 +115,8 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
                                                                         [f"__s_{a}" for a in attrs]), "left")
         keep = F.col("__n").isNull() | (F.col("__n") > F.coalesce(F.col("__eq"), F.lit(0)))
         new = c.where(keep).select(*cand.columns)
+    else:
+        raise ValueError(f"compare must be 'history', 'current' or 'all', not {compare!r}")
     return new.withColumns({
         "row_exp_time": F.lit(None).cast("timestamp"),
         "current_row_indicator": F.lit(ACTIVE),
@@ -127,7 +158,7 @@ def scd2_order_cols(bk: str, attrs: list[str]) -> list[str]:
 
 def scd2_apply(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], ts: str, sk: str,
                src_bk: str | None = None, src_attrs: list[str] | None = None,
-               compare: str = "current", eff: str = "min", recompute: bool = True) -> DataFrame:
+               compare: str = "history", eff: str = "min", recompute: bool = True) -> DataFrame:
     """Changes -> surrogate keys -> append -> expire, for one batch.  Returns the whole new dimension."""
     changes = scd2_changes(target, src, bk, attrs, ts, src_bk, src_attrs, compare, eff)
     changes = assign_surrogate_keys(changes, scd2_order_cols(bk, attrs), sk, start=_max_key(target, sk))

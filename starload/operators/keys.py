@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starload.session import checkpoint_dir, materialize
@@ -101,3 +101,29 @@ def successor_value(df: DataFrame, group: str, order_cols: list[str], value: str
             & (left["__succ_pos"] == right["__sq"]))
     return (left.join(right, cond, "left")
             .drop("__sg", "__sp", "__sq", "__succ_pid", "__succ_pos", _PID, _MID))
+
+
+def carry_forward(df: DataFrame, group: str, order_cols: list[str], value: Column, out: str) -> DataFrame:
+    """Add ``out`` = the latest non-null ``value`` among the rows of the same ``group`` that stand before a row in ascending
+    ``order_cols`` order (nulls first; NULL if there is none), without a window partitioned by ``group`` alone.
+
+    Rows are range-partitioned on (group, order_cols), and the partition is kept in the shared checkpoint folder.  Inside a
+    partition a window over (partition, group) carries the value, so a group with a very large share of the rows is split into as
+    many pieces as it has partitions.  A group that goes on from one partition to the next gets the last value of its earlier
+    pieces: only the first and last group of a partition can do that, so the carried values are two rows a partition at most,
+    which bounds both the window over the pieces and what is broadcast.  ``order_cols`` must make rows unique within a group.
+    """
+    checkpoint_dir(df.sparkSession)
+    cols = _sort_cols([group, *order_cols])
+    fixed = materialize(df.withColumn(out, value).repartitionByRange(*cols).withColumn(_PID, F.spark_partition_id()), "carry")
+    inside = Window.partitionBy(_PID, group).orderBy(*_sort_cols(order_cols)).rowsBetween(Window.unboundedPreceding, -1)
+    edges = fixed.groupBy(_PID).agg(F.min(F.struct(group))[group].alias("__lo"), F.max(F.struct(group))[group].alias("__hi"))
+    edge = F.broadcast(edges.withColumnRenamed(_PID, "__epid"))
+    at_edge = fixed.join(edge, (F.col(_PID) == F.col("__epid")) & (F.col(group).eqNullSafe(F.col("__lo")) | F.col(group).eqNullSafe(F.col("__hi"))))
+    last = F.max_by(out, F.when(F.col(out).isNotNull(), F.struct(*order_cols))).alias("__last")
+    pieces = at_edge.groupBy(F.col(_PID).alias("__cpid"), F.col(group).alias("__cgroup")).agg(last)
+    earlier = Window.partitionBy("__cgroup").orderBy("__cpid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.withColumn("__carried", F.last("__last", ignorenulls=True).over(earlier)).where("__carried is not null").drop("__last")
+    here = fixed.withColumn("__here", F.last(out, ignorenulls=True).over(inside))
+    both = here.join(F.broadcast(carried), (F.col(_PID) == F.col("__cpid")) & F.col(group).eqNullSafe(F.col("__cgroup")), "left")
+    return both.withColumn(out, F.coalesce("__here", "__carried")).drop("__here", "__carried", "__cpid", "__cgroup", _PID)

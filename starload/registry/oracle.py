@@ -10,7 +10,7 @@ from __future__ import annotations
 from starload.plans.calendar import DEFAULT_EVENT_NAME, DEFAULT_IS_HOLIDAY
 from starload.functions.ids import CROCKFORD_ALPHABET as CROCKFORD
 from starload.plans.catalog import COLORS, SIZES
-from starload.sources.bindings import sql_with
+from starload.sources.bindings import DAY, EPOCH_BASE, sql_with
 
 LOC = ["place", "country", "latitude", "longitude"]
 SKU_ATTRS = ["product_id", "product_name", "size", "color", "price", "cogs"]
@@ -87,15 +87,24 @@ def insert_ignore(q: Sql, name: str, prev: str, src: str, keys, sk: str, src_key
 
 
 def scd2(q: Sql, name: str, prev: str, src: str, src_bk: str, src_attrs, bk: str, attrs, sk: str,
-         compare="current", eff="min", recompute=True) -> str:
+         compare="history", eff="min", recompute=True) -> str:
     a_sel = ", ".join(f"{s} as {a}" for s, a in zip(src_attrs, attrs))
-    q.add(f"{name}_cand", f"select {src_bk} as {bk}, {a_sel}, {TS(f'{eff}(updated_at)')} as row_eff_time "
-                          f"from {src} group by all")
-    vers = prev if compare == "all" else f"(select * from {prev} where current_row_indicator = 'Active')"
-    differs = " or ".join(f"c.{a} is distinct from v.{a}" for a in attrs)
-    q.add(f"{name}_new", f"select distinct c.* from {name}_cand c left join {vers} v on c.{bk} = v.{bk} "
-                         f"where v.{bk} is null or {differs}")
     cols = ", ".join(attrs)
+    if compare == "history":
+        q.add(f"{name}_cand", f"select distinct {src_bk} as {bk}, {a_sel}, {TS('updated_at')} as row_eff_time from {src} "
+                              f"where {src_bk} is not null and updated_at is not null")
+        q.add(f"{name}_ev", f"select {bk}, {cols}, row_eff_time, max(seq) seq from (select {bk}, {cols}, row_eff_time, {sk} seq from {prev} "
+                            f"union all select {bk}, {cols}, row_eff_time, null from {name}_cand) group by all")
+        q.add(f"{name}_new", f"select {bk}, {cols}, row_eff_time from {name}_ev "
+                             f"window w as (partition by {bk} order by row_eff_time, seq is null, seq, {_order(attrs)}) qualify "
+                             f"seq is null and (row_number() over w = 1 or row({cols}) is distinct from lag(row({cols})) over w)")
+    else:
+        q.add(f"{name}_cand", f"select {src_bk} as {bk}, {a_sel}, {TS(f'{eff}(updated_at)')} as row_eff_time "
+                              f"from {src} group by all")
+        vers = prev if compare == "all" else f"(select * from {prev} where current_row_indicator = 'Active')"
+        differs = " or ".join(f"c.{a} is distinct from v.{a}" for a in attrs)
+        q.add(f"{name}_new", f"select distinct c.* from {name}_cand c left join {vers} v on c.{bk} = v.{bk} "
+                             f"where v.{bk} is null or {differs}")
     q.add(f"{name}_k", f"select (select coalesce(max({sk}),0) from {prev}) + row_number() over (order by "
                        f"{_order([bk, 'row_eff_time', *attrs])}) as {sk}, * from {name}_new")
     q.add(f"{name}_all", f"select {sk}, {bk}, {cols}, row_eff_time, row_exp_time, current_row_indicator, updated_at "
@@ -339,6 +348,15 @@ def queries() -> dict[str, str]:
         out[f"scd2_{kind}"] = q.render(_sel(v2))
         out[f"scd2_expire{sfx}"] = q.render(f"select * from {v2} where {bk} in (select {bk} from v2_t)")
 
+    q = Sql()
+    q.add("wavering", f"select * replace (name || case when (order_time - {EPOCH_BASE}) // {5 * DAY} % 2 = 1 then ' v2' else '' end as name) from stg_orders")
+    out["scd2_runs_customer"] = q.render(_sel(customer(q, "v1", None, "wavering")))
+    q = Sql()
+    q.add("late_orders", f"select * replace (cast(price * 1.25 as decimal(12,2)) as price, updated_at + {DAY // 2} as updated_at) "
+                         f"from stg_orders where (order_time - {EPOCH_BASE}) // {DAY} % 10 = 3")
+    v2 = sku(q, "v2", sku(q, "v1", None, "orders_b1"), "stg_orders_b2")
+    out["scd2_replay_sku"] = q.render(_sel(sku(q, "v3", v2, "late_orders")))  # batches that come again leave no trace
+
     q = Sql()
     kw = dict(compare="all", eff="max", recompute=False)
     p1 = customer(q, "p1", None, "orders_b1", **kw)

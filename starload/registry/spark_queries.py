@@ -39,7 +39,7 @@ from starload.sources.landing import (
     read_traffic,
     validate_orders,
 )
-from starload.schemas import DIM_CUSTOMER, DIM_SKU, STG_ORDERS, STG_TRAFFIC, empty_frame
+from starload.schemas import DIM_CUSTOMER, DIM_SKU, MONEY, STG_ORDERS, STG_TRAFFIC, empty_frame
 from starload.streaming.ingest import stream_ingest_orders_to_table, stream_ingest_to_table
 
 
@@ -268,6 +268,26 @@ def scd2_sku(spark, d):
     return load_sku(_v1(i, "sku"), i.orders_b2)
 
 
+def scd2_runs_customer(spark, d):
+    """All lines as one batch in which every customer's name changes to and fro each five days: a version for each run."""
+    spark = _s(spark)
+    period = F.floor((F.col("order_time") - B.EPOCH_BASE) / (5 * B.DAY)) % 2
+    wavering = B.stg_orders(spark, d).withColumn("name", F.concat("name", F.when(period == 1, " v2").otherwise("")))
+    return load_customer(empty_frame(spark, DIM_CUSTOMER), materialize(wavering, "stage"))
+
+
+def scd2_replay_sku(spark, d):
+    """Two batches, both once more, and twice a late batch of other prices within their time."""
+    spark = _s(spark)
+    i = B.Inputs(spark, d)
+    some = i.orders.where(F.floor((F.col("order_time") - B.EPOCH_BASE) / B.DAY) % 10 == 3)
+    late = some.withColumns({"price": (F.col("price") * F.lit(1.25).cast("decimal(3,2)")).cast(MONEY), "updated_at": F.col("updated_at") + B.DAY // 2})
+    dim = empty_frame(spark, DIM_SKU)
+    for orders in (i.orders_b1, i.orders_b2, i.orders_b1, i.orders_b2, late, late):
+        dim = materialize(load_sku(dim, orders), "dim")
+    return dim
+
+
 def scd2_parity_all_versions(spark, d):
     """Three batches (1, 2, 2 again) with the original rules: compare with all versions, effective from the
     latest sighting, close only open versions."""
@@ -453,6 +473,8 @@ REGISTRY = {
     "scd2_expire_sku": scd2_expire_sku,
     "scd2_customer": scd2_customer,
     "scd2_sku": scd2_sku,
+    "scd2_runs_customer": scd2_runs_customer,
+    "scd2_replay_sku": scd2_replay_sku,
     "scd2_parity_all_versions": scd2_parity_all_versions,
     "fct_sales": fct_sales_q,
     "fct_sales_asof": fct_sales_asof,

@@ -53,7 +53,7 @@ def test_a_b_a(spark):
 
 
 def test_resent_version_current_vs_all(spark):
-    for compare, expected in (("current", 2), ("all", 3)):
+    for compare, expected in (("history", 2), ("current", 2), ("all", 3)):
         kw = dict(compare=compare)
         d = apply(spark, empty_frame(spark, DIM_CUSTOMER), [("C1", "v1", T0)], **kw)
         d = apply(spark, d, [("C1", "v2", T0 + 100)], **kw)
@@ -91,9 +91,9 @@ def test_new_key_null_name_inserted(spark):
 def test_changes_eff_min_and_max(spark):
     src = batch(spark, [("C1", "n", T0 + 30), ("C1", "n", T0 + 10)])
     e = empty_frame(spark, DIM_CUSTOMER)
-    lo = scd2_changes(e, src, "customer_bk", ["customer_name"], "updated_at", "customer_id", ["name"]).first()
+    lo = scd2_changes(e, src, "customer_bk", ["customer_name"], "updated_at", "customer_id", ["name"], compare="current").first()
     hi = scd2_changes(e, src, "customer_bk", ["customer_name"], "updated_at", "customer_id", ["name"],
-                      eff="max").first()
+                      compare="current", eff="max").first()
     assert lo.row_eff_time == ts(T0 + 10) and hi.row_eff_time == ts(T0 + 30)
 
 
@@ -122,6 +122,55 @@ def test_scd2_apply_generic_keys(spark):
     assert [(r.sk, r.current_row_indicator) for r in d.collect()] == [(1, "Active")]
 
 
+def names(dim):
+    return [(r["customer_name"], r["row_eff_time"], r["current_row_indicator"]) for r in rows(dim, "row_eff_time", "customer_id")]
+
+
+def test_runs_within_one_batch(spark):
+    """A, B, A are three versions, sightings in between change nothing, and the last A is current."""
+    recs = [("C1", n, T0 + t) for n, t in [("A", 0), ("A", 5), ("B", 10), ("B", 12), ("A", 20), ("A", 30), (None, 40), (None, 41), ("A", 50)]]
+    d = apply(spark, empty_frame(spark, DIM_CUSTOMER), recs[::-1])
+    assert names(d) == [("A", ts(T0), "Expired"), ("B", ts(T0 + 10), "Expired"), ("A", ts(T0 + 20), "Expired"), (None, ts(T0 + 40), "Expired"), ("A", ts(T0 + 50), "Active")]
+    check_intervals(rows(d))
+
+
+def test_replayed_batches_add_nothing(spark):
+    first, second = [("C1", "A", T0), ("C2", "x", T0)], [("C1", "B", T0 + 10), ("C1", "A", T0 + 20), ("C1", "A", T0 + 25)]
+    d = empty_frame(spark, DIM_CUSTOMER)
+    for recs in (first, second):
+        d = apply(spark, d, recs)
+    want = names(d)
+    assert [w[0] for w in want if w[1] > ts(T0)] == ["B", "A"] and len(want) == 4
+    for recs in (first, first, second, first + second):
+        d = apply(spark, d, recs)
+        assert names(d) == want
+
+
+def test_late_sightings_meet_the_version_of_their_time(spark):
+    d = empty_frame(spark, DIM_CUSTOMER)
+    for recs in ([("C1", "A", T0)], [("C1", "B", T0 + 100)], [("C1", "A", T0 + 50), ("C1", "B", T0 + 150)]):
+        d = apply(spark, d, recs)
+    assert [n for n, _, _ in names(d)] == ["A", "B"]  # A was valid at 50, B at 150
+    d = apply(spark, d, [("C1", "C", T0 + 70), ("C1", "A", T0 - 10)])
+    assert [(n, s) for n, _, s in names(d)] == [("A", "Expired"), ("A", "Expired"), ("C", "Expired"), ("B", "Active")]
+    check_intervals(rows(d))
+    again = apply(spark, d, [("C1", "C", T0 + 70), ("C1", "A", T0 - 10)])
+    assert names(again) == names(d)
+
+
+def test_sightings_at_the_same_time(spark):
+    d = apply(spark, empty_frame(spark, DIM_CUSTOMER), [("C1", "B", T0)])
+    d = apply(spark, d, [("C1", "A", T0), ("C1", "A", T0)])  # appended later, so it stands behind B
+    assert [(n, s) for n, _, s in names(d)] == [("B", "Expired"), ("A", "Active")]
+    for recs in ([("C1", "B", T0)], [("C1", "A", T0), ("C1", "B", T0)]):
+        assert names(apply(spark, d, recs)) == names(d)
+    assert [n for n, _, _ in names(apply(spark, d, [("C1", "B", T0 + 5)]))] == ["B", "A", "B"]
+
+
+def test_rows_without_key_or_time_are_no_sightings(spark):
+    assert apply(spark, empty_frame(spark, DIM_CUSTOMER), [(None, "A", T0), ("C1", "A", None)]).count() == 0
+
+
 def test_expire_closes_each_version_when_the_next_begins(spark):
     """Five versions of one key, one of another."""
     from starload.operators.dims import scd2_expire

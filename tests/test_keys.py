@@ -58,3 +58,26 @@ def test_successor_value_matches_lead(spark):
         assert j.where(~F.col("nxt").eqNullSafe(F.col("ref"))).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_carry_forward_matches_a_window(spark):
+    from starload.operators.keys import carry_forward
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        # 'HOT' holds a third of the rows, a null group some; most rows carry nothing, and 'HOT' carries its first row only
+        df = spark.range(6000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 11 > 0, (F.col("id") % 97).cast("string")).alias("g"),
+            F.when(F.col("id") % 50 > 0, (F.col("id") * 7919) % 6007).alias("t"), F.col("id").alias("sk"))
+        value = F.when(F.when(F.col("g") == "HOT", F.col("sk") == 0).otherwise(F.col("sk") % 5 == 0), F.col("sk"))
+        got = carry_forward(df, "g", ["t", "sk"], value, "seen")
+        before = Window.partitionBy("g").orderBy("t", "sk").rowsBetween(Window.unboundedPreceding, -1)
+        ref = df.withColumn("ref", F.last(value, ignorenulls=True).over(before)).select("sk", "ref")
+        j = got.join(ref, "sk")
+        assert got.columns == ["g", "t", "sk", "seen"] and j.count() == 6000
+        assert j.where(~F.col("seen").eqNullSafe(F.col("ref"))).count() == 0
+        assert j.where("g = 'HOT' and seen is not null").count() > 1900
+        assert carry_forward(df.where("false"), "g", ["t", "sk"], value, "seen").count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

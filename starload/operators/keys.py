@@ -111,7 +111,8 @@ def carry_forward(df: DataFrame, group: str, order_cols: list[str], value: Colum
     partition a window over (partition, group) carries the value, so a group with a very large share of the rows is split into as
     many pieces as it has partitions.  A group that goes on from one partition to the next gets the last value of its earlier
     pieces: only the first and last group of a partition can do that, so the carried values are two rows a partition at most,
-    which bounds both the window over the pieces and what is broadcast.  ``order_cols`` must make rows unique within a group.
+    which bounds both the window over the pieces and what is broadcast.  Rows of a group that tie in ``order_cols`` see each
+    other's values in no fixed order, unless all of them are null.
     """
     checkpoint_dir(df.sparkSession)
     cols = _sort_cols([group, *order_cols])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.dims import ACTIVE
-from starload.operators.keys import successor_value
+from starload.operators.keys import carry_forward
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_keys: list[str], dim_keys: list[str], sk: str,
@@ -34,50 +34,28 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_keys: list[str], dim_keys: list
     return fact.join(d, cond, "left").drop(*tmp)
 
 
-def asof_versions(dim: DataFrame, bk: str, sk: str) -> DataFrame:
-    """Validity intervals [__valid_from, __valid_to) of a type-2 dimension, without overlaps whatever the history: a
-    version is valid until the key's next one in (effective time, surrogate key) order begins, a version that ends when it
-    begins is left out, and the first one left is opened to -inf, so an older fact still resolves to it."""
-    d = successor_value(dim, bk, ["row_eff_time", sk], "row_eff_time", "__valid_to")
-    d = d.where(F.col("__valid_to").isNull() | (F.col("row_eff_time") < F.col("__valid_to")))
-    first = d.groupBy(F.col(bk).alias("__fbk")).agg(F.min("row_eff_time").alias("__first"))
-    d = d.join(first, d[bk].eqNullSafe(first["__fbk"]), "left")
-    return d.withColumn("__valid_from", F.when(F.col("row_eff_time") != F.col("__first"), F.col("row_eff_time"))).drop("__fbk", "__first")
-
-
-def _month_bucket(ts, bucket_months: int):
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor((F.year(c) * 12 + F.month(c) - 1) / F.lit(bucket_months)).cast("int")
-
-
 def lookup_asof(fact: DataFrame, dim: DataFrame, fact_bk: str, bk: str, sk: str, at: str,
-                bucket_months: int = 1) -> DataFrame:
-    """Left-join each fact row to the version of its business key valid at time ``at``:
-    ``valid_from <= at < valid_to`` with open ends (:func:`asof_versions`), so one row comes out for each fact row.
-
-    The join key is (business key, time bucket): each version is listed once per bucket of ``bucket_months``
-    months that it overlaps (clamped to the facts' own time span, found with one aggregate), and each fact row
-    carries the bucket of its time.  A fact row therefore meets only the versions of its key that overlap its
-    bucket, never every version of the key, so a hot key with a long history does not multiply rows; the
-    range predicate then picks the one valid version.  For a daily batch the facts span one or two buckets and
-    the dimension is not expanded at all.
+                keys: DataFrame | None = None) -> DataFrame:
+    """Left-join each fact row to the version of its business key valid at time ``at``: the last one, by effective time and
+    surrogate key, that begins at ``at`` or before.  A key's first version stands for all time before it.  One row comes out
+    for each fact row; a row without a key or a time, or of an unknown key, gets NULL.
+
+    Facts and versions are put into one order by (key, time) over range partitions, and each fact row gets the last version
+    before it (:func:`starload.operators.keys.carry_forward`).  No row meets a version that isn't its own, so neither a long
+    history nor a hot key multiplies rows, and a key with very many facts or versions is split over tasks.  ``keys`` (a frame
+    whose only column holds the batch's business keys) keeps the versions of other keys out of the order.
     """
     if sk in fact.columns:
         fact = fact.drop(sk)
-    fb = _month_bucket(fact[at], bucket_months)
-    span = fact.agg(F.min(fb).alias("lo"), F.max(fb).alias("hi")).first()
-    if span is None or span["lo"] is None:  # no fact has a time: nothing can resolve
-        return fact.withColumn(sk, F.lit(None).cast(dim.schema[sk].dataType))
-    seen = fact.select(F.col(fact_bk).alias("__seen")).distinct()  # versions of other keys aren't needed
-    d = asof_versions(dim.join(seen, dim[bk] == F.col("__seen"), "left_semi"), bk, sk).select(
-        F.col(sk), F.col(bk).alias("__abk"), "__valid_from", "__valid_to")
-    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
-    frm = F.greatest(F.coalesce(_month_bucket(F.col("__valid_from"), bucket_months), lo), lo)
-    to = F.least(F.coalesce(_month_bucket(F.col("__valid_to"), bucket_months), hi), hi)
-    d = d.where(frm <= to).withColumn("__ab", F.explode(F.sequence(frm, to)))
-    f = fact.withColumn("__fb", fb)
-    t = f[at]
-    cond = ((f[fact_bk] == d["__abk"]) & (f["__fb"] == d["__ab"])
-            & (d["__valid_from"].isNull() | (d["__valid_from"] <= t))
-            & (d["__valid_to"].isNull() | (t < d["__valid_to"])))
-    return f.join(d, cond, "left").drop("__abk", "__ab", "__fb", "__valid_from", "__valid_to")
+    kind, f_type = dim.schema[sk].dataType, fact.schema
+    d = dim.where(F.col(bk).isNotNull()).select(F.col(bk).alias("__abk"), F.col(sk).alias("__ask"), "row_eff_time")
+    if keys is not None:
+        wanted = keys.toDF("__wanted").distinct()
+        d = d.join(wanted, d["__abk"] == wanted["__wanted"], "left_semi")
+    first = d.groupBy(F.col("__abk").alias("__fbk")).agg(F.min("row_eff_time").alias("__first"))
+    d = d.join(first, d["__abk"] == first["__fbk"]).withColumn("__aat", F.when(F.col("row_eff_time") != F.col("__first"), F.col("row_eff_time")))
+    versions = d.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in f_type.fields], "__abk", "__aat", F.lit(False).alias("__is_fact"), "__ask")
+    rows = fact.withColumns({"__abk": F.col(fact_bk).cast(dim.schema[bk].dataType), "__aat": F.col(at), "__is_fact": F.lit(True), "__ask": F.lit(None).cast(kind)})
+    told = carry_forward(versions.unionByName(rows), "__abk", ["__aat", "__is_fact", "__ask"], F.col("__ask"), sk).where("__is_fact")
+    known = F.col("__aat").isNotNull() & F.col("__abk").isNotNull()
+    return told.withColumn(sk, F.when(known, F.col(sk))).select(*fact.columns, sk)

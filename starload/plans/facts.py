@@ -25,6 +25,7 @@ def _resolve_sales(stg: DataFrame, dim_location: DataFrame, dim_customer: DataFr
                    mode: str) -> DataFrame:
     # an order with an empty item list has one row without a line: kept, one for each order, for the quarantine
     has_line = F.col("line_item_id").isNotNull()
+    batch = stg
     stg = dedupe_latest(stg.where(has_line), ["line_item_id"], "updated_at").unionByName(
         dedupe_latest(stg.where(~has_line), ["order_id"], "updated_at"))
     f = stg.withColumn("__t", F.timestamp_seconds("order_time"))
@@ -34,8 +35,9 @@ def _resolve_sales(stg: DataFrame, dim_location: DataFrame, dim_customer: DataFr
         f = _lookup_sku_active(f, dim_sku)
     elif mode == "asof":
         f = lookup_asof(f, dim_customer.withColumnRenamed("customer_id", "__customer_sk"), "customer_id",
-                        "customer_bk", "__customer_sk", "__t")
-        f = lookup_asof(f, dim_sku.withColumnRenamed("sku_id", "__sku_sk"), "sku_id", "sku_bk", "__sku_sk", "__t")
+                        "customer_bk", "__customer_sk", "__t", keys=batch.select("customer_id"))
+        f = lookup_asof(f, dim_sku.withColumnRenamed("sku_id", "__sku_sk"), "sku_id", "sku_bk", "__sku_sk", "__t",
+                        keys=batch.select("sku_id"))
     else:
         raise ValueError(f"mode must be 'active' or 'asof', not {mode!r}")
     return f.select(

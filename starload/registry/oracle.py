@@ -365,8 +365,6 @@ def queries() -> dict[str, str]:
 
     q = Sql()
     w1 = warehouse(q, "w1", None, "orders_b1", "traffic_b1")
-    out["fct_sales"] = q.render(_sel(w1["fs"]))
-    out["fct_traffic"] = q.render(_sel(w1["ft"]))
     _, bad = fct_sales(q, "u", "stg_orders_b2", w1["loc"], w1["cust"], w1["sku"])
     out["unresolved_keys"] = q.render(f"""select line_item_id, order_id, sku_id is null missing_sku_id,
         customer_id is null missing_customer_id, location_id is null missing_location_id from {bad}""")
@@ -376,15 +374,18 @@ def queries() -> dict[str, str]:
     out["merge_sales"] = q.render(_sel(w2["fs"]))
     out["merge_traffic"] = q.render(_sel(w2["ft"]))
     out["merge_summary"] = q.render(_sel(w2["sum"]))
-    asof, _ = fct_sales(q, "sales_asof", "stg_orders_b2", w2["loc"], w2["cust"], w2["sku"], mode="asof")
+    q.add("both_batches", "select * from orders_b1 union all by name select * from stg_orders_b2")
+    asof, _ = fct_sales(q, "sales_asof", "both_batches", w2["loc"], w2["cust"], w2["sku"], mode="asof")
     out["fct_sales_asof"] = q.render(_sel(asof))
     out["check_foreign_key"] = q.render(f"""select f.* from {w1['fs']} f where f.customer_id is not null and
         not exists (select 1 from (select * from {w2['cust']} where current_row_indicator = 'Active') c
                     where c.customer_id = f.customer_id)""")
-    out["touched_dates"] = sql_with() + f"select distinct {DID('order_time')} date_id from stg_orders_b2"
+    out["touched_dates"] = sql_with() + f"select distinct {DID('order_time')} date_id from stg_orders"
 
     q = Sql()
     w = warehouse(q, "w", None, "stg_orders", "stg_traffic")
+    out["fct_sales"] = q.render(_sel(w["fs"]))
+    out["fct_traffic"] = q.render(_sel(w["ft"]))
     out["periodic_summary"] = q.render(_sel(w["sum"]))
     out["periodic_summary_parity"] = q.render(f"""select date_id, count(distinct order_id) unique_orders,
             count(distinct customer_id) unique_customers, count(distinct session_id) num_sessions,

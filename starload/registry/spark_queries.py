@@ -3,6 +3,8 @@ runs one library operator (or a whole batch) over all of their rows."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from starload.plans.warehouse import (
     load_customer,
     load_device,
     load_location,
+    load_sales_dims,
     load_sku,
     revenue_by_day_and_country,
     run_batch,
@@ -314,28 +317,40 @@ def _w2(i: B.Inputs, w1=None, orders: bool = True, traffic: bool = True):
 
 
 def fct_sales_q(spark, d):
+    """All lines as one batch, resolved against the dimensions that it makes."""
     spark = _s(spark)
-    return _w1(B.Inputs(spark, d), traffic=False).fct_sales
+    return run_batch(spark, empty_warehouse(spark), B.stg_orders(spark, d), None, summary=False).fct_sales
 
 
 def fct_traffic_q(spark, d):
+    """All sessions as one batch."""
     spark = _s(spark)
-    return _w1(B.Inputs(spark, d), orders=False).fct_traffic
+    return run_batch(spark, empty_warehouse(spark), None, B.stg_traffic(spark, d), summary=False).fct_traffic
 
 
 def unresolved_keys(spark, d):
     """Batch 2 resolved against batch 1's current versions: changed customers and prices are quarantined."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = _w1(i, traffic=False)
+    w = _dims(i, i.orders_b1)
     return unresolved_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku)
 
 
+def _dims(i: B.Inputs, *batches):
+    """The dimensions of sales after some batches, each kept before the next one reads it."""
+    w = empty_warehouse(i.spark)
+    for orders in batches:
+        w = load_sales_dims(w, orders)
+        w = replace(w, dim_customer=materialize(w.dim_customer, "dim_customer"), dim_sku=materialize(w.dim_sku, "dim_sku"))
+    return w
+
+
 def fct_sales_asof(spark, d):
+    """All lines of both batches, each with the versions that were valid at its order time."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = _w2(i, traffic=False)
-    good, _ = build_fct_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku, mode="asof")
+    w = _dims(i, i.orders_b1, i.orders_b2)
+    good, _ = build_fct_sales(i.orders_b1.unionByName(i.orders_b2), w.dim_location, w.dim_customer, w.dim_sku, mode="asof")
     return good
 
 
@@ -359,8 +374,7 @@ def check_foreign_key_q(spark, d):
     spark = _s(spark)
     i = B.Inputs(spark, d)
     w1 = _w1(i, traffic=False)
-    w2 = _w2(i, w1, traffic=False)
-    active = w2.dim_customer.where(F.col("current_row_indicator") == "Active")
+    active = load_customer(w1.dim_customer, i.orders_b2).where(F.col("current_row_indicator") == "Active")
     return check_foreign_key(w1.fct_sales, active, ["customer_id"])
 
 
@@ -369,15 +383,16 @@ def check_not_null_q(spark, d):
     versions (before the split into fact and quarantine)."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w = _w1(i, traffic=False)
+    w = _dims(i, i.orders_b1)
     r = resolve_sales(i.orders_b2, w.dim_location, w.dim_customer, w.dim_sku)
     return check_not_null(r, ["sku_id", "customer_id", "location_id"]).select(
         "line_item_id", "sku_id", "customer_id", "location_id")
 
 
 def touched_dates_q(spark, d):
+    """The days of the lines of both batches."""
     spark = _s(spark)
-    return touched_dates(B.stg_orders_b2(spark, d), "order_time")
+    return touched_dates(B.stg_orders(spark, d), "order_time")
 
 
 def periodic_summary(spark, d):

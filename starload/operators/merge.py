@@ -2,8 +2,7 @@
 
 ``merge_upsert`` is ``INSERT ... ON CONFLICT (keys) DO UPDATE`` as one full outer join: one shuffle of each
 side on the key, no union of a left join with an anti-join.  For a date-partitioned fact the join is confined
-to the partitions the batch touches.  ``write_touched_partitions`` persists the result by rewriting only those
-partitions.
+to the partitions the batch touches (:func:`merge_touched`), which are then all that a stored fact writes.
 """
 
 from __future__ import annotations
@@ -45,7 +44,7 @@ def touched_partitions(target: DataFrame, src: DataFrame, keys: list[str], parti
     return [r[0] for r in parts.collect()]
 
 
-def _in_parts(col: str, parts: list) -> Column:
+def in_parts(col: str, parts: list) -> Column:
     vals = [p for p in parts if p is not None]
     cond = F.col(col).isin(vals) if vals else F.lit(False)
     return cond | F.col(col).isNull() if None in parts else cond
@@ -71,36 +70,19 @@ def merge_upsert(target: DataFrame, src: DataFrame, keys: list[str], preserve: t
         src = dedupe_latest(src, keys, order)
     if partition_col is not None:
         merged, parts = merge_touched(target, src, keys, preserve, partition_col, deduped=True)
-        hit = _in_parts(partition_col, parts)
+        hit = in_parts(partition_col, parts)
         return target.where(~hit | hit.isNull()).unionByName(merged)
     return _full_outer_merge(target, src, keys, preserve)
 
 
 def merge_touched(target: DataFrame, src: DataFrame, keys: list[str], preserve, partition_col: str,
                   order: str | None = None, deduped: bool = False) -> tuple[DataFrame, list]:
-    """The merged rows of the partitions ``src`` touches, and the list of those partitions.  Writing these rows
-    with dynamic partition overwrite (and deleting listed partitions that end up empty) updates a stored
-    fact without reading or rewriting any other partition."""
+    """The merged rows of the partitions ``src`` touches, and the list of those partitions (some may be left without rows).
+    No other partition's rows are read, but for their keys."""
     if not deduped:
         src = dedupe_latest(src, keys, order)
     parts = touched_partitions(target, src, keys, partition_col)
-    return _full_outer_merge(target.where(_in_parts(partition_col, parts)), src, keys, preserve), parts
-
-
-def replace_partitions(rows: DataFrame, parts: list, path: str, part_col: str) -> None:
-    """Make the stored partitions ``parts`` of the table at ``path`` hold exactly ``rows``: dynamic overwrite
-    for the partitions that have rows, deletion for those left empty (all their rows moved elsewhere)."""
-    spark = rows.sparkSession
-    kept = {r[0] for r in rows.select(part_col).distinct().collect()}
-    write_touched_partitions(rows, path, part_col)
-    gone = [p for p in parts if p not in kept]
-    if gone:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for v in gone:
-            name = "__HIVE_DEFAULT_PARTITION__" if v is None else v
-            p = jvm.org.apache.hadoop.fs.Path(f"{path}/{part_col}={name}")
-            p.getFileSystem(conf).delete(p, True)
+    return _full_outer_merge(target.where(in_parts(partition_col, parts)), src, keys, preserve), parts
 
 
 def _full_outer_merge(target: DataFrame, src: DataFrame, keys: list[str], preserve) -> DataFrame:
@@ -130,12 +112,3 @@ def update_from(target: DataFrame, src: DataFrame, target_key: str, src_key: str
     hit = F.col("__hit").isNotNull()
     return j.select(*[F.when(hit, F.col(f"__u_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
                       for c in target.columns])
-
-
-def write_touched_partitions(df: DataFrame, path: str, part_col: str) -> None:
-    """Persist ``df`` (the merged rows of the touched partitions) overwriting only those partitions.
-    Partitions absent from ``df`` stay as they are (dynamic partition overwrite)."""
-    (df.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col)
-     .parquet(path))

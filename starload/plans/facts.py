@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.dates import date_id
@@ -16,9 +16,19 @@ CHANNEL_KEYS = ["traffic_source", "referral_source"]
 DEVICE_KEYS = ["device_name", "os", "browser"]
 DEVICE_SRC = ["device", "os", "browser"]
 
+# What a missing key is called in the quarantine.
+REASONS = {"sku_id": "no SKU version", "customer_id": "no customer version", "location_id": "no location", "channel_id": "no channel",
+           "device_id": "no device", "line_item_id": "no line", "session_id": "no session id"}
+
+
+class UnresolvedKeyError(ValueError):
+    """A batch has rows without a dimension key (strict mode)."""
+
+
 SALES_FKS = ["sku_id", "customer_id", "location_id"]
 SALES_KEYS = ["line_item_id", *SALES_FKS]  # what a fact row must have
 TRAFFIC_FKS = ["channel_id", "device_id"]
+TRAFFIC_KEYS = ["session_id", *TRAFFIC_FKS]
 
 
 def _resolve_sales(stg: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
@@ -72,6 +82,25 @@ def split_resolved(resolved: DataFrame, fks: list[str]) -> tuple[DataFrame, Data
     return resolved.where(ok), resolved.where(~ok)
 
 
+def missing_keys(row_keys: list[str]) -> Column:
+    """Why a resolved row is not a fact: the names of its missing keys."""
+    return F.concat_ws("; ", *[F.when(F.col(k).isNull(), F.lit(REASONS[k])) for k in row_keys])
+
+
+def quarantined(staged: DataFrame, bad: DataFrame, key: str, other_key: str, order: str, row_keys: list[str]) -> DataFrame:
+    """The staged rows (with ``attempts``) behind the unresolved fact rows ``bad``, with the reason and one more attempt; one row
+    for each ``key``, or for each ``other_key`` where that is missing.  ``bad`` is what could not be loaded, small as a rule, and
+    is joined with the staged batch instead of dragging all staged columns through the lookups."""
+    why = bad.select(F.col(key).alias("__k"), F.col(other_key).alias("__o"), missing_keys(row_keys).alias("reason")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("__k").isNotNull() | F.col(other_key).eqNullSafe(F.col("__o")))
+    hit = staged.join(why, same).drop("__k", "__o")
+    has_key = F.col(key).isNotNull()
+    one = dedupe_latest(hit.where(has_key), [key], order)
+    if key != other_key:
+        one = one.unionByName(dedupe_latest(hit.where(~has_key), [other_key], order))
+    return one.withColumn("attempts", F.col("attempts") + 1)
+
+
 def build_fct_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
                     mode: str = "active") -> tuple[DataFrame, DataFrame]:
     """Sales lines -> (fact rows with every key resolved, lines with an unresolved key).
@@ -100,6 +129,11 @@ def unresolved_sales(stg_orders: DataFrame, dim_location: DataFrame, dim_custome
 def build_fct_traffic(stg_traffic: DataFrame, dim_channel: DataFrame, dim_device: DataFrame
                       ) -> tuple[DataFrame, DataFrame]:
     """Sessions -> (fact rows with channel and device resolved, sessions with an unresolved key)."""
+    return split_resolved(resolve_traffic(stg_traffic, dim_channel, dim_device), TRAFFIC_KEYS)
+
+
+def resolve_traffic(stg_traffic: DataFrame, dim_channel: DataFrame, dim_device: DataFrame) -> DataFrame:
+    """Every (deduplicated) session in the fact's shape, foreign keys NULL where unresolved."""
     stg = dedupe_latest(stg_traffic, ["session_id"], "visit_time")
     f = stg.withColumn("__t", F.timestamp_seconds("visit_time"))
     f = lookup(f, dim_channel, CHANNEL_KEYS, CHANNEL_KEYS, "channel_id")
@@ -115,4 +149,4 @@ def build_fct_traffic(stg_traffic: DataFrame, dim_channel: DataFrame, dim_device
         F.col("__t").alias("created_at"),
         F.col("__t").alias("updated_at"),
     )
-    return split_resolved(f.select(*FCT_TRAFFIC.names), TRAFFIC_FKS)
+    return f.select(*FCT_TRAFFIC.names)

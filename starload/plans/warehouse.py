@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.operators.dims import insert_ignore, scd2_apply
-from starload.operators.merge import merge_touched, merge_upsert, replace_partitions
+from starload.operators.merge import in_parts, merge_touched
+from starload.plans.commits import State, commit, put_partitions, put_table, read_table, state
 from starload.plans.facts import (
     CHANNEL_KEYS,
     DEVICE_KEYS,
@@ -24,11 +24,15 @@ from starload.plans.facts import (
     LOCATION_KEYS,
     SALES_KEYS,
     SKU_ATTRS,
-    build_fct_traffic,
+    TRAFFIC_KEYS,
+    UnresolvedKeyError,
+    missing_keys,
+    quarantined,
     resolve_sales,
+    resolve_traffic,
     split_resolved,
 )
-from starload.plans.summary import build_periodic_summary, touched_dates
+from starload.plans.summary import build_periodic_summary
 from starload.schemas import (
     DIM_CHANNEL,
     DIM_CUSTOMER,
@@ -38,6 +42,10 @@ from starload.schemas import (
     FCT_PERIODIC_SUMMARY,
     FCT_SALES,
     FCT_TRAFFIC,
+    QUARANTINE_SALES,
+    QUARANTINE_TRAFFIC,
+    STG_ORDERS,
+    STG_TRAFFIC,
     empty_frame,
 )
 from starload.session import checkpoint_dir, materialize
@@ -60,7 +68,7 @@ class Warehouse:
 def empty_warehouse(spark: SparkSession) -> Warehouse:
     e = lambda s: empty_frame(spark, s)
     return Warehouse(e(DIM_LOCATION), e(DIM_CUSTOMER), e(DIM_SKU), e(DIM_DEVICE), e(DIM_CHANNEL), e(FCT_SALES),
-                     e(FCT_TRAFFIC), e(FCT_PERIODIC_SUMMARY), e(FCT_SALES), e(FCT_TRAFFIC))
+                     e(FCT_TRAFFIC), e(FCT_PERIODIC_SUMMARY), e(QUARANTINE_SALES), e(QUARANTINE_TRAFFIC))
 
 
 def load_location(dim_location: DataFrame, orders: DataFrame) -> DataFrame:
@@ -111,48 +119,57 @@ def _parallel(*thunks):
         return [f.result() for f in [pool.submit(t) for t in live]]
 
 
-def _merge_fact(spark: SparkSession, current: DataFrame, batch: DataFrame, key: str, part: str, name: str,
-                root: str | None, keep) -> DataFrame:
-    """Upsert a batch into a date-partitioned fact.  Only the touched partitions are joined.  Without a
-    warehouse root the new fact is returned as a frame (untouched partitions pass through); with one, only the
-    touched partitions are rewritten in ``root/name`` and the fact is read back from there."""
-    if root is None:
-        return keep(merge_upsert(current, batch, [key], preserve=["created_at"], order="updated_at",
-                                 partition_col=part), name)
-    rows, parts = merge_touched(current, batch, [key], ["created_at"], part, order="updated_at")
-    # a scratch copy first: the write below replaces partitions that ``rows`` is computed from
-    replace_partitions(materialize(rows, name), parts, f"{root}/{name}", part)
-    return spark.read.schema(current.schema).parquet(f"{root}/{name}").select(*current.columns)
-
-
-def _summary_dates(before: Warehouse, orders: DataFrame | None, traffic: DataFrame | None) -> DataFrame:
-    """The days of a batch's rows, and of the rows that it replaces."""
-    parts = []
-    if orders is not None:
-        parts += [touched_dates(orders, "order_time").select("date_id"), before.fct_sales.join(
-            orders.select("line_item_id").distinct(), "line_item_id", "left_semi").select(F.col("order_date_id").alias("date_id"))]
-    if traffic is not None:
-        parts += [touched_dates(traffic, "visit_time").select("date_id"), before.fct_traffic.join(
-            traffic.select("session_id").distinct(), "session_id", "left_semi").select(F.col("visit_date_id").alias("date_id"))]
-    return reduce(lambda a, b: a.union(b), parts).distinct()
+def _merge_fact(current: DataFrame, batch: DataFrame, key: str, part: str, name: str, at: State | None, keep) -> tuple[DataFrame, list]:
+    """Upsert a batch, one row a key, into a date-partitioned fact: the new fact, and the days that it changes.  Only the touched
+    partitions are joined.  In a stored warehouse the touched partitions get new folders, which ``at`` names; without one the
+    untouched partitions pass through."""
+    rows, parts = merge_touched(current, batch, [key], ["created_at"], part, deduped=True)
+    if at is None:
+        hit = in_parts(part, parts)
+        return keep(current.where(~hit | hit.isNull()).unionByName(rows), name), parts
+    put_partitions(at, name, rows, part, parts)
+    return read_table(batch.sparkSession, at, name, current.schema), parts
+
+
+def _with_pending(batch: DataFrame, pending: DataFrame, key: str, other_key: str) -> DataFrame:
+    """A batch and the rows that earlier loads could not resolve, with the number of attempts so far.  An order that waits
+    because it had no lines is dropped when lines of it arrive."""
+    staged = batch.withColumn("attempts", F.lit(0))
+    waiting = pending.select(*staged.columns)
+    if key != other_key:
+        arrived = batch.where(F.col(key).isNotNull()).select(F.col(other_key).alias("__arrived")).distinct()
+        empty = waiting.where(F.col(key).isNull()).join(arrived, F.col(other_key) == F.col("__arrived"), "left_anti")
+        waiting = waiting.where(F.col(key).isNotNull()).unionByName(empty)
+    return staged.unionByName(waiting)
+
+
+def _refuse(bad: DataFrame, what: str, keys: list[str]) -> None:
+    few = bad.limit(5).select(keys[0], missing_keys(keys).alias("reason")).collect()
+    if few:
+        raise UnresolvedKeyError(f"{what} without a key: {few}")
 
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
               fact_mode: str = "active", persist: bool = True, staged: bool = False,
-              root: str | None = None, summary: bool = True) -> Warehouse:
+              root: str | None = None, summary: bool = True, on_unresolved: str = "quarantine", include: str = "orders") -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
-    Empty or missing inputs skip their branch.  The summary is rebuilt for every day whose facts may have changed: the
-    days of both inputs, and those where the rewritten keys stood before.  With
-    ``persist=True`` each new table is written once, so later batches start from files, not lineage.
-    Type-0 dimensions need no extra write: their new rows already come from the key assignment's files.
-    ``staged=True`` says the inputs are already materialised (or cheap filters of materialised tables).
-    ``summary=False`` leaves the daily summary as it was (for callers that only need the facts).
-    With ``root`` the warehouse lives on storage: facts are partitioned by date there and each batch rewrites
-    only the partitions it touches; dimensions and the summary are rewritten whole (they are small).  Start
-    from ``load_warehouse(spark, root)`` (or ``empty_warehouse`` for the first batch).
+    Empty or missing inputs skip their branch.  Rows whose keys can't be resolved go to the quarantine as they were staged, and
+    each later batch tries them again with its new dimension versions (``on_unresolved="fail"`` raises instead, as a NOT NULL
+    constraint would, and nothing of the batch is published).  The summary is rebuilt for every day whose facts may have changed:
+    the days that the merges touched.  ``include="either"`` also keeps days that have sessions only.  With ``persist=True``
+    each new table is written once, so later batches start from files, not lineage.  Type-0 dimensions need no extra write: their
+    new rows already come from the key assignment's files.  ``staged=True`` says the inputs are already materialised (or cheap
+    filters of materialised tables).  ``summary=False`` leaves the daily summary as it was (for callers that only need the facts).
+
+    With ``root`` the warehouse lives on storage (:mod:`starload.plans.commits`): facts are partitioned by date there and each batch
+    rewrites only the partitions it touches; dimensions, quarantines and the summary are rewritten whole (they are small).  All
+    tables of a batch appear with one commit.  Start from ``load_warehouse(spark, root)`` (or ``empty_warehouse`` for the first).
     """
+    if on_unresolved not in ("quarantine", "fail"):
+        raise ValueError("on_unresolved must be 'quarantine' or 'fail'")
     checkpoint_dir(spark)
+    at = None if root is None else state(spark, root).next()
     keep = (lambda df, name: materialize(df, name)) if persist else (lambda df, name: df)
     if not staged:
         orders, traffic = _parallel(
@@ -160,50 +177,57 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
             (lambda: stage(traffic)) if traffic is not None else (lambda: None))
     has_orders = orders is not None and not orders.isEmpty()
     has_traffic = traffic is not None and not traffic.isEmpty()
+    touched: set = set()
 
     def sales_branch():
-        loc, cust, sku = _parallel(lambda: load_location(w.dim_location, orders),
-                                   lambda: keep(load_customer(w.dim_customer, orders), "dim_customer"),
-                                   lambda: keep(load_sku(w.dim_sku, orders), "dim_sku"))
-        resolved = keep(resolve_sales(orders, loc, cust, sku, fact_mode), "fct_sales_batch")
+        batch = orders.select(*STG_ORDERS.names)
+        loc, cust, sku = _parallel(lambda: load_location(w.dim_location, batch),
+                                   lambda: keep(load_customer(w.dim_customer, batch), "dim_customer"),
+                                   lambda: keep(load_sku(w.dim_sku, batch), "dim_sku"))
+        lines = _with_pending(batch, w.quarantine_sales, "line_item_id", "order_id")
+        resolved = keep(resolve_sales(lines, loc, cust, sku, fact_mode), "fct_sales_batch")
         sales, bad = split_resolved(resolved, SALES_KEYS)
-        fct = _merge_fact(spark, w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", root, keep)
-        return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct,
-                    quarantine_sales=w.quarantine_sales.unionByName(bad))
+        if on_unresolved == "fail":
+            _refuse(bad, "sales lines", SALES_KEYS)
+        waiting = quarantined(lines, bad, "line_item_id", "order_id", "updated_at", SALES_KEYS).select(*QUARANTINE_SALES.names)
+        waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_sales"), lambda: _merge_fact(
+            w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", at, keep))
+        touched.update(days)
+        return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct, quarantine_sales=waiting)
 
     def traffic_branch():
-        dev, chn = _parallel(lambda: load_device(w.dim_device, traffic), lambda: load_channel(w.dim_channel, traffic))
-        t, bad = build_fct_traffic(traffic, chn, dev)
-        fct = _merge_fact(spark, w.fct_traffic, t, "session_id", "visit_date_id", "fct_traffic", root, keep)
-        return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct,
-                    quarantine_traffic=w.quarantine_traffic.unionByName(bad))
-
-    dates = None
-    if summary and (has_orders or has_traffic):  # read before the facts are written: a merge replaces stored files
-        dates = materialize(_summary_dates(w, orders if has_orders else None, traffic if has_traffic else None), "dates")
+        batch = traffic.select(*STG_TRAFFIC.names)
+        dev, chn = _parallel(lambda: load_device(w.dim_device, batch), lambda: load_channel(w.dim_channel, batch))
+        visits = _with_pending(batch, w.quarantine_traffic, "session_id", "session_id")
+        t, bad = split_resolved(keep(resolve_traffic(visits, chn, dev), "fct_traffic_batch"), TRAFFIC_KEYS)
+        if on_unresolved == "fail":
+            _refuse(bad, "sessions", TRAFFIC_KEYS)
+        waiting = quarantined(visits, bad, "session_id", "session_id", "visit_time", TRAFFIC_KEYS).select(*QUARANTINE_TRAFFIC.names)
+        waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_traffic"), lambda: _merge_fact(
+            w.fct_traffic, t, "session_id", "visit_date_id", "fct_traffic", at, keep))
+        touched.update(days)
+        return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct, quarantine_traffic=waiting)
+
     changes = {}
     for part in _parallel(sales_branch if has_orders else None, traffic_branch if has_traffic else None):
         changes.update(part)
+    if not changes:
+        return w
     w = replace(w, **changes)
-    if dates is not None:
-        days = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer).select(*FCT_PERIODIC_SUMMARY.names)
+    dates = sorted(d for d in touched if d is not None)
+    if summary and dates:
+        days = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer, include).select(*FCT_PERIODIC_SUMMARY.names)
         # days that lost their last line go with the old rows
-        untouched = w.fct_periodic_summary.join(dates.select("date_id"), "date_id", "left_anti").select(*FCT_PERIODIC_SUMMARY.names)
-        w = replace(w, fct_periodic_summary=keep(untouched.unionByName(days), "fct_periodic_summary"))
-    if root is not None:
-        # Customer, SKU and summary were already materialised in the shared checkpoint folder during the batch;
-        # the insert-only dimensions still read the root's files (old rows plus new keys), so they get a
-        # scratch copy first: a table is never overwritten while it is being read.
-        read_root = {"dim_location", "dim_device", "dim_channel"}
-        touched = ({"dim_location", "dim_customer", "dim_sku"} if has_orders else set()) | \
-            ({"fct_periodic_summary"} if summary and (has_orders or has_traffic) else set()) | \
-            ({"dim_device", "dim_channel"} if has_traffic else set())
-        for name in sorted(touched):
-            df = getattr(w, name)
-            src = materialize(df, name) if (name in read_root or not persist) else df
-            src.write.mode("overwrite").parquet(f"{root}/{name}")
-            w = replace(w, **{name: spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns)})
-    return w
+        untouched = w.fct_periodic_summary.where(~F.col("date_id").isin(dates)).select(*FCT_PERIODIC_SUMMARY.names)
+        changes["fct_periodic_summary"] = keep(untouched.unionByName(days), "fct_periodic_summary")
+        w = replace(w, fct_periodic_summary=changes["fct_periodic_summary"])
+    if at is None:
+        return w
+    for name in sorted(set(changes) - {"fct_sales", "fct_traffic"}):
+        put_table(at, name, getattr(w, name))
+    commit(spark, at)
+    stored = {name: read_table(spark, at, name, getattr(w, name).schema) for name in changes}
+    return replace(w, **stored)
 
 
 def revenue_by_day_and_country(w: Warehouse) -> DataFrame:

@@ -59,6 +59,13 @@ STG_TRAFFIC = _struct(
     ("transactions", I),
 )
 
+# --- what could not be loaded ---
+# A rejected record: where it came from, its own key if it has one, what is wrong, and its text.
+DEAD_LETTERS = _struct(("feed", S), ("record_key", S), ("batch", S), ("source_file", S), ("reason", S), ("raw_record", S))
+# A valid row that finds no key in a dimension: as staged, with the reason and how many loads have tried it.
+QUARANTINE_SALES = T.StructType([*STG_ORDERS.fields, T.StructField("reason", S), T.StructField("attempts", I)])
+QUARANTINE_TRAFFIC = T.StructType([*STG_TRAFFIC.fields, T.StructField("reason", S), T.StructField("attempts", I)])
+
 # --- warehouse ---
 DIM_DATE = T.StructType([
     T.StructField("date_id", I, False), T.StructField("date", T.DateType()),

@@ -97,10 +97,3 @@ def materialize(df, name: str = "table"):
     df.write.mode("errorifexists").parquet(path)
     # the schema is known: passing it skips the footer-reading job of schema inference
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists on the cluster's file system (a metadata call on the driver)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

@@ -64,29 +64,43 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 # ------------------------------------------------------------------------------------------------- reading
 
+CORRUPT = "malformed"  # the field that a parser fills when a line is no record of the schema
+
+
+def parse_lines(lines: DataFrame, record_schema: T.StructType) -> DataFrame:
+    """JSON Lines (a ``value`` column, others are kept) as records with a fixed schema, with their text in ``raw_record``; a line
+    that can't be parsed has NULL fields and ``malformed`` set.  Empty lines are no records."""
+    schema = T.StructType([*record_schema.fields, T.StructField(CORRUPT, T.StringType())])
+    others = [c for c in lines.columns if c != "value"]
+    parsed = lines.where(F.trim("value") != "").withColumn("__r", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    return parsed.select(*[F.col(f"__r.{f.name}").alias(f.name) for f in record_schema.fields], *others, F.col("value").alias("raw_record"),
+                         (F.col(f"__r.{CORRUPT}").isNotNull() | F.col("__r").isNull()).alias(CORRUPT))
+
+
 def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, envelope: str | None = None,
                 document_schema: T.StructType | None = None) -> DataFrame:
-    """Read landed JSON with a fixed schema (no inference), only ``*.json`` files, keeping the batch key
-    (as text) and the source file for lineage.  ``envelope`` names the array field of enveloped documents,
-    which are then read whole (``multiLine``) and exploded."""
-    schema = T.StructType(list((document_schema if envelope else record_schema).fields)
-                          + [T.StructField("batch", T.StringType())])
-    r = spark.read.schema(schema).option("pathGlobFilter", "*.json")
+    """Read landed JSON with a fixed schema (no inference), only ``*.json`` files, keeping the batch key (as text), the source
+    file, and each record's text (``raw_record``), so that what is rejected can be looked at and repaired.  ``envelope`` names
+    the array field of enveloped documents, which are then read whole (``multiLine``) and exploded; their records' text is
+    written anew from the fields of the schema."""
+    batch = T.StructField("batch", T.StringType())
     if envelope:
-        r = r.option("multiLine", "true")
+        r = spark.read.schema(T.StructType([*document_schema.fields, batch])).option("multiLine", "true")
+    else:
+        r = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), batch]))
+    r = r.option("pathGlobFilter", "*.json")
     try:
-        df = r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+        df = (r.json(path) if envelope else r.text(path)).withColumn("source_file", F.col("_metadata.file_path"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise
         # an empty or missing prefix is an empty batch, not an error
-        out = T.StructType(list(record_schema.fields) + [T.StructField("batch", T.StringType()),
-                                                         T.StructField("source_file", T.StringType())])
-        return empty_frame(spark, out)
-    if envelope:
-        df = df.select("batch", "source_file", F.explode(envelope).alias("__r")).select("__r.*", "batch",
-                                                                                         "source_file")
-    return df
+        text = [T.StructField(c, T.StringType()) for c in ("batch", "source_file", "raw_record")]
+        return empty_frame(spark, T.StructType([*record_schema.fields, *text, T.StructField(CORRUPT, T.BooleanType())]))
+    if not envelope:
+        return parse_lines(df, record_schema)
+    df = df.select("batch", "source_file", F.explode(envelope).alias("__r"))
+    return df.select("__r.*", "batch", "source_file", F.to_json("__r").alias("raw_record"), F.lit(False).alias(CORRUPT))
 
 
 def read_orders(spark: SparkSession, path: str, envelope: bool = False) -> DataFrame:
@@ -131,6 +145,14 @@ def _finish(typed: DataFrame, ok: Column, reason: Column, on_invalid: str) -> tu
     return valid, bad
 
 
+#: What is kept about where a record came from.
+LINEAGE = ("batch", "source_file", "raw_record", CORRUPT)
+
+
+def _malformed(raw: DataFrame) -> list[tuple[str, Column]]:
+    return [("malformed record", F.col(CORRUPT))] if CORRUPT in raw.columns else []
+
+
 ORDER_REQUIRED = ["order_id", "customer_id", "order_time", "item_list", "updated_at"]
 ITEM_REQUIRED = ["line_item_id", "sku_id", "product_id", "product_name", "size", "color", "price", "cogs",
                  "quantity"]
@@ -159,12 +181,13 @@ def validate_orders(raw: DataFrame) -> DataFrame:
         "place", "country",
         typed_items.cast(T.ArrayType(item_t)).alias("item_list"),
         _int("updated_at").alias("updated_at"),
-        *[c for c in ("batch", "source_file") if c in raw.columns],
+        *[c for c in LINEAGE if c in raw.columns],
         F.col("order_time").alias("__raw_order_time"), F.col("updated_at").alias("__raw_updated_at"),
         F.col("latitude").alias("__raw_lat"), F.col("longitude").alias("__raw_lon"),
         items_present.alias("__items_present"),
     )
     checks = [
+        *_malformed(raw),
         ("missing order_id", F.col("order_id").isNull()),
         ("missing customer_id", F.col("customer_id").isNull()),
         ("bad order_time", F.col("order_time").isNull()),
@@ -227,10 +250,11 @@ def ingest_traffic(raw: DataFrame, on_invalid: str = "quarantine") -> tuple[Data
         *[F.coalesce(F.col(c), F.lit(VISIT_DEFAULTS[c])).alias(c)
           for c in ("traffic_source", "referral_source", "device", "os", "browser")],
         opt_int("transactions").alias("transactions"),
-        *[c for c in ("batch", "source_file") if c in raw.columns],
+        *[c for c in LINEAGE if c in raw.columns],
         F.col("clicks").alias("__raw_clicks"), F.col("transactions").alias("__raw_tx"),
     )
     checks = [
+        *_malformed(raw),
         ("missing session_id", F.col("session_id").isNull()),
         ("bad visit_time", F.col("visit_time").isNull()),
         ("bad page_views", F.col("page_views").isNull()),

@@ -352,6 +352,21 @@ def queries() -> dict[str, str]:
     q.add("wavering", f"select * replace (name || case when (order_time - {EPOCH_BASE}) // {5 * DAY} % 2 = 1 then ' v2' else '' end as name) from stg_orders")
     out["scd2_runs_customer"] = q.render(_sel(customer(q, "v1", None, "wavering")))
     q = Sql()
+    q.add("wavering", f"select * replace (name || case when (order_time - {EPOCH_BASE}) // {5 * DAY} % 2 = 1 then ' v2' else '' end as name) from stg_orders")
+    now: dict = {}
+    pending = None
+    for k in range(3):
+        b = q.add(f"q{k}_b", f"select * from wavering where (order_time - {EPOCH_BASE}) // {10 * DAY} = {k}")
+        lines = q.add(f"q{k}_lines", f"select *, 0 as attempts from {b}" + (f" union all select * from {pending}" if pending else ""))
+        now |= {"loc": location(q, f"q{k}_loc", now.get("loc"), b), "cust": customer(q, f"q{k}_cust", now.get("cust"), b), "sku": sku(q, f"q{k}_sku", now.get("sku"), b)}
+        good, bad = fct_sales(q, f"q{k}_f", lines, now["loc"], now["cust"], now["sku"])
+        pending = q.add(f"q{k}_p", f"select * replace (attempts + 1 as attempts) from {lines} where line_item_id in (select line_item_id from {bad})")
+        now["fs"] = merge(q, f"q{k}_fs", now["fs"], good, ["line_item_id"], SALES_COLS, ["created_at"]) if k else good
+    out["quarantine_retry"] = q.render(f"""select line_item_id, customer_id, cast(null as varchar) reason, cast(null as int) attempts from {now['fs']}
+        union all select p.line_item_id, null, concat_ws('; ', case when b.sku_id is null then 'no SKU version' end,
+          case when b.customer_id is null then 'no customer version' end, case when b.location_id is null then 'no location' end), p.attempts
+        from {pending} p join {bad} b using (line_item_id)""")
+    q = Sql()
     q.add("late_orders", f"select * replace (cast(price * 1.25 as decimal(12,2)) as price, updated_at + {DAY // 2} as updated_at) "
                          f"from stg_orders where (order_time - {EPOCH_BASE}) // {DAY} % 10 = 3")
     v2 = sku(q, "v2", sku(q, "v1", None, "orders_b1"), "stg_orders_b2")

@@ -20,6 +20,7 @@ from starload.plans.calendar import apply_holidays, build_dim_date, date_bounds
 from starload.plans.catalog import build_sku_catalog
 from starload.plans.facts import SKU_ATTRS, build_fct_sales, resolve_sales, unresolved_sales
 from starload.plans.summary import build_periodic_summary_parity, touched_dates
+from starload.plans.tables import load_warehouse
 from starload.plans.warehouse import (
     empty_warehouse,
     load_channel,
@@ -271,12 +272,29 @@ def scd2_sku(spark, d):
     return load_sku(_v1(i, "sku"), i.orders_b2)
 
 
+def _wavering(spark, d):
+    """All lines; every customer's name changes to and fro each five days."""
+    period = F.floor((F.col("order_time") - B.EPOCH_BASE) / (5 * B.DAY)) % 2
+    return materialize(B.stg_orders(spark, d).withColumn("name", F.concat("name", F.when(period == 1, " v2").otherwise(""))), "stage")
+
+
 def scd2_runs_customer(spark, d):
-    """All lines as one batch in which every customer's name changes to and fro each five days: a version for each run."""
+    """All lines as one batch in which names change to and fro: a version for each run."""
     spark = _s(spark)
-    period = F.floor((F.col("order_time") - B.EPOCH_BASE) / (5 * B.DAY)) % 2
-    wavering = B.stg_orders(spark, d).withColumn("name", F.concat("name", F.when(period == 1, " v2").otherwise("")))
-    return load_customer(empty_frame(spark, DIM_CUSTOMER), materialize(wavering, "stage"))
+    return load_customer(empty_frame(spark, DIM_CUSTOMER), _wavering(spark, d))
+
+
+def quarantine_retry(spark, d):
+    """All lines in three stored batches of ten days, in each of which names change.  Lines under a name that isn't current wait in
+    the stored quarantine, and resolve with a later batch that brings the name back.  One row for each line."""
+    spark = _s(spark)
+    root, lines = scratch_path(spark, "warehouse"), _wavering(spark, d)
+    for k in range(3):
+        batch = lines.where(F.floor((F.col("order_time") - B.EPOCH_BASE) / (10 * B.DAY)) == k)
+        run_batch(spark, load_warehouse(spark, root), batch, None, staged=True, root=root, summary=False)
+    w = load_warehouse(spark, root)
+    loaded = w.fct_sales.select("line_item_id", "customer_id", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("int").alias("attempts"))
+    return loaded.unionByName(w.quarantine_sales.select("line_item_id", F.lit(None).cast("long").alias("customer_id"), "reason", "attempts"))
 
 
 def scd2_replay_sku(spark, d):
@@ -305,15 +323,17 @@ def scd2_parity_all_versions(spark, d):
 
 # ------------------------------------------------------------------------------------------------ facts
 
-def _w1(i: B.Inputs, orders: bool = True, traffic: bool = True):
-    """Batch 1 into an empty warehouse; a query that reports on one feed loads only that feed."""
-    return run_batch(i.spark, empty_warehouse(i.spark), i.orders_b1 if orders else None,
-                     i.traffic_b1 if traffic else None, staged=True)
+def _w1(i: B.Inputs):
+    """Batch 1 of the orders into an empty warehouse."""
+    return run_batch(i.spark, empty_warehouse(i.spark), i.orders_b1, None, staged=True, summary=False)
 
 
-def _w2(i: B.Inputs, w1=None, orders: bool = True, traffic: bool = True):
-    w1 = w1 if w1 is not None else _w1(i, orders, traffic)
-    return run_batch(i.spark, w1, i.orders_b2 if orders else None, i.traffic_b2 if traffic else None, staged=True)
+def _w2(i: B.Inputs, orders: bool = True, traffic: bool = True, summary: bool = True):
+    """Both batches into a stored warehouse, which the second one reads as the first one published it."""
+    root = scratch_path(i.spark, "warehouse")
+    for o, t in ((i.orders_b1, i.traffic_b1), (i.orders_b2, i.traffic_b2)):
+        w = run_batch(i.spark, load_warehouse(i.spark, root), o if orders else None, t if traffic else None, staged=True, root=root, summary=summary)
+    return w
 
 
 def fct_sales_q(spark, d):
@@ -356,12 +376,12 @@ def fct_sales_asof(spark, d):
 
 def merge_sales(spark, d):
     spark = _s(spark)
-    return _w2(B.Inputs(spark, d), traffic=False).fct_sales
+    return _w2(B.Inputs(spark, d), traffic=False, summary=False).fct_sales
 
 
 def merge_traffic(spark, d):
     spark = _s(spark)
-    return _w2(B.Inputs(spark, d), orders=False).fct_traffic
+    return _w2(B.Inputs(spark, d), orders=False, summary=False).fct_traffic
 
 
 def merge_summary(spark, d):
@@ -373,7 +393,7 @@ def check_foreign_key_q(spark, d):
     """Batch-1 sales lines whose customer version is no longer current after batch 2."""
     spark = _s(spark)
     i = B.Inputs(spark, d)
-    w1 = _w1(i, traffic=False)
+    w1 = _w1(i)
     active = load_customer(w1.dim_customer, i.orders_b2).where(F.col("current_row_indicator") == "Active")
     return check_foreign_key(w1.fct_sales, active, ["customer_id"])
 
@@ -490,6 +510,7 @@ REGISTRY = {
     "scd2_sku": scd2_sku,
     "scd2_runs_customer": scd2_runs_customer,
     "scd2_replay_sku": scd2_replay_sku,
+    "quarantine_retry": quarantine_retry,
     "scd2_parity_all_versions": scd2_parity_all_versions,
     "fct_sales": fct_sales_q,
     "fct_sales_asof": fct_sales_asof,

@@ -12,7 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.operators.keys import assign_surrogate_keys, carry_forward, successor_value
+from starload.operators.keys import assign_surrogate_keys, count_before, nearest_value, range_ordered, start_value, successor_value
+from starload.schemas import SCD2_COLUMNS
+from starload.session import materialize
 
 ACTIVE = "Active"
 EXPIRED = "Expired"
@@ -47,27 +49,49 @@ def _distinct_on(attrs: list[str], a: DataFrame, b: DataFrame, b_attrs: list[str
     return reduce(lambda x, y: x | y, [~a[x].eqNullSafe(b[y]) for x, y in zip(attrs, b_attrs)])
 
 
-def _history_changes(target: DataFrame, sightings: DataFrame, bk: str, attrs: list[str]) -> DataFrame:
-    """The sightings (``bk``, ``attrs``, ``row_eff_time``) that begin a version.
-
-    Versions of the batch's keys and sightings are put into one order by key and time.  A sighting that equals a version that
-    began at the same time is that version; any other one is compared with the event before it, be it a version or a sighting.
-    At one time versions come first, in the order of their appending (``__seq``), then sightings in the order of their
-    attributes.  A sighting with nothing before it is new, also where the key's first version, which begins later, looks the same.
-    Sightings are reduced to one for each (key, attributes, time) before the shuffle; a key with very many events is split over
-    tasks (:func:`carry_forward`)."""
-    sk = next(c for c in target.columns if c not in (bk, *attrs, "row_eff_time", "row_exp_time", "current_row_indicator", "updated_at"))
-    seen = sightings.where(F.col(bk).isNotNull() & F.col("row_eff_time").isNotNull()).withColumn("__seq", F.lit(None).cast(target.schema[sk].dataType))
-    keys = seen.select(bk).distinct()
-    columns = [bk, *attrs, "row_eff_time", "__seq"]
-    versions = target.withColumn("__seq", F.col(sk)).select(*columns).join(keys, bk, "left_semi")
-    events = versions.unionByName(seen.select(*columns)).groupBy(bk, *attrs, "row_eff_time").agg(F.max("__seq").alias("__seq"))
-    events = events.withColumn("__sighting", F.col("__seq").isNull())
-    state = F.struct(*[F.col(a) for a in attrs])
+def _history(target: DataFrame, sightings: DataFrame, bk: str, attrs: list[str], sk: str) -> tuple[DataFrame, list[str]]:
+    """Versions of the batch's keys, and the sightings (``bk``, ``attrs``, ``row_eff_time``) that begin a version (``__new``), in range
+    partitions of their order by key and time; and the columns of that order behind the key.
+
+    A sighting that equals a version that began at the same time is that version; any other one is compared with the event before
+    it, be it a version or a sighting.  At one time versions come first, in the order of their keys, then sightings in the order
+    of their attributes.  A sighting with nothing before it is new, also where the key's first version, which begins later, looks
+    the same.  Sightings are reduced to one for each (key, attributes, time) before the shuffle; a key with very many events is
+    split over tasks (:func:`starload.operators.keys.nearest_value`)."""
+    seen = sightings.where(F.col(bk).isNotNull() & F.col("row_eff_time").isNotNull())
+    of_key = target.join(seen.select(bk).distinct(), bk, "left_semi")
+    version = F.struct(F.col(sk).alias("seq"), "updated_at")
+    what = [bk, *attrs, "row_eff_time"]
+    both = of_key.select(*what, version.alias("__v")).unionByName(seen.select(*what).withColumn("__v", F.lit(None).cast(of_key.select(version.alias("v")).schema["v"].dataType)))
+    # equal versions, if there are any, stay apart; sightings add nothing to the list
+    events = both.groupBy(*what).agg(F.collect_list("__v").alias("__v")).select(*what, F.explode_outer("__v").alias("__v"))
+    events = events.select(*what, F.col("__v.seq").alias("__seq"), F.col("__v.updated_at").alias("updated_at"), F.col("__v").isNull().alias("__sighting"))
     order = ["row_eff_time", "__sighting", "__seq", *attrs]
-    told = carry_forward(events, bk, order, state, "__before")
+    told = nearest_value(range_ordered(events, [bk, *order]), bk, order, F.struct(*[F.col(a) for a in attrs]), "__before")
     same = reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(f"__before.{a}")) for a in attrs])
-    return told.where(F.col("__sighting") & (F.col("__before").isNull() | ~same)).select(bk, *attrs, "row_eff_time")
+    new = F.col("__sighting") & (F.col("__before").isNull() | ~same)
+    return told.withColumn("__new", new).where("__new or not __sighting").drop("__before", "__sighting"), ["row_eff_time", "__new", "__seq", *attrs]
+
+
+def _history_apply(target: DataFrame, sightings: DataFrame, bk: str, attrs: list[str], sk: str) -> DataFrame:
+    """The whole dimension with a batch's new versions, keys and expiry derived from one order of the touched keys."""
+    start = _max_key(target, sk)
+    told, order = _history(target, sightings, bk, attrs, sk)
+    rows = materialize(told, "versions")
+    rows = nearest_value(rows, bk, order, F.col("row_eff_time"), "__next", behind=True)
+    rows = count_before(rows, [bk, *order], F.col("__new"), "__n")
+    key = F.when(F.col("__new"), start_value(start) + F.col("__n") + 1).otherwise(F.col("__seq"))
+    rows = rows.select(key.alias(sk), bk, *attrs, "row_eff_time", F.col("__next").alias("row_exp_time"),
+                       F.when(F.col("__next").isNull(), F.lit(ACTIVE)).otherwise(F.lit(EXPIRED)).alias("current_row_indicator"),
+                       F.when(F.col("__new"), F.col("row_eff_time")).otherwise(F.col("updated_at")).alias("updated_at"))
+    seen = sightings.where(F.col(bk).isNotNull() & F.col("row_eff_time").isNotNull())
+    rest = target.join(seen.select(bk).distinct(), bk, "left_anti")
+    return rest.unionByName(rows.select(*target.columns))
+
+
+def _sightings(src: DataFrame, bk: str, attrs: list[str], ts: str, src_bk: str | None, src_attrs: list[str] | None) -> DataFrame:
+    return src.select(F.col(src_bk or bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs or attrs, attrs)],
+                      F.timestamp_seconds(F.col(ts)).alias("row_eff_time"))
 
 
 def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], ts: str,
@@ -76,7 +100,7 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
     """New versions to insert into a type-2 dimension: rows with the dimension's columns except the surrogate key.
     Rows without a business key are left out.
 
-    ``compare="history"`` follows each key through time (:func:`_history_changes`): a sighting begins a version where it
+    ``compare="history"`` follows each key through time (:func:`_history`): a sighting begins a version where it
     differs from what was valid just before it, so A, B, A in one batch are three versions, and a batch that was loaded
     before adds nothing, also when newer ones came in between.  (If a late batch has put a version into its time since, the
     sightings after that version count: they say that it ended.)
@@ -94,8 +118,9 @@ def scd2_changes(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], t
         .agg(agg(F.timestamp_seconds(F.col(ts))).alias("row_eff_time"))
     )
     if compare == "history":
-        new = _history_changes(target, src.select(F.col(src_bk).alias(bk), *[F.col(s).alias(a) for s, a in zip(src_attrs, attrs)],
-                                                  F.timestamp_seconds(F.col(ts)).alias("row_eff_time")), bk, attrs)
+        sk = next(c for c in target.columns if c not in (bk, *attrs, *SCD2_COLUMNS))
+        told, _ = _history(target, _sightings(src, bk, attrs, ts, src_bk, src_attrs), bk, attrs, sk)
+        new = told.where("__new").select(bk, *attrs, "row_eff_time")
     elif compare == "current":
         # at most one Active version per key: a 1:1 left join on the business key
         versions = target.where(F.col("current_row_indicator") == ACTIVE).select(
@@ -159,7 +184,10 @@ def scd2_order_cols(bk: str, attrs: list[str]) -> list[str]:
 def scd2_apply(target: DataFrame, src: DataFrame, bk: str, attrs: list[str], ts: str, sk: str,
                src_bk: str | None = None, src_attrs: list[str] | None = None,
                compare: str = "history", eff: str = "min", recompute: bool = True) -> DataFrame:
-    """Changes -> surrogate keys -> append -> expire, for one batch.  Returns the whole new dimension."""
+    """Changes -> surrogate keys -> append -> expire, for one batch.  Returns the whole new dimension.  By default all four come
+    from one order of the batch's keys; the rules of the original statements run one after the other."""
+    if compare == "history" and recompute:
+        return _history_apply(target, _sightings(src, bk, attrs, ts, src_bk, src_attrs), bk, attrs, sk)
     changes = scd2_changes(target, src, bk, attrs, ts, src_bk, src_attrs, compare, eff)
     changes = assign_surrogate_keys(changes, scd2_order_cols(bk, attrs), sk, start=_max_key(target, sk))
     merged = target.unionByName(changes.select(*target.columns))

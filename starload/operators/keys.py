@@ -1,22 +1,14 @@
-"""Scalable surrogate keys (what ``serial`` gives a row store).
+"""Order over range partitions: dense keys, and values of the rows before and behind.
 
-``row_number() OVER (ORDER BY ...)`` without a partition moves every row into one task.  Instead:
-
-1. range-partition on the ordering columns and sort inside each partition,
-2. tag each row with its partition and its position inside the partition (``monotonically_increasing_id``
-   is ``partition << 33 | position``),
-3. write the tagged rows to the shared checkpoint folder, so partitioning and positions are fixed even if a
-   task is retried on another executor,
-4. count rows per partition (one row per partition, the only thing that reaches the driver), prefix-sum the
-   counts, and add the partition's offset to each row's position.
-
-Keys equal ``start + row_number() OVER (ORDER BY order_cols)`` when ``order_cols`` is unique per row.
+``row_number() OVER (ORDER BY ...)`` without a partition moves every row into one task, and a window partitioned by a hot key moves
+that key's rows into one.  Instead rows are range-partitioned on the whole order, and the partition of each row is written to the
+shared checkpoint folder, so it is fixed even if a task is retried on another executor.  Inside a partition windows and positions
+do the work; what crosses the borders (counts, the last or first value) is a frame of one row a partition, which is summed or
+carried in order and joined back by broadcast.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +16,7 @@ from starload.session import checkpoint_dir, materialize
 
 _PID = "__sk_pid"
 _MID = "__sk_mid"
+_NONE_BEFORE = (Window.unboundedPreceding, -1)
 
 
 def _sort_cols(order_cols) -> list[Column]:
@@ -33,18 +26,25 @@ def _sort_cols(order_cols) -> list[Column]:
     return out
 
 
+def _by_partition(per_partition: DataFrame) -> DataFrame:
+    """One row a partition: bounded by the number of shuffle partitions, so it is broadcast."""
+    return F.broadcast(per_partition.withColumnRenamed(_PID, "__bpid"))
+
+
+def _with(fixed: DataFrame, per_partition: DataFrame) -> DataFrame:
+    return fixed.join(_by_partition(per_partition), F.col(_PID) == F.col("__bpid"), "left").drop("__bpid")
+
+
 def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_partitions: int | None = None
                           ) -> DataFrame:
-    """Add a dense ``bigint`` key ``name`` = start + 1, start + 2, ... in ``order_cols`` order.
+    """Add a dense ``bigint`` key ``name`` = start + 1, start + 2, ... in ``order_cols`` order: equal to
+    ``start + row_number() OVER (ORDER BY order_cols)`` when ``order_cols`` is unique per row.
 
     ``start`` may be an int or a one-row, one-column DataFrame (e.g. ``max(sk)`` of the target), which is
-    evaluated once.
+    evaluated once.  A row's position in its sorted partition is ``monotonically_increasing_id`` without the partition.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    if isinstance(start, DataFrame):
-        row = start.first()
-        start = int(row[0]) if row is not None and row[0] is not None else 0
     cols = _sort_cols(order_cols)
     # Without an explicit count AQE sizes the range partitions from the data (it merges adjacent ranges, so
     # the order survives): a 25-row dimension gets one partition, a billion keys get thousands.
@@ -54,77 +54,67 @@ def assign_surrogate_keys(df: DataFrame, order_cols, name: str, start=0, num_par
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
     )
-    # Materialised on shared storage: positions must not change between the count job and the final job,
-    # also when an executor is lost and a stage is recomputed.
     fixed = materialize(ranged, "keys")
-    counts = {r[0]: r[1] for r in fixed.groupBy(_PID).count().collect()}
-    n_parts = max(counts) + 1 if counts else 1
-    sizes = [counts.get(p, 0) for p in range(n_parts)]
-    offsets = [start] + [start + s for s in list(accumulate(sizes))[:-1]]
-    offset_col = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col(_PID) + 1)
     position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
-    return fixed.withColumn(name, offset_col + position + 1).drop(_PID, _MID)
+    keyed = _with(fixed, _offsets(fixed.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))))
+    return keyed.withColumn(name, start_value(start) + F.col("__offset") + position + 1).drop(_PID, _MID, "__offset")
 
 
-def successor_value(df: DataFrame, group: str, order_cols: list[str], value: str, out: str) -> DataFrame:
-    """Add ``out`` = ``value`` of the next row of the same ``group`` in ascending ``order_cols`` order (NULL
-    for the group's last row), without a window partitioned by ``group``.
-
-    Rows are range-partitioned and sorted on (group, order_cols), so a group with a very large share of the
-    rows spans many partitions.  Each row's position is materialised (partition id, position in partition);
-    its successor position is the next position in the same partition, or the first row of the next non-empty
-    partition (from the per-partition counts, one number per partition).  One equi-join on (group, successor
-    position) then fetches the value: every row matches at most one row, so no pairs are formed.
-    ``order_cols`` must make rows unique within a group.
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    cols = _sort_cols([group, *order_cols])
-    ranged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-              .withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id()))
-    fixed = materialize(ranged, "successor")
-    counts = {r[0]: r[1] for r in fixed.groupBy(_PID).count().collect()}
-    n_parts = max(counts) + 1 if counts else 1
-    sizes = [counts.get(p, 0) for p in range(n_parts)]
-    next_nonempty = [next((q for q in range(p + 1, n_parts) if sizes[q]), -1) for p in range(n_parts)]
-    pid = F.col(_PID)
-    pos = F.col(_MID) - F.shiftleft(pid.cast("bigint"), 33)
-    last = F.element_at(F.array(*[F.lit(s - 1).cast("bigint") for s in sizes]), pid + 1)
-    nxt = F.element_at(F.array(*[F.lit(q) for q in next_nonempty]), pid + 1)
-    left = fixed.withColumns({
-        "__succ_pid": F.when(pos < last, pid).otherwise(nxt),
-        "__succ_pos": F.when(pos < last, pos + 1).otherwise(F.lit(0).cast("bigint")),
-    })
-    right = fixed.select(F.col(group).alias("__sg"), F.col(_PID).alias("__sp"), pos.alias("__sq"),
-                         F.col(value).alias(out))
-    cond = (left[group].eqNullSafe(right["__sg"]) & (left["__succ_pid"] == right["__sp"])
-            & (left["__succ_pos"] == right["__sq"]))
-    return (left.join(right, cond, "left")
-            .drop("__sg", "__sp", "__sq", "__succ_pid", "__succ_pos", _PID, _MID))
+def start_value(start) -> Column:
+    """What keys start from: an int, or the value of a one-row frame."""
+    if isinstance(start, DataFrame):
+        row = start.first()
+        start = int(row[0]) if row is not None and row[0] is not None else 0
+    return F.lit(start).cast("bigint")
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """(partition, __n) to (partition, __offset): the rows of all partitions before; one row a partition."""
+    before = F.sum("__n").over(Window.orderBy(_PID).rowsBetween(*_NONE_BEFORE))
+    return counts.select(_PID, F.coalesce(before, F.lit(0)).cast("bigint").alias("__offset"))
+
+
+def range_ordered(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """``df`` with the number of the range partition that holds each row in ``order_cols`` order, written down."""
+    checkpoint_dir(df.sparkSession)
+    return materialize(df.repartitionByRange(*_sort_cols(order_cols)).withColumn(_PID, F.spark_partition_id()), "ordered")
+
+
+def count_before(fixed: DataFrame, order_cols: list[str], flag: Column, out: str) -> DataFrame:
+    """Add ``out`` = the number of rows before this one, in the whole order, where ``flag`` holds."""
+    here = F.sum(F.when(flag, 1).otherwise(0)).over(Window.partitionBy(_PID).orderBy(*_sort_cols(order_cols)).rowsBetween(*_NONE_BEFORE))
+    told = _with(fixed.withColumn(out, F.coalesce(here, F.lit(0))), _offsets(fixed.groupBy(_PID).agg(F.count_if(flag).alias("__n"))))
+    return told.withColumn(out, F.col("__offset") + F.col(out)).drop("__offset")
+
+
+def nearest_value(fixed: DataFrame, group: str, order_cols: list[str], value: Column, out: str, behind: bool = False) -> DataFrame:
+    """Add ``out`` = the non-null ``value`` of the nearest row of the same ``group`` before each row (``behind``: behind it) in the
+    order of (group, order_cols), NULL if there is none; ``fixed`` is :func:`range_ordered` by these.
+
+    The value nearest in the whole order is taken together with its group and dropped if that is another one, so no window is
+    partitioned by the group, and a group of any size is spread over its partitions."""
+    order = [group, *order_cols]
+    cols = [F.col(c).desc_nulls_last() if behind else F.col(c).asc_nulls_first() for c in order]
+    seen = F.when(value.isNotNull(), F.struct(F.col(group).alias("g"), value.alias("v")))
+    here = F.last(seen, ignorenulls=True).over(Window.partitionBy(_PID).orderBy(*cols).rowsBetween(*_NONE_BEFORE))
+    place = F.when(value.isNotNull(), F.struct(*order))
+    edge = (F.min_by if behind else F.max_by)(seen, place).alias("__edge")
+    pid = F.col(_PID).desc() if behind else F.col(_PID).asc()
+    across = fixed.groupBy(_PID).agg(edge).select(_PID, F.last("__edge", ignorenulls=True).over(Window.orderBy(pid).rowsBetween(*_NONE_BEFORE)).alias("__across"))
+    told = _with(fixed.withColumn("__here", here), across).withColumn("__found", F.coalesce("__here", "__across"))
+    return told.withColumn(out, F.when(F.col("__found.g").eqNullSafe(F.col(group)), F.col("__found.v"))).drop("__here", "__across", "__found")
 
 
 def carry_forward(df: DataFrame, group: str, order_cols: list[str], value: Column, out: str) -> DataFrame:
     """Add ``out`` = the latest non-null ``value`` among the rows of the same ``group`` that stand before a row in ascending
-    ``order_cols`` order (nulls first; NULL if there is none), without a window partitioned by ``group`` alone.
-
-    Rows are range-partitioned on (group, order_cols), and the partition is kept in the shared checkpoint folder.  Inside a
-    partition a window over (partition, group) carries the value, so a group with a very large share of the rows is split into as
-    many pieces as it has partitions.  A group that goes on from one partition to the next gets the last value of its earlier
-    pieces: only the first and last group of a partition can do that, so the carried values are two rows a partition at most,
-    which bounds both the window over the pieces and what is broadcast.  Rows of a group that tie in ``order_cols`` see each
-    other's values in no fixed order, unless all of them are null.
-    """
-    checkpoint_dir(df.sparkSession)
-    cols = _sort_cols([group, *order_cols])
-    fixed = materialize(df.withColumn(out, value).repartitionByRange(*cols).withColumn(_PID, F.spark_partition_id()), "carry")
-    inside = Window.partitionBy(_PID, group).orderBy(*_sort_cols(order_cols)).rowsBetween(Window.unboundedPreceding, -1)
-    edges = fixed.groupBy(_PID).agg(F.min(F.struct(group))[group].alias("__lo"), F.max(F.struct(group))[group].alias("__hi"))
-    edge = F.broadcast(edges.withColumnRenamed(_PID, "__epid"))
-    at_edge = fixed.join(edge, (F.col(_PID) == F.col("__epid")) & (F.col(group).eqNullSafe(F.col("__lo")) | F.col(group).eqNullSafe(F.col("__hi"))))
-    last = F.max_by(out, F.when(F.col(out).isNotNull(), F.struct(*order_cols))).alias("__last")
-    pieces = at_edge.groupBy(F.col(_PID).alias("__cpid"), F.col(group).alias("__cgroup")).agg(last)
-    earlier = Window.partitionBy("__cgroup").orderBy("__cpid").rowsBetween(Window.unboundedPreceding, -1)
-    carried = pieces.withColumn("__carried", F.last("__last", ignorenulls=True).over(earlier)).where("__carried is not null").drop("__last")
-    here = fixed.withColumn("__here", F.last(out, ignorenulls=True).over(inside))
-    both = here.join(F.broadcast(carried), (F.col(_PID) == F.col("__cpid")) & F.col(group).eqNullSafe(F.col("__cgroup")), "left")
-    return both.withColumn(out, F.coalesce("__here", "__carried")).drop("__here", "__carried", "__cpid", "__cgroup", _PID)
+    ``order_cols`` order (nulls first; NULL if there is none).  Rows of a group that tie in ``order_cols`` see each other's values
+    in no fixed order, unless all of them are null."""
+    return nearest_value(range_ordered(df, [group, *order_cols]), group, order_cols, value, out).drop(_PID)
+
+
+def successor_value(df: DataFrame, group: str, order_cols: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out`` = ``value`` of the next row of the same ``group`` in ascending ``order_cols`` order (NULL for the group's last
+    row); ``order_cols`` must make rows unique within a group."""
+    fixed = range_ordered(df, [group, *order_cols])
+    told = nearest_value(fixed, group, order_cols, F.struct(F.col(value).alias("v")), "__succ", behind=True)
+    return told.withColumn(out, F.col("__succ.v")).drop("__succ", _PID)

@@ -442,6 +442,11 @@ def queries() -> dict[str, str]:
         as tid from (select line_item_id, cast(order_time as bigint) * 1000 ms from stg_orders)"""
     out["stream_ingest"] = sql_with() + _sel("stg_traffic")
     out["stream_ingest_orders"] = sql_with() + _sel("stg_orders")
+    out["stream_triggers"] = sql_with() + """select session_id, page_views, cast(null as varchar) reason, cast(1 as bigint) n from traffic_b2
+          where cast(session_id as bigint) % 97 <> 0
+        union all select session_id, page_views, null, 1 from traffic_b1
+          where session_id not in (select session_id from traffic_b2 where cast(session_id as bigint) % 97 <> 0)
+        union all select session_id, null, 'bad page_views', 1 from traffic_b2 where cast(session_id as bigint) % 97 = 0"""
     out["check_unique"] = sql_with() + """select order_id, sku_id, count(*) n from stg_orders
         group by 1, 2 having count(*) > 1"""
     return out

@@ -44,7 +44,7 @@ from starload.sources.landing import (
     validate_orders,
 )
 from starload.schemas import DIM_CUSTOMER, DIM_SKU, MONEY, STG_ORDERS, STG_TRAFFIC, empty_frame
-from starload.streaming.ingest import stream_ingest_orders_to_table, stream_ingest_to_table
+from starload.streaming.ingest import stream_dead_letters, stream_ingest_orders_to_table, stream_ingest_to_table
 
 
 def _s(spark: SparkSession) -> SparkSession:
@@ -485,6 +485,21 @@ def stream_ingest_orders_q(spark, d):
     return stream_ingest_orders_to_table(spark, _land_orders(spark, B.stg_orders(spark, d)))
 
 
+def stream_triggers(spark, d):
+    """Three triggers of one stream: the sessions of batch 1, those of batch 2, of which some have page views that are no number, and
+    batch 2 once more in other files.  One row for each session in the table and for each dead letter."""
+    spark = _s(spark)
+    i, table, src = B.Inputs(spark, d), scratch_path(spark, "stream-table"), scratch_path(spark, "stream-src")
+    odd = F.col("session_id").cast("bigint") % 97 == 0
+    second = i.traffic_b2.withColumn("page_views", F.when(odd, "many").otherwise(F.col("page_views").cast("string")))
+    for batch in (i.traffic_b1, second, second):
+        land(_as_text(assign_windows(batch, "visit_time").drop("window_start", "window_end")), src, sort_by="visit_time")
+        rows = stream_ingest_to_table(spark, src, table)
+    letters = stream_dead_letters(spark, table).groupBy(F.col("record_key").alias("session_id"), "reason").agg(F.countDistinct("raw_record").alias("n"))
+    loaded = rows.select("session_id", "page_views", F.lit(None).cast("string").alias("reason"), F.lit(1).cast("bigint").alias("n"))
+    return loaded.unionByName(letters.withColumn("page_views", F.lit(None).cast("int")))
+
+
 REGISTRY = {
     "daily_revenue_by_country": daily_revenue_by_country,
     "ingest_orders": ingest_orders_q,
@@ -532,4 +547,5 @@ REGISTRY = {
     "check_not_null": check_not_null_q,
     "stream_ingest": stream_ingest_q,
     "stream_ingest_orders": stream_ingest_orders_q,
+    "stream_triggers": stream_triggers,
 }

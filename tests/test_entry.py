@@ -20,27 +20,3 @@ def test_stream_ingest_rows(spark):
     df = E.queries()["stream_ingest"](spark, "/root/testdata/sf0.001")
     assert df.count() == 1000 and df.select("session_id").distinct().count() == 1000
     assert os.path.exists("/root/testdata/sf0.001/events.parquet")
-
-
-def test_stream_restart_continues_from_committed_version(spark, tmp_path):
-    import json
-
-    from starload.streaming.ingest import stream_ingest_to_table
-
-    src = tmp_path / "src"
-    table = str(tmp_path / "table")
-
-    def land_batch(name, recs):
-        d = src / f"batch={name}"
-        d.mkdir(parents=True)
-        (d / "part-0.json").write_text("\n".join(json.dumps(r) for r in recs))
-
-    def rec(sid, pv, t):
-        return {"session_id": sid, "visit_time": t, "page_views": pv, "session_duration": 1.0}
-
-    land_batch("202401010000", [rec("a", 1, 1704067200), rec("b", 2, 1704067201)])
-    assert stream_ingest_to_table(spark, str(src), table).count() == 2
-    # restart over the same table and source: only the new file is read, merged into what was committed
-    land_batch("202401010400", [rec("b", 5, 1704081600), rec("c", 1, 1704081601)])
-    out = {r.session_id: r.page_views for r in stream_ingest_to_table(spark, str(src), table).collect()}
-    assert out == {"a": 1, "b": 5, "c": 1}

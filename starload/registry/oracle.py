@@ -10,6 +10,7 @@ from __future__ import annotations
 from starload.plans.calendar import DEFAULT_EVENT_NAME, DEFAULT_IS_HOLIDAY
 from starload.functions.ids import CROCKFORD_ALPHABET as CROCKFORD
 from starload.plans.catalog import COLORS, SIZES
+from starload.plans.constraints import PRIMARY, REFERENCES, UNIQUE
 from starload.sources.bindings import DAY, EPOCH_BASE, sql_with
 
 LOC = ["place", "country", "latitude", "longitude"]
@@ -412,6 +413,38 @@ def queries() -> dict[str, str]:
         where date_id in (select {DID('order_time')} from stg_orders)  -- lines of a day are paired with its sessions
         group by date_id""")
 
+    faulty = {
+        "dim_date": "select cast(strftime(d, '%Y%m%d') as int) date_id from range(date '2024-01-01', date '2024-01-21', interval 1 day) t(d) union all values (-1), (-2)",
+        "dim_location": f"select * from {w['loc']} union all select * replace (-3 as location_id) from {w['loc']} where location_id = 3",
+        "dim_customer": f"select * replace (case when customer_id % 211 <> 0 then customer_id end as customer_id) from {w['cust']}",
+        "dim_sku": f"select * from {w['sku']} where sku_id % 97 <> 0",
+        "dim_device": f"select device_id, case when device_id > 2 then device_name end device_name, case when device_id > 2 then os end os, "
+                      f"case when device_id > 2 then browser end browser from {w['dev']}",
+        "dim_channel": f"select * from {w['chn']} union all select * from {w['chn']} where channel_id = 1",
+        "fct_sales": f"select * replace (case when cast(order_id as bigint) % 103 <> 0 then customer_id end as customer_id) from {w['fs']} f, "
+                     f"lateral (select unnest(range(case when cast(order_id as bigint) % 101 = 0 then 2 else 1 end)) copy)",
+        "fct_traffic": f"select * replace (case when cast(session_id as bigint) % 107 <> 0 then device_id end as device_id) from {w['ft']} f, "
+                       f"lateral (select unnest(range(case when cast(session_id as bigint) % 109 = 0 then 2 else 1 end)) copy)",
+        "fct_periodic_summary": f"select * from {w['sum']} union all select * from {w['sum']} where date_id % 10 = 4",
+    }
+    for t, body in faulty.items():
+        q.add(f"x_{t}", body)
+    text = lambda cols: " || '|' || ".join(f"coalesce(cast({c} as varchar), 'NULL')" for c in cols)
+    found = []
+    for t, cols in [(t, [c]) for t, c in PRIMARY.items()] + list(UNIQUE.items()):
+        kind = "primary key" if [PRIMARY[t]] == cols else "unique"
+        found.append(f"select '{t}' as \"table\", '{kind} ({', '.join(cols)})' as rule, {text(cols)} as key, count(*) n from x_{t} group by {', '.join(cols)} having count(*) > 1")
+    for t, of in REFERENCES.items():
+        for c, parent in of.items():
+            found.append(f"select '{t}', 'foreign key ({c}) -> {parent}', cast({c} as varchar), count(*) from x_{t} f where {c} is not null and "
+                         f"not exists (select 1 from x_{parent} p where p.{PRIMARY[parent]} = f.{c}) group by {c}")
+    for t, cs in {t: {c, *REFERENCES.get(t, {})} for t, c in PRIMARY.items()}.items():
+        found += [f"select '{t}', 'not null ({c})', coalesce(cast({PRIMARY[t]} as varchar), 'NULL'), count(*) from x_{t} where {c} is null group by {PRIMARY[t]}" for c in sorted(cs)]
+    out["check_warehouse"] = q.render(" union all ".join(found))
+    out["check_accepted_values"] = sql_with() + "select session_id, traffic_source from stg_traffic where traffic_source not in ('Organic', 'Paid')"
+    out["batch_window_rows"] = sql_with() + f"""select session_id, visit_time,
+        cast((visit_time - (select cast(epoch(min(cast(cast(ts as date) as timestamp))) as bigint) from events)) // {5 * DAY} as int) window_no from stg_traffic"""
+
     sizes = " union all ".join(f"select {i} si, '{s}' size, cast('{a}' as decimal(4,2)) adj"
                                for i, (s, a) in enumerate(SIZES))
     colors = " union all ".join(f"select {i} ci, '{c}' color" for i, c in enumerate(COLORS))
@@ -425,16 +458,17 @@ def queries() -> dict[str, str]:
         cross join ({sizes}) s cross join ({colors}) c"""
     out["random_sample"] = sql_with() + """select c_custkey, c_name, c_nationkey from customer
         order by md5(cast(c_custkey as varchar) || '42'), c_custkey limit 100"""
-    out["sample_per_group"] = sql_with() + """, items as (
-          select p_partkey, p_name, row_number() over (order by md5(cast(p_partkey as varchar) || '7'), p_partkey) - 1 pos
-          from part),
-        m as (select count(*) m from items),
-        g as (select o_orderkey, least(n, (select m from m)) k,
-                ('0x' || substr(md5(cast(o_orderkey as varchar) || '7'), 1, 15))::bigint % (select m from m) off
-              from (select l_orderkey o_orderkey, count(*) n from lineitem group by 1)),
-        p as (select o_orderkey, cast(i + 1 as int) pick, (off + i) % (select m from m) pos
-              from g, lateral (select unnest(range(k)) i))
-        select p.o_orderkey, p.pick, items.p_partkey, items.p_name from p join items on p.pos = items.pos"""
+    swap = """(x % side) * side + (x // side + ('0x' || substr(md5((x % side)::varchar || '-' || i::varchar || '-' || key), 1, 15))::bigint % side) % side"""
+    out["sample_per_group"] = sql_with() + f""", items as (select p_partkey, p_name, row_number() over (order by p_partkey) - 1 pos from part),
+        n as (select count(*) m, cast(floor(sqrt(count(*) - 1)) as bigint) + 1 side from items),
+        g as (select o_orderkey, least(n, m) k, o_orderkey::varchar || '-7' as key, m, side
+              from (select l_orderkey o_orderkey, count(*) n from lineitem group by 1), n),
+        p as (select g.*, cast(i + 1 as int) pick, i as first from g, lateral (select unnest(range(k)) i)),
+        at0 as (select *, list_reduce(list_prepend(first, range(1, 7)), lambda x, i: {swap}) as pos from p)"""
+    for step in range(12):  # positions outside the items are permuted again
+        out["sample_per_group"] += f""", at{step + 1} as (select * replace (case when pos < m then pos else
+          list_reduce(list_prepend(pos, range(1, 7)), lambda x, i: {swap}) end as pos) from at{step})"""
+    out["sample_per_group"] += " select o_orderkey, pick, p_partkey, p_name from at12 join items using (pos)"
     out["sample_table"] = out["random_sample"]
     digits = " || ".join(f"substr('{CROCKFORD}', cast((ms // {32 ** (9 - i)}) % 32 as int) + 1, 1)"
                          for i in range(10))

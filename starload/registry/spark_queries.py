@@ -3,7 +3,9 @@ runs one library operator (or a whole batch) over all of their rows."""
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +15,12 @@ from starload.functions.ids import time_ordered_id
 from starload.operators.dims import scd2_changes, scd2_expire, scd2_order_cols
 from starload.operators.keys import assign_surrogate_keys
 from starload.operators.nested import explode_items, nest_orders
-from starload.operators.quality import check_foreign_key, check_not_null, check_unique
+from starload.operators.quality import check_accepted_values, check_foreign_key, check_not_null, check_unique
 from starload.operators.sampling import random_sample, sample_per_group, sample_table
-from starload.operators.windowing import assign_windows, diagonal_union
+from starload.operators.windowing import assign_windows, batch_window, diagonal_union
 from starload.plans.calendar import apply_holidays, build_dim_date, date_bounds
 from starload.plans.catalog import build_sku_catalog
+from starload.plans.constraints import check_warehouse
 from starload.plans.facts import SKU_ATTRS, build_fct_sales, resolve_sales, unresolved_sales
 from starload.plans.summary import build_periodic_summary_parity, touched_dates
 from starload.plans.tables import load_warehouse
@@ -409,6 +412,49 @@ def check_not_null_q(spark, d):
         "line_item_id", "sku_id", "customer_id", "location_id")
 
 
+def _faulty(spark, d) -> dict:
+    """The tables of a warehouse with all rows loaded as one batch, then broken: repeated lines and sessions, nulls, versions and
+    days taken away, natural keys given twice, a day summed twice."""
+    w = run_batch(spark, empty_warehouse(spark), B.stg_orders(spark, d), B.stg_traffic(spark, d))
+    order_no, session = F.col("order_id").cast("bigint"), F.col("session_id").cast("bigint")
+    sales = w.fct_sales.withColumn("customer_id", F.when(order_no % 103 != 0, F.col("customer_id")))
+    traffic = w.fct_traffic.withColumn("device_id", F.when(session % 107 != 0, F.col("device_id")))
+    device = w.dim_device.withColumn("os", F.when(F.col("device_id") > 2, F.col("os"))).withColumn("browser", F.when(F.col("device_id") > 2, F.col("browser")))
+    return {
+        "dim_date": build_dim_date(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 21)),
+        "dim_location": w.dim_location.unionByName(w.dim_location.where("location_id = 3").withColumn("location_id", F.lit(-3).cast("bigint"))),
+        "dim_customer": w.dim_customer.withColumn("customer_id", F.when(F.col("customer_id") % 211 != 0, F.col("customer_id"))),
+        "dim_sku": w.dim_sku.where("sku_id % 97 <> 0"),
+        "dim_device": device.withColumn("device_name", F.when(F.col("device_id") > 2, F.col("device_name"))),
+        "dim_channel": w.dim_channel.unionByName(w.dim_channel.where("channel_id = 1")),
+        "fct_sales": sales.unionByName(sales.where(order_no % 101 == 0)),
+        "fct_traffic": traffic.unionByName(traffic.where(session % 109 == 0)),
+        "fct_periodic_summary": w.fct_periodic_summary.unionByName(w.fct_periodic_summary.where("date_id % 10 = 4")),
+    }
+
+
+def check_warehouse_q(spark, d):
+    """All constraints of the warehouse on tables with faults."""
+    spark = _s(spark)
+    return check_warehouse({name: materialize(df, name) for name, df in _faulty(spark, d).items()})
+
+
+def check_accepted_values_q(spark, d):
+    """Sessions from a traffic source that isn't one of the two that are paid for or searched."""
+    spark = _s(spark)
+    return check_accepted_values(B.stg_traffic(spark, d), "traffic_source", ["Organic", "Paid"]).select("session_id", "traffic_source")
+
+
+def batch_window_rows_q(spark, d):
+    """All sessions, cut into consecutive half-open extract windows of five days."""
+    spark = _s(spark)
+    visits, (lo, hi) = B.stg_traffic(spark, d), date_bounds(B.table(spark, d, "events"), "ts")
+    length = dt.timedelta(days=5)
+    starts = [dt.datetime.combine(lo, dt.time()) + k * length for k in range(-(-(hi - lo).days // 5))]
+    windows = [batch_window(visits, "visit_time", at, length).withColumn("window_no", F.lit(k)) for k, at in enumerate(starts)]
+    return reduce(lambda a, b: a.unionByName(b), windows).select("session_id", "visit_time", "window_no")
+
+
 def touched_dates_q(spark, d):
     """The days of the lines of both batches."""
     spark = _s(spark)
@@ -545,6 +591,9 @@ REGISTRY = {
     "check_unique": check_unique_q,
     "check_foreign_key": check_foreign_key_q,
     "check_not_null": check_not_null_q,
+    "check_warehouse": check_warehouse_q,
+    "check_accepted_values": check_accepted_values_q,
+    "batch_window_rows": batch_window_rows_q,
     "stream_ingest": stream_ingest_q,
     "stream_ingest_orders": stream_ingest_orders_q,
     "stream_triggers": stream_triggers,

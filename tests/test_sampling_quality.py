@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.nested import explode_items, nest_orders
 from starload.operators.quality import check_accepted_values, check_foreign_key, check_not_null, check_unique
-from starload.operators.sampling import random_sample, sample_per_group
+from starload.operators.sampling import permuted, random_sample, sample_per_group
 from starload.operators.windowing import assign_windows, batch_window, diagonal_union
 
 
@@ -27,6 +27,28 @@ def test_sample_per_group_distinct(spark):
     assert all(len(set(v)) == len(v) for v in by.values())
 
 
+def test_picks_are_uniform(spark):
+    """20,000 groups draw 2 of 50: all 1,225 pairs come up, about equally often, and so do first picks; also with few items."""
+    for m, most in ((50, 1400), (7, 60), (3, 20), (1, 0)):
+        groups = spark.range(20000).select(F.col("id").alias("g"), F.lit(2).alias("k"))
+        s = sample_per_group(groups, spark.range(m).withColumnRenamed("id", "item"), "g", "k", "item", 5)
+        pairs = {tuple(r.p): r.n for r in s.groupBy("g").agg(F.sort_array(F.collect_list("item")).alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()}
+        if m == 1:
+            assert pairs == {(0,): 20000}
+            continue
+        cells = m * (m - 1) // 2
+        assert len(pairs) == cells and sum(pairs.values()) == 20000
+        assert sum((n - 20000 / cells) ** 2 / (20000 / cells) for n in pairs.values()) < most
+        first = [r.n for r in s.where("pick = 1").groupBy("item").agg(F.count("*").alias("n")).collect()]
+        assert len(first) == m and sum((n - 20000 / m) ** 2 / (20000 / m) for n in first) < m + 5 * (2 * m) ** 0.5
+
+
+def test_permuted_is_a_permutation(spark):
+    for m in (1, 2, 5, 16, 17, 1000):
+        got = [r.p for r in spark.range(m).select(permuted(F.col("id"), m, F.lit("key")).alias("p")).collect()]
+        assert sorted(got) == list(range(m))
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "x")], "k int, v string")
     assert [r.k for r in check_unique(df, ["k"]).collect()] == [1]

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 from contextvars import ContextVar
 from functools import wraps
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +41,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         return session.materialize(df, name)
     path = f"{folder}/{os.path.basename(scratch_path(df.sparkSession, name))}"
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.working_folder = path
+    return kept
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete working tables (made by :func:`materialize` inside an operator) that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "working_folder", None)
+        if path:
+            p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def tidy(operator):
@@ -65,41 +76,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or one like it that ``df`` has no column of (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(text: str):
     """The text column as UTF-8 bytes (a Python worker then gets bytes, without decoding)."""
     return F.col(text).cast("binary")
 
 
-class Cache(dict):
-    """A dict that computes missing values and is emptied when full, so a worker's memory stays bounded."""
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit finaliser (multiply and shift)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_BASE, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+#: Bytes or words that are hashed at once, so that a long text doesn't need many times its size.
+STRETCH = 1 << 16
 
-    def __init__(self, make, limit: int = 400_000):
-        super().__init__()
-        self.make, self.limit = make, limit
 
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self.make(key)
-        if len(key) <= 64:  # long keys are rare and large: not kept
-            self[key] = value
-        return value
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as were needed so far."""
 
+    up = down = np.ones(1, np.uint64)
 
-#: One per worker process.
-WORDS = Cache(xxhash.xxh3_64_intdigest)
+    @classmethod
+    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            cls.up, cls.down = (np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(n, 2 * len(cls.up)), x, np.uint64))]) for x in (_BASE, _BACK))
+        return cls.up, cls.down
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit hash of every word."""
-    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+def _runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sums of ``values[i] * base^(i - start)`` over [start, end): a hash that doesn't depend on the place."""
+    up, down = _Powers.get(len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], dtype=np.uint64, out=total[1:])
+    return (total[ends] - total[starts]) * down[starts]
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit finaliser (multiply and shift)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word (run of anything but ASCII white space) of a text, in order."""
+    out, at = [], 0
+    while at < len(text):
+        end = at + STRETCH
+        if end < len(text):  # a stretch ends at white space; a longer word makes it longer
+            found = np.flatnonzero(_SPACE[np.frombuffer(text, np.uint8, STRETCH, at)])
+            more = _WHITE.search(text, end)
+            end = at + int(found[-1]) + 1 if len(found) else more.end() if more else len(text)
+        b = np.frombuffer(text[at:end], np.uint8)
+        edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).view(np.int8))
+        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        out.append(mixed(_runs(b.astype(np.uint64) + np.uint64(1), starts, ends) + (ends - starts).astype(np.uint64)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
@@ -107,8 +146,19 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h)
     if n == 0:
         return h
-    k = min(k, n)
-    out = np.full(n - k + 1, k, np.uint64)
-    for i in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + mixed(h[i : n - k + 1 + i] + np.uint64(i + 1))
-    return mixed(out)
+    k, out = min(k, n), []
+    for at in range(0, n - k + 1, STRETCH):
+        part = mixed(h[at : at + STRETCH + k - 1])
+        starts = np.arange(len(part) - k + 1)
+        out.append(mixed(_runs(part, starts, starts + k) + np.uint64(k)))
+    return np.concatenate(out)
+
+
+def leftmost_minima(h: np.ndarray, w: int) -> np.ndarray:
+    """For every run of ``w`` values the position of its smallest one (the leftmost), by doubling the length of the runs."""
+    low, at, done = h, np.arange(len(h)), 1
+    while done < w:
+        step = min(done, w - done)
+        right = low[step:] < low[:-step]
+        low, at, done = np.where(right, low[step:], low[:-step]), np.where(right, at[step:], at[:-step]), done + step
+    return at

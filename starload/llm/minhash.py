@@ -30,7 +30,7 @@ COLLECTIONS, ROWS = 16, 3
 
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     """Sorted distinct hashes of the ``k``-word shingles; A-Z are lower-cased, words end at ASCII white space."""
-    return np.unique(shingle_hashes(word_hashes((text or b"").lower().split()), k))
+    return np.unique(shingle_hashes(word_hashes((text or b"").lower()), k))
 
 
 def _signature(s: np.ndarray, collections: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +75,7 @@ def _sets(k: int):
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
                     collections: int = COLLECTIONS, rows: int = ROWS) -> DataFrame:
     """One row for each row of ``docs``: (id, text_hash, n_shingles, component_id, group), where documents with
-    100 * |A & B| >= percent * |A | B| are linked, component_id is the smallest id that links lead to, group a number that
+    100 * |A & B| >= percent * |A | B| are linked (``percent`` is 80 at least), component_id is the smallest id that links lead to, group a number that
     a component's rows share (null for empty sets), and text_hash the text's xxhash64.
 
     ``id_col`` is an integer.  Null and empty texts have n_shingles 0 and are linked with nothing (component_id is their
@@ -83,6 +83,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null).  Repeated rows give repeated results; rows that share an id are one document for ``component_id``'s minimum
     only.  Very long texts are read whole.  Other columns are not looked at.
     """
+    if percent < 80:
+        raise ValueError("the tables and the test of the minima are laid out for a similarity of 80 per cent or more")
     spark = ready(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), text_bytes(text_col).alias("text"))
     sketch = materialize(src.mapInArrow(_sketches(shingle, collections, rows), "id long, text_hash long, n_shingles long, set_key binary, sig array<long>, bits array<smallint>"), "sketch")

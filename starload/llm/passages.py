@@ -14,14 +14,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.llm.common import materialize, mixed, word_hashes
+from starload.llm.common import fresh, leftmost_minima, materialize, mixed, word_hashes
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Texts whose hashes a task keeps, and their bytes.
+HELD, HELD_BYTES = 256, 8 << 20
 MATCH = ["a", "b", "start_a", "end_a", "start_b", "end_b", "seed_a", "seed_b"]
 
 
 def hashes_of(text: bytes | None) -> np.ndarray:
-    return word_hashes((text or b"").split())
+    return word_hashes(text or b"")
 
 
 def window_minima(h: np.ndarray, w: int) -> np.ndarray:
@@ -30,11 +32,8 @@ def window_minima(h: np.ndarray, w: int) -> np.ndarray:
         return np.empty(0, np.int64)
     if len(h) <= w:
         return np.array([int(h.argmin())])
-    out, step = [], 1 << 14  # in blocks, so a very long text doesn't need w times its size at once
-    for at in range(0, len(h) - w + 1, step):
-        view = np.lib.stride_tricks.sliding_window_view(h[at : at + step + w - 1], w)
-        out.append(view.argmin(axis=1) + np.arange(at, at + len(view)))
-    return np.unique(np.concatenate(out))
+    at = leftmost_minima(h, w)
+    return at[np.concatenate([[True], at[1:] != at[:-1]])]
 
 
 def breaks(h: np.ndarray, reach: int) -> np.ndarray:
@@ -43,11 +42,8 @@ def breaks(h: np.ndarray, reach: int) -> np.ndarray:
     if n <= 2 * reach + 1:
         return np.zeros(min(n, 1), np.int64)
     x = mixed(h[:-1] * np.uint64(3) + h[1:])
-    low, w = [], 2 * reach + 1
-    for at in range(0, len(x) - w + 1, 1 << 14):
-        view = np.lib.stride_tricks.sliding_window_view(x[at : at + (1 << 14) + w - 1], w)
-        low.append(np.flatnonzero(view.argmin(axis=1) == reach) + at + reach)
-    return np.concatenate([[0], *low]).astype(np.int64)
+    at = leftmost_minima(x, 2 * reach + 1)
+    return np.concatenate([[0], np.flatnonzero(at == np.arange(len(at)) + reach) + reach]).astype(np.int64)
 
 
 def run_around(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
@@ -76,12 +72,21 @@ def matched(pairs: DataFrame, docs: DataFrame, compare) -> DataFrame:
     both = seeds.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple[bytes, np.ndarray]] = {}  # texts that were hashed lately
+
+        def words(doc: int, text: bytes) -> np.ndarray:
+            held = known.get(doc)
+            if held is None or held[0] != text:
+                if len(known) >= HELD or sum(len(t) for t, _ in known.values()) > HELD_BYTES:
+                    known.clear()
+                held = known[doc] = (text, hashes_of(text))
+            return held[1]
+
         for batch in batches:
-            rows, last, words = [], None, None  # pairs come sorted by b
+            rows = []  # pairs come sorted by b
             for a, b, seeds, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
-                if last is None or last[0] != b or last[1] != tb:
-                    last, words = (b, tb), hashes_of(tb.as_py())
-                found = compare(hashes_of(ta.as_py()), words, sorted((s["pa"], s["pb"]) for s in seeds))
+                y = words(b, tb.as_py())
+                found = compare(words(a, ta.as_py()), y, sorted((s["pa"], s["pb"]) for s in seeds))
                 rows += [(a, b, *map(int, x)) for x in found]
             columns = zip(*rows, strict=True) if rows else [[]] * len(MATCH)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MATCH)
@@ -159,7 +164,8 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def without_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with the word spans of ``spans(id, spans)`` cut out of the texts; documents without spans as they are."""
-    keyed = docs.join(spans.select(F.col("id").alias("_id"), F.col("spans").alias("_spans")), F.col(id_col) == F.col("_id"), "left").drop("_id")
+    key, cuts = fresh(docs, "span_id"), fresh(docs, "span_list")
+    keyed = docs.join(spans.select(F.col("id").alias(key), F.col("spans").alias(cuts)), F.col(id_col) == F.col(key), "left").drop(key)
     at, width = docs.columns.index(text_col), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

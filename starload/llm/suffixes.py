@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import materialize, ready, shingle_hashes, text_bytes, tidy
+from starload.llm.common import discard, materialize, ready, shingle_hashes, text_bytes, tidy
 from starload.llm.passages import hashes_of, matched, merged_spans, neighbours, run_around, window_minima
 
 MIN_RUN, ANCHOR, WINDOW = 50, 8, 26
@@ -102,6 +102,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = materialize(neighbours(rows, ["key"], ["left", "right", "doc", "p"]), "one")
     shared = one.select(*[F.col(f"prev_{c}").alias(c) for c in rows.columns]).union(one.select(*rows.columns)).distinct()
     shared = materialize(shared, "shared")
+    discard(rows)
     two = neighbours(shared, ["key"], ["right", "left", "doc", "p"])
     first = shared.groupBy("key").agg(F.min(F.struct("doc", "p")).alias("f"))
     three = shared.join(first, "key").select(F.col("f.doc").alias("a"), F.col("f.p").alias("pa"), F.col("doc").alias("b"), F.col("p").alias("pb"))
@@ -109,6 +110,7 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pick = lambda x, y: F.when(ahead, F.col(x)).otherwise(F.col(y))  # noqa: E731  the earlier one is a
     seeds = one.union(two).select(pick("prev_doc", "doc").alias("a"), pick("prev_p", "p").alias("pa"), pick("doc", "prev_doc").alias("b"), pick("p", "prev_p").alias("pb"))
     found = matched(seeds.union(three).where("a <> b or pa <> pb").distinct(), src, _extended(min_run))
+    discard(one)
     # among three or more the partner may be none of those: runs that no earlier place was found for are compared whole
     many = shared.join(shared.groupBy("key").agg(F.count("*").alias("size")).where("size > 2").select("key"), "key", "left_semi")
     places = many.groupBy(F.col("doc").alias("id")).agg(F.collect_set("p").alias("places"))
@@ -116,7 +118,9 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wide = src.join(places, "id").join(spans, "id", "left").select("id", "text", "places", "spans")
     whole = materialize(wide.mapInArrow(_windows(min_run, prefix), "key long, doc long, p long"), "windows")
     last = neighbours(whole, ["key"], ["doc", "p"]).select(F.col("prev_doc").alias("a"), F.col("prev_p").alias("pa"), F.col("doc").alias("b"), F.col("p").alias("pb"))
-    found = found.union(matched(last.where("a <> b or pa <> pb").distinct(), src, _extended(min_run))).distinct()
+    last = materialize(last.where("a <> b or pa <> pb").distinct(), "last")
+    discard(whole)
+    found = found.union(matched(last, src, _extended(min_run))).distinct()
     sides = found.select(F.col("b").alias("id"), F.col("start_b").alias("start"), F.col("end_b").alias("end"), F.lit(True).alias("repeat"), F.col("a").alias("other_id"), F.col("start_a").alias("other_start"))
     return sides.union(found.select("a", "start_a", "end_a", F.lit(False), "b", "start_b")).distinct()
 

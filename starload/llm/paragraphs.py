@@ -2,12 +2,13 @@
 
 Line breaks don't show where a copied passage begins, so a paragraph is a stretch of words between content-defined breaks
 (where the hash of two words is the smallest within ``REACH`` words): texts that share a passage share its paragraphs, but
-for those at its ends.  The bands hold one minimum each, which gives high recall: two paragraphs of similarity 0.8 meet
-in one of four bands with probability 0.998, and of 0.4 (the ends of a passage) with 0.87.
+for those at its ends.  Six bands hold two minima each, which gives high recall: two paragraphs of similarity 0.8 meet in one
+of them with probability 0.998, of 0.5 (the ends of a passage) with 0.82.
 
-Paragraphs that collide are joined and verified on the texts: either their exact Jaccard similarity on five-word shingles
-is high enough, or the run of equal words through the shingle that made them collide is long enough.  Verified pairs are
-clustered by connected components.
+Paragraphs that collide are joined and verified on the texts: the run of equal words through the shingle that made them collide
+is followed over small differences (words replaced, inserted or left out) to both sides, and what comes out must be long
+enough and have a high enough exact Jaccard similarity on five-word shingles.  Verified pairs are clustered by connected
+components.
 """
 
 from __future__ import annotations
@@ -20,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import materialize, mixed, ready, shingle_hashes, text_bytes, tidy
+from starload.llm.common import discard, materialize, mixed, ready, shingle_hashes, text_bytes, tidy
 from starload.llm.components import connected_components
 from starload.llm.passages import breaks, hashes_of, matched, merged_spans, neighbours, run_around
 
 REACH, BANDS, ROWS, SHINGLE = 10, 6, 2, 5
-#: A passage of so many equal words is a repeat, whatever surrounds it; a similar paragraph needs fewer.
-MIN_RUN, MIN_WORDS = 50, 20
+#: Words of a passage, whatever surrounds it.
+MIN_RUN = 50
 
 
 ENTRY = "key long, id long, p long, again long"
@@ -91,36 +92,76 @@ def _leaves(x: np.ndarray, y: np.ndarray, i: int, j: int, start: int, end: int)
     return (start > 0 and before >= 0 and x[before] == y[start - 1]) or (end < len(y) and after < len(x) and x[after] == y[end])
 
 
-def _compare(reach: int, shingle: int, percent: int, min_words: int, min_run: int):
+#: A region goes on behind a difference if so many words are equal there, at most so many words further on either side.
+RESUME, JUMP = 5, 3
+_JUMPS = sorted(((a, b) for a in range(JUMP + 1) for b in range(JUMP + 1) if a or b), key=lambda j: (j[0] + j[1], abs(j[0] - j[1]), j))
+
+
+def _onward(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
+    """From words i of x and j of y, which differ, over small differences to where equal words end for good: words of both."""
+    m = n = 0
+    while True:
+        for a, b in _JUMPS:
+            u, v = x[i + m + a : i + m + a + RESUME], y[j + n + b : j + n + b + RESUME]
+            if len(u) == len(v) == RESUME and (u == v).all():
+                run = run_around(x[i + m + a :], y[j + n + b :], 0, 0)[1]
+                m, n = m + a + run, n + b + run
+                break
+        else:
+            return m, n
+
+
+def region(x: np.ndarray, y: np.ndarray, i: int, j: int, left: int, right: int) -> tuple[int, int, int, int]:
+    """The run around words i of x and j of y (``left`` words before them and ``right`` from them on) and what follows on both
+    sides behind replaced, inserted or missing words: [start, end) of x and of y."""
+    m, n = _onward(x, y, i + right, j + right)
+    p, q = _onward(x[: i - left][::-1], y[: j - left][::-1], 0, 0)
+    return i - left - p, i + right + m, j - left - q, j + right + n
+
+
+def _similar(x: np.ndarray, y: np.ndarray, shingle: int, percent: int) -> bool:
+    u, v = np.unique(shingle_hashes(x, shingle)), np.unique(shingle_hashes(y, shingle))
+    both = len(np.intersect1d(u, v, assume_unique=True))
+    return 100 * both >= percent * (len(u) + len(v) - both)
+
+
+def least_run(min_run: int, shingle: int, percent: int) -> int:
+    """Equal words in a row that two regions of ``min_run`` words or more must share somewhere if their Jaccard similarity is
+    ``percent``: a difference costs ``shingle`` shingles of both, so there can be only so many, and they cut the region into
+    pieces of which one has this many words at least."""
+    best = min_run
+    for changes in range(1, 200):
+        # the least shingles with which (s - shingle * changes) / (s + shingle * changes) reaches the similarity
+        s = -(-shingle * changes * (100 + percent) // (100 - percent)) if percent < 100 else 1 << 60
+        words = max(min_run, s + shingle - 1)
+        best = min(best, -(-(words - changes) // (changes + 1)))
+    return best
+
+
+def _compare(shingle: int, percent: int, min_run: int):
+    least = least_run(min_run, shingle, percent)
+
     def run(x: np.ndarray, y: np.ndarray, seeds: list[tuple[int, int]]) -> Iterator[tuple]:
-        """Long runs of equal words, and similar paragraphs.  A seed inside a run that was found already is part of it, and
-        one whose run can't leave a span of y that was found already adds nothing."""
-        sx = sy = px = py = None
+        """Passages around the seeds: the run of equal words, with what follows behind small differences if the whole is similar
+        enough, else the run alone if it is long enough.  A seed inside a run that was looked at is part of it, and one whose run
+        can't leave a span of y that was found already adds nothing."""
         done: dict[int, int] = {}  # by diagonal: where the last run ends
         spans: list[tuple[int, int]] = []  # of y, in order
         for i, j in seeds:
             if i >= len(x) or j >= len(y) or done.get(i - j, -1) > i:
                 continue
             at = bisect_right(spans, (j, len(y))) - 1
-            inside = at >= 0 and spans[at][1] > j and not _leaves(x, y, i, j, *spans[at])
-            if not inside:
-                left, right = run_around(x, y, i, j)
-                done[i - j] = i + right
-                if left + right >= min_run:
-                    insort(spans, (j - left, j + right))
-                    yield i - left, i + right, j - left, j + right, i, j
-                    continue
-            if px is None:
-                px, py = np.append(breaks(x, reach), len(x)), np.append(breaks(y, reach), len(y))
-            m, n = np.searchsorted(px, i, "right") - 1, np.searchsorted(py, j, "right") - 1
-            (a, b), (c, d) = px[m : m + 2], py[n : n + 2]
-            if min(b - a, d - c) < min_words or inside and spans[at][0] <= c and d <= spans[at][1]:
+            if at >= 0 and spans[at][1] > j and not _leaves(x, y, i, j, *spans[at]):
+                continue
+            left, right = run_around(x, y, i, j)
+            done[i - j] = i + right
+            if left + right < least:
                 continue
-            if sx is None:
-                sx, sy = shingle_hashes(x, shingle), shingle_hashes(y, shingle)
-            u, v = np.unique(sx[a : max(a + 1, b - shingle + 1)]), np.unique(sy[c : max(c + 1, d - shingle + 1)])
-            both = len(np.intersect1d(u, v, assume_unique=True))
-            if 100 * both >= percent * (len(u) + len(v) - both):
+            a, b, c, d = region(x, y, i, j, left, right)
+            if (b - a, d - c) != (left + right, left + right) and (min(b - a, d - c) < min_run or not _similar(x[a:b], y[c:d], shingle, percent)):
+                a, b, c, d = i - left, i + right, j - left, j + right
+            if min(b - a, d - c) >= min_run:
+                insort(spans, (c, d))
                 yield a, b, c, d, i, j
 
     return run
@@ -151,15 +192,14 @@ def _contexts(reach: int):
 
 @tidy
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, min_run: int = MIN_RUN,
-                      min_words: int = MIN_WORDS, reach: int = REACH, bands: int = BANDS, rows: int = ROWS,
-                      shingle: int = SHINGLE) -> DataFrame:
+                      reach: int = REACH, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """One row for each passage of a document that an earlier one (by id) has: (id, start, end, first_id, first_start,
     first_end, cluster_id).
 
     [start, end) counts words; ``first_*`` is an earlier document's passage that it repeats, cluster_id the smallest id
-    among the passages that repeats connect.  Passages are runs of at least ``min_run`` equal words, or paragraphs of at
-    least ``min_words`` words with a Jaccard similarity of ``percent`` on ``shingle``-word shingles.  Removing the
-    rows' spans leaves every passage where it stands first.  Repeats within one document are not looked for.
+    among the passages that repeats connect.  Passages have at least ``min_run`` words: runs of equal words, or paragraphs
+    with a few words replaced, inserted or left out whose Jaccard similarity on ``shingle``-word shingles is ``percent`` or
+    more.  Removing the rows' spans leaves every passage where it stands first.  Repeats within one document are not looked for.
 
     Documents of a bucket are compared with the one before them (by id), at every place where they have its key.  If that finds nothing, as for a phrase that many
     texts have, the bucket is refined: half of a run of ``min_run`` words lies before the seed or behind it, so documents
@@ -171,9 +211,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ready(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text")).where("id is not null and text is not null")
     entries = materialize(src.mapInArrow(_bands(reach, bands, rows, shingle), ENTRY), "entries")
-    compare = _compare(reach, shingle, percent, min_words, min_run)
+    compare = _compare(shingle, percent, min_run)
 
     met, more = _met(entries)
+    discard(entries)
     found = matched(met, src, compare)
     through = met.join(found, ["a", "b"]).where("pb >= start_b and pb < end_b").select("b", "pb").distinct()
     apart = met.join(through, ["b", "pb"], "left_anti")
@@ -181,7 +222,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     seeds = apart.select(F.col("a").alias("id"), F.col("pa").alias("p")).union(apart.select("b", "pb")).union(more)
     seeds = seeds.groupBy("id").agg(F.collect_set(F.struct("p")).alias("seeds"))
     finer = src.join(seeds, "id").select("id", "text", "seeds").mapInArrow(_contexts(min_run // 2), ENTRY)
-    again = _met(materialize(finer, "finer"))[0].join(met, ["a", "pa", "b", "pb"], "left_anti")
+    finer = materialize(finer, "finer")
+    again = materialize(_met(finer)[0].join(met, ["a", "pa", "b", "pb"], "left_anti"), "again")
+    discard(finer, met, more)
     return _clustered(materialize(found.union(matched(again, src, compare)), "found"))
 
 
@@ -195,7 +238,9 @@ def _met(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = [F.col("prev_id").alias("a"), F.col("prev_p").alias("pa"), F.col("id").alias("b")]
     pairs = chain.select(*names, F.col("p").alias("pb")).union(rest.join(chain.drop("p"), ["key", "id"]).select(*names, F.col("p").alias("pb")))
     more = rest.join(chain.select("key", F.col("prev_id").alias("id")), ["key", "id"], "left_semi").select("id", "p").distinct()
-    return materialize(pairs.distinct(), "met"), materialize(more, "more")
+    met, more = materialize(pairs.distinct(), "met"), materialize(more, "more")
+    discard(chain, rest)
+    return met, more
 
 
 def _clustered(found: DataFrame) -> DataFrame:

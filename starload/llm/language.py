@@ -21,10 +21,9 @@ from starload.llm.common import materialize, ready, text_bytes, tidy
 
 BUCKETS = 1 << 14
 #: A text counts as so many independent trigrams at most; strength of the smoothing of hosts and domains; a document needs
-#: this posterior.  Modelled are what this share of the declared rows says, and two-letter codes with so many bytes of text
-#: (so their number is bounded).
-EVIDENCE, KAPPA, LEAST_POSTERIOR, LEAST_SHARE, LEAST_BYTES = 100, 20.0, 0.5, 0.005, 1_000_000
-#: The two-letter codes of ISO 639, and the three-letter codes that name no language.
+#: this posterior.
+EVIDENCE, KAPPA, LEAST_POSTERIOR = 100, 20.0, 0.5
+#: The two-letter codes of ISO 639, which bound the number of models, and the three-letter codes that name no language.
 CODES = frozenset(
     """aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu
     fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik in io is it iu iw ja ji jv jw ka kg ki kj kk
@@ -99,9 +98,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     """One row for each row of ``docs``: (id, text_hash, lang, posterior, n_trigrams, accepted).
 
     ``declared``, ``host``, ``domain`` and ``suffix`` are string columns of ``docs`` or None; a null says nothing.  At
-    least one row must declare a language, or no row is accepted.  Languages with little text (fewer than ``LEAST_BYTES`` and
-    less than ``LEAST_SHARE`` of the declared rows) can't be told by it: documents with letters that declare one, by a code
-    with or without region, keep it and are accepted; their posterior is null.  Any other document is accepted if it has letters, if its
+    least one row must declare a language, or no row is accepted.  Every two-letter code (with or without region) that any row
+    declares is a language with a model, however little text it has and whatever else the corpus holds; ``lang`` is the code
+    without region.  Languages with a three-letter code have none: documents with letters that declare one keep it and are
+    accepted; their posterior is null.  Other declarations say nothing.  Any other document is accepted if it has letters, if its
     best language explains its trigrams better than chance (all buckets alike), and if that language's posterior is at
     least ``least_posterior``.  Null and empty texts, or texts without letters, have lang null and are not accepted.
     Ids may be null and rows may repeat: rows are judged one by one.  Texts are read whole, in stretches of bounded size;
@@ -112,14 +112,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     given = lambda c: none if c is None else F.nullif(F.trim(F.lower(c)), F.lit(""))
     src = docs.select(text_bytes(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"),
                       given(declared).alias("declared"), given(host).alias("host"), given(domain).alias("domain"), given(suffix).alias("suffix"))
-    shares = materialize(src.where("declared is not null").groupBy("declared").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")), "shares")
-    least = (shares.agg(F.sum("rows")).first()[0] or 0) * LEAST_SHARE
-    enough = F.col("declared").isin(sorted(CODES)) & (F.col("bytes") >= LEAST_BYTES)
-    languages = sorted(r[0] for r in shares.where((F.col("rows") >= least) | enough).select("declared").collect())  # 200 and the codes at most
-    size = max(1, len(languages))
     code = F.regexp_extract("declared", "^([a-z]{2,3})([-_][a-z0-9_-]+)?$", 1)
-    named = code.isin(sorted(CODES)) | ((F.length(code) == 3) & ~code.isin(*NO_LANGUAGE))
-    rare = F.coalesce(named & ~F.col("declared").isin(languages), F.lit(False))
+    three = (F.length(code) == 3) & ~code.isin(*NO_LANGUAGE)
+    src = src.withColumn("declared", F.when(code.isin(sorted(CODES)), code).when(three, F.col("declared")))
+    languages = sorted(r[0] for r in src.where(F.col("declared").isin(sorted(CODES))).select("declared").distinct().collect())
+    size = max(1, len(languages))
+    rare = F.coalesce(~F.col("declared").isin(languages), F.lit(False))
 
     counted = src.where(F.col("declared").isin(languages)).select("text", "declared").mapInArrow(_counts(languages), "l long, bucket long, n long")
     table = np.zeros((size, BUCKETS))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.llm.common import table
+from starload.llm.common import fresh, table
 from starload.llm.decontam import contamination
 from starload.llm.language import identify
 from starload.llm.minhash import near_duplicates
@@ -15,24 +15,31 @@ from starload.llm.passages import without_spans
 from starload.llm.queries import tokenizer_path
 
 
+def _named(docs: DataFrame, stay: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``docs`` with two more columns, the doc_id and the xxhash64 of the text, ``stay(id, th, ...)`` with the same, and their names,
+    which no column of ``docs`` has."""
+    key, th = fresh(docs, "row_id"), fresh(docs, "row_text")
+    none = F.lit(-(2**63)).cast("long")
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), none), th: F.xxhash64("text")})
+    others = [c for c in stay.columns if c not in ("id", "th")]
+    return keyed, stay.select(F.coalesce("id", none).alias(key), F.col("th").alias(th), *others), [key, th]
+
+
 def keep_rows(docs: DataFrame, stay: DataFrame, once: bool = False) -> DataFrame:
     """The rows of ``docs`` named by ``stay(id, th)``, the doc_id and the xxhash64 of the text; ``once``: repeated rows once."""
-    none = F.lit(-(2**63)).cast("long")
-    keyed = docs.withColumns({"_kid": F.coalesce(F.col("doc_id").cast("long"), none), "_th": F.xxhash64("text")})
-    named = stay.select(F.coalesce("id", none).alias("_kid"), F.col("th").alias("_th"))
-    kept = keyed.join(named, ["_kid", "_th"], "left_semi")
-    return (kept.dropDuplicates(["_kid", "_th"]) if once else kept).select(*docs.columns)
+    keyed, named, on = _named(docs, stay)
+    kept = keyed.join(named, on, "left_semi")
+    return (kept.dropDuplicates(on) if once else kept).select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised stay, with the recognised language in ``lang``.  Without letters there is
     none: null and empty texts go.  ``lang`` is the declared language, ``source`` the host."""
+    told = fresh(docs, "told_lang")
     found = identify(docs, declared=F.col("lang"), host=F.col("source")).where("accepted")
-    found = found.groupBy("id", "text_hash").agg(F.min("lang").alias("found"))  # repeated rows have one text and one host each
-    none = F.lit(-(2**63)).cast("long")
-    keyed = docs.withColumns({"_kid": F.coalesce(F.col("doc_id").cast("long"), none), "_th": F.xxhash64("text")})
-    named = found.select(F.coalesce("id", none).alias("_kid"), F.col("text_hash").alias("_th"), F.col("found").alias("_found"))
-    return keyed.join(named, ["_kid", "_th"]).withColumn("lang", F.col("_found")).select(*docs.columns)
+    found = found.groupBy("id", F.col("text_hash").alias("th")).agg(F.min("lang").alias(told))  # repeated rows have one text and one host each
+    keyed, named, on = _named(docs, found)
+    return keyed.join(named, on).withColumn("lang", F.col(told)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,6 +102,22 @@ def test_stages(spark, edge_docs, edge_rows, no_docs, tmp_path):
         assert stage(spark, no_docs, sf).count() == 0, name
 
 
+def test_stages_leave_other_columns_alone(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    names = ["row_id", "ROW_TEXT", "told_lang", "span_id", "Span_List", "_id", "_kid", "_th", "_found", "_spans", "component", "spans"]
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, f"word{i} and some other words of text {i} the end " * 3 + (passage if i < 2 else ""), "en", "s") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.char_length("text").cast("long"))
+    docs = docs.withColumns({n: F.lit(7) for n in names})
+    sf = tmp_path.as_uri()
+    spark.createDataFrame([(1, "nothing of the kind here")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for name, stage in stages.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        assert got.columns == docs.columns, name
+        assert got.count() > 0 and all(r[n] == 7 for r in got.collect() for n in names), name
+
+
 def test_pipeline_runs_over_the_whole_table(spark):
     import corpus_pipeline
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starload.operators.dims import insert_ignore, scd2_apply
 from starload.operators.merge import in_parts, merge_touched
 from starload.plans.commits import State, commit, put_partitions, put_table, read_table, state
+from starload.plans.deltas import DAY_STATE, VALUE_STATE, change_days, signed_rows, summary_of
 from starload.plans.facts import (
     CHANNEL_KEYS,
     DEVICE_KEYS,
@@ -63,12 +64,15 @@ class Warehouse:
     fct_periodic_summary: DataFrame
     quarantine_sales: DataFrame
     quarantine_traffic: DataFrame
+    summary_days: DataFrame
+    summary_values: DataFrame
 
 
 def empty_warehouse(spark: SparkSession) -> Warehouse:
     e = lambda s: empty_frame(spark, s)
     return Warehouse(e(DIM_LOCATION), e(DIM_CUSTOMER), e(DIM_SKU), e(DIM_DEVICE), e(DIM_CHANNEL), e(FCT_SALES),
-                     e(FCT_TRAFFIC), e(FCT_PERIODIC_SUMMARY), e(QUARANTINE_SALES), e(QUARANTINE_TRAFFIC))
+                     e(FCT_TRAFFIC), e(FCT_PERIODIC_SUMMARY), e(QUARANTINE_SALES), e(QUARANTINE_TRAFFIC),
+                     e(DAY_STATE), e(VALUE_STATE))
 
 
 def load_location(dim_location: DataFrame, orders: DataFrame) -> DataFrame:
@@ -151,7 +155,7 @@ def _refuse(bad: DataFrame, what: str, keys: list[str]) -> None:
 
 def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traffic: DataFrame | None,
               fact_mode: str = "active", persist: bool = True, staged: bool = False,
-              root: str | None = None, summary: bool = True, on_unresolved: str = "quarantine", include: str = "orders") -> Warehouse:
+              root: str | None = None, summary: bool | str = True, on_unresolved: str = "quarantine", include: str = "orders") -> Warehouse:
     """Load one batch into the warehouse and return the new state.
 
     Empty or missing inputs skip their branch.  Rows whose keys can't be resolved go to the quarantine as they were staged, and
@@ -160,7 +164,9 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
     the days that the merges touched.  ``include="either"`` also keeps days that have sessions only.  With ``persist=True``
     each new table is written once, so later batches start from files, not lineage.  Type-0 dimensions need no extra write: their
     new rows already come from the key assignment's files.  ``staged=True`` says the inputs are already materialised (or cheap
-    filters of materialised tables).  ``summary=False`` leaves the daily summary as it was (for callers that only need the facts).
+    filters of materialised tables).  ``summary=False`` leaves the daily summary as it was (for callers that only need the facts);
+    ``summary="delta"`` changes it by the rows that the batch inserts and replaces (:mod:`starload.plans.deltas`), which reads no other
+    row of the facts: use it from the first batch on, because it needs the state of all batches before.
 
     With ``root`` the warehouse lives on storage (:mod:`starload.plans.commits`): facts are partitioned by date there and each batch
     rewrites only the partitions it touches; dimensions, quarantines and the summary are rewritten whole (they are small).  All
@@ -178,6 +184,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
     has_orders = orders is not None and not orders.isEmpty()
     has_traffic = traffic is not None and not traffic.isEmpty()
     touched: set = set()
+    signed: dict[str, DataFrame] = {}
 
     def sales_branch():
         batch = orders.select(*STG_ORDERS.names)
@@ -193,6 +200,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_sales"), lambda: _merge_fact(
             w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", at, keep))
         touched.update(days)
+        signed["sales"] = signed_rows(w.fct_sales, sales, "line_item_id", "order_date_id", days)
         return dict(dim_location=loc, dim_customer=cust, dim_sku=sku, fct_sales=fct, quarantine_sales=waiting)
 
     def traffic_branch():
@@ -206,6 +214,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_traffic"), lambda: _merge_fact(
             w.fct_traffic, t, "session_id", "visit_date_id", "fct_traffic", at, keep))
         touched.update(days)
+        signed["traffic"] = signed_rows(w.fct_traffic, t, "session_id", "visit_date_id", days)
         return dict(dim_device=dev, dim_channel=chn, fct_traffic=fct, quarantine_traffic=waiting)
 
     changes = {}
@@ -213,9 +222,21 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         changes.update(part)
     if not changes:
         return w
-    w = replace(w, **changes)
+    before, w = w, replace(w, **changes)
     dates = sorted(d for d in touched if d is not None)
-    if summary and dates:
+    if summary == "delta" and dates:
+        days, counts = change_days(before.summary_days, before.summary_values, signed.get("sales"), signed.get("traffic"), w.dim_customer, dates)
+        changes["summary_days"] = keep(days, "summary_days")
+        changes["fct_periodic_summary"] = summary_of(changes["summary_days"], include)
+        if "sales" in signed:
+            counts = keep(counts, "summary_values")
+            if at is None:
+                changes["summary_values"] = before.summary_values.where(~in_parts("date_id", dates)).unionByName(counts)
+            else:
+                put_partitions(at, "summary_values", counts, "date_id", dates)
+                changes["summary_values"] = read_table(spark, at, "summary_values", VALUE_STATE)
+        w = replace(w, **changes)
+    elif summary and dates:
         days = build_periodic_summary(w.fct_sales, w.fct_traffic, dates, w.dim_customer, include).select(*FCT_PERIODIC_SUMMARY.names)
         # days that lost their last line go with the old rows
         untouched = w.fct_periodic_summary.where(~F.col("date_id").isin(dates)).select(*FCT_PERIODIC_SUMMARY.names)
@@ -223,7 +244,7 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         w = replace(w, fct_periodic_summary=changes["fct_periodic_summary"])
     if at is None:
         return w
-    for name in sorted(set(changes) - {"fct_sales", "fct_traffic"}):
+    for name in sorted(set(changes) - {"fct_sales", "fct_traffic", "summary_values"}):
         put_table(at, name, getattr(w, name))
     commit(spark, at)
     stored = {name: read_table(spark, at, name, getattr(w, name).schema) for name in changes}

@@ -413,6 +413,15 @@ def queries() -> dict[str, str]:
         where date_id in (select {DID('order_time')} from stg_orders)  -- lines of a day are paired with its sessions
         group by date_id""")
 
+    out["summary_deltas"] = sql_with() + f"""select s.*, page_views, coalesce(num_sessions, 0) num_sessions, session_duration, clicks, transactions from (
+          select {DID('seen')} date_id, count(distinct order_id) unique_orders, count(distinct customer_id) unique_customers, cast(sum(q) as bigint) quantity,
+            cast(sum(price * q) as decimal(18,2)) revenue, cast(sum((price - cogs) * q) as decimal(18,2)) gross_profit
+          from (select *, cast(order_id as bigint) % 3 = 0 and (order_time - {EPOCH_BASE}) // {6 * DAY} < 4 as again,
+                  order_time + case when again then {DAY} else 0 end as seen, quantity + case when again then 1 else 0 end as q from stg_orders) group by 1) s
+        left join (select {DID('visit_time')} date_id, cast(sum(page_views) as bigint) page_views, count(*) num_sessions,
+            cast(sum(session_duration) as decimal(18,2)) session_duration, cast(sum(clicks) as bigint) clicks, cast(sum(transactions) as bigint) transactions
+          from stg_traffic where (visit_time - {EPOCH_BASE}) // {6 * DAY} between 0 and 4 group by 1) using (date_id)"""
+
     faulty = {
         "dim_date": "select cast(strftime(d, '%Y%m%d') as int) date_id from range(date '2024-01-01', date '2024-01-21', interval 1 day) t(d) union all values (-1), (-2)",
         "dim_location": f"select * from {w['loc']} union all select * replace (-3 as location_id) from {w['loc']} where location_id = 3",

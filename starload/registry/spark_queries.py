@@ -461,6 +461,20 @@ def touched_dates_q(spark, d):
     return touched_dates(B.stg_orders(spark, d), "order_time")
 
 
+def summary_deltas(spark, d):
+    """All lines and sessions in five stored batches of six days; each but the first also brings the lines of every third order of the
+    batch before once more, a day later and with another quantity.  The summary is changed by deltas only."""
+    spark = _s(spark)
+    i, root = B.Inputs(spark, d), scratch_path(spark, "warehouse")
+    orders, visits = (df.withColumn("k", F.floor((F.col(t) - B.EPOCH_BASE) / (6 * B.DAY))) for df, t in ((i.orders, "order_time"), (i.traffic, "visit_time")))
+    again = orders.where(F.col("order_id").cast("bigint") % 3 == 0).withColumns({
+        "k": F.col("k") + 1, "quantity": (F.col("quantity") + 1).cast("int"), "order_time": F.col("order_time") + B.DAY, "updated_at": F.col("updated_at") + B.DAY})
+    lines = orders.unionByName(again)
+    for k in range(5):
+        run_batch(spark, load_warehouse(spark, root), lines.where(F.col("k") == k).drop("k"), visits.where(F.col("k") == k).drop("k"), staged=True, root=root, summary="delta")
+    return load_warehouse(spark, root).fct_periodic_summary
+
+
 def periodic_summary(spark, d):
     spark = _s(spark)
     w = run_batch(spark, empty_warehouse(spark), B.stg_orders(spark, d), B.stg_traffic(spark, d))
@@ -581,6 +595,7 @@ REGISTRY = {
     "merge_traffic": merge_traffic,
     "merge_summary": merge_summary,
     "touched_dates": touched_dates_q,
+    "summary_deltas": summary_deltas,
     "periodic_summary": periodic_summary,
     "periodic_summary_parity": periodic_summary_parity,
     "sku_catalog": sku_catalog,

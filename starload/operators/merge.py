@@ -39,7 +39,7 @@ def touched_partitions(target: DataFrame, src: DataFrame, keys: list[str], parti
     current values of the keys it rewrites (a key may move between partitions).  Reads only the key and
     partition columns of the target; the result has one entry per partition (e.g. per day), so it is collected.
     """
-    old = target.select(*keys, partition_col).join(src.select(*keys).distinct(), keys, "left_semi")
+    old = target.select(*keys, partition_col).join(src.select(*keys), keys, "left_semi")
     parts = src.select(partition_col).union(old.select(partition_col)).distinct()
     return [r[0] for r in parts.collect()]
 

@@ -34,10 +34,9 @@ TRAFFIC_KEYS = ["session_id", *TRAFFIC_FKS]
 def _resolve_sales(stg: DataFrame, dim_location: DataFrame, dim_customer: DataFrame, dim_sku: DataFrame,
                    mode: str) -> DataFrame:
     # an order with an empty item list has one row without a line: kept, one for each order, for the quarantine
-    has_line = F.col("line_item_id").isNotNull()
     batch = stg
-    stg = dedupe_latest(stg.where(has_line), ["line_item_id"], "updated_at").unionByName(
-        dedupe_latest(stg.where(~has_line), ["order_id"], "updated_at"))
+    alone = stg.withColumn("__alone", F.when(F.col("line_item_id").isNull(), F.col("order_id")))
+    stg = dedupe_latest(alone, ["line_item_id", "__alone"], "updated_at").drop("__alone")
     f = stg.withColumn("__t", F.timestamp_seconds("order_time"))
     f = lookup(f, dim_location, LOCATION_KEYS, LOCATION_KEYS, "location_id")
     if mode == "active":

@@ -196,8 +196,13 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         sales, bad = split_resolved(resolved, SALES_KEYS)
         if on_unresolved == "fail":
             _refuse(bad, "sales lines", SALES_KEYS)
-        waiting = quarantined(lines, bad, "line_item_id", "order_id", "updated_at", SALES_KEYS).select(*QUARANTINE_SALES.names)
-        waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_sales"), lambda: _merge_fact(
+
+        def rest():
+            if bad.isEmpty():
+                return empty_frame(spark, QUARANTINE_SALES)
+            return keep(quarantined(lines, bad, "line_item_id", "order_id", "updated_at", SALES_KEYS).select(*QUARANTINE_SALES.names), "quarantine_sales")
+
+        waiting, (fct, days) = _parallel(rest, lambda: _merge_fact(
             w.fct_sales, sales, "line_item_id", "order_date_id", "fct_sales", at, keep))
         touched.update(days)
         signed["sales"] = signed_rows(w.fct_sales, sales, "line_item_id", "order_date_id", days)
@@ -210,8 +215,13 @@ def run_batch(spark: SparkSession, w: Warehouse, orders: DataFrame | None, traff
         t, bad = split_resolved(keep(resolve_traffic(visits, chn, dev), "fct_traffic_batch"), TRAFFIC_KEYS)
         if on_unresolved == "fail":
             _refuse(bad, "sessions", TRAFFIC_KEYS)
-        waiting = quarantined(visits, bad, "session_id", "session_id", "visit_time", TRAFFIC_KEYS).select(*QUARANTINE_TRAFFIC.names)
-        waiting, (fct, days) = _parallel(lambda: keep(waiting, "quarantine_traffic"), lambda: _merge_fact(
+
+        def rest():
+            if bad.isEmpty():
+                return empty_frame(spark, QUARANTINE_TRAFFIC)
+            return keep(quarantined(visits, bad, "session_id", "session_id", "visit_time", TRAFFIC_KEYS).select(*QUARANTINE_TRAFFIC.names), "quarantine_traffic")
+
+        waiting, (fct, days) = _parallel(rest, lambda: _merge_fact(
             w.fct_traffic, t, "session_id", "visit_date_id", "fct_traffic", at, keep))
         touched.update(days)
         signed["traffic"] = signed_rows(w.fct_traffic, t, "session_id", "visit_date_id", days)

@@ -113,13 +113,10 @@ def stg_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "click", 1).otherwise(0).alias("clicks"),
         F.when(et == "view", "Organic").when(et == "click", "Paid").when(et == "purchase", "Direct")
         .when(et == "signup", "Referral").otherwise("Social").alias("traffic_source"),
-        F.when(et != "signup", "-").when(u % 4 == 0, "m.facebook.com").when(u % 4 == 1, "youtube.com")
-        .when(u % 4 == 2, "instagram.com").otherwise("x.com").alias("referral_source"),
+        F.when(et != "signup", "-").otherwise(F.concat(F.lit("site"), (u % 4).cast("string"), F.lit(".example"))).alias("referral_source"),
         F.when(u % 2 == 0, "Desktop").otherwise("Mobile").alias("device"),
-        F.when(u % 2 == 0, F.when(u % 3 == 0, "Windows").otherwise("Ubuntu"))
-        .otherwise(F.when(u % 3 == 0, "Android").otherwise("iOS")).alias("os"),
-        F.when(u % 5 == 0, "Chrome").when(u % 5 == 1, "Edge").when(u % 5 == 2, "Brave").when(u % 5 == 3, "Safari")
-        .otherwise("Firefox").alias("browser"),
+        F.concat(F.lit("system "), (u % 2).cast("string"), F.lit("."), (u % 3 == 0).cast("int").cast("string")).alias("os"),
+        F.concat(F.lit("browser "), (u % 5).cast("string")).alias("browser"),
         F.when(et == "purchase", 1).otherwise(0).alias("transactions"),
     )
     return out.select(*STG_TRAFFIC.names)
@@ -215,12 +212,10 @@ select cast(event_id as varchar) session_id, cast(floor(epoch(ts)) as bigint) vi
   case when event_type='click' then 1 else 0 end clicks,
   case event_type when 'view' then 'Organic' when 'click' then 'Paid' when 'purchase' then 'Direct'
                   when 'signup' then 'Referral' else 'Social' end traffic_source,
-  case when event_type<>'signup' then '-' when user_id % 4=0 then 'm.facebook.com' when user_id % 4=1 then 'youtube.com'
-       when user_id % 4=2 then 'instagram.com' else 'x.com' end referral_source,
+  case when event_type<>'signup' then '-' else concat('site', user_id % 4, '.example') end referral_source,
   case when user_id % 2=0 then 'Desktop' else 'Mobile' end device,
-  case when user_id % 2=0 then case when user_id % 3=0 then 'Windows' else 'Ubuntu' end
-       else case when user_id % 3=0 then 'Android' else 'iOS' end end os,
-  case user_id % 5 when 0 then 'Chrome' when 1 then 'Edge' when 2 then 'Brave' when 3 then 'Safari' else 'Firefox' end browser,
+  concat('system ', user_id % 2, '.', (user_id % 3 = 0)::int) os,
+  concat('browser ', user_id % 5) browser,
   case when event_type='purchase' then 1 else 0 end transactions
 from events
 """

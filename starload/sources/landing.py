@@ -77,6 +77,13 @@ def parse_lines(lines: DataFrame, record_schema: T.StructType) -> DataFrame:
                          (F.col(f"__r.{CORRUPT}").isNotNull() | F.col("__r").isNull()).alias(CORRUPT))
 
 
+def line_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The schema of text lines below ``path``: with the batch key, as text, if the files lie in ``batch=`` folders."""
+    value, batch = T.StructField("value", T.StringType()), T.StructField("batch", T.StringType())
+    found = spark.read.schema(T.StructType([value])).option("pathGlobFilter", "*.json").text(path).columns
+    return T.StructType([value, batch] if "batch" in found else [value])
+
+
 def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, envelope: str | None = None,
                 document_schema: T.StructType | None = None) -> DataFrame:
     """Read landed JSON with a fixed schema (no inference), only ``*.json`` files, keeping the batch key (as text), the source
@@ -84,13 +91,14 @@ def read_landed(spark: SparkSession, path: str, record_schema: T.StructType, env
     the array field of enveloped documents, which are then read whole (``multiLine``) and exploded; their records' text is
     written anew from the fields of the schema."""
     batch = T.StructField("batch", T.StringType())
-    if envelope:
-        r = spark.read.schema(T.StructType([*document_schema.fields, batch])).option("multiLine", "true")
-    else:
-        r = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), batch]))
-    r = r.option("pathGlobFilter", "*.json")
     try:
-        df = (r.json(path) if envelope else r.text(path)).withColumn("source_file", F.col("_metadata.file_path"))
+        if envelope:
+            r = spark.read.schema(T.StructType([*document_schema.fields, batch])).option("multiLine", "true")
+            df = r.option("pathGlobFilter", "*.json").json(path).withColumn("source_file", F.col("_metadata.file_path"))
+        else:
+            r = spark.read.schema(line_schema(spark, path)).option("pathGlobFilter", "*.json")
+            df = r.text(path).withColumn("source_file", F.col("_metadata.file_path"))
+            df = df if "batch" in df.columns else df.withColumn("batch", F.lit(None).cast("string"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
             raise

@@ -23,7 +23,7 @@ from starload.schemas import DEAD_LETTERS, RAW_ORDER, RAW_VISIT, STG_ORDERS, STG
 from starload.session import materialize, scratch_path
 from starload.sources.deadletters import TABLE as LETTERS
 from starload.sources.deadletters import add_letters, dead_letters
-from starload.sources.landing import ingest_orders, ingest_traffic, parse_lines
+from starload.sources.landing import ingest_orders, ingest_traffic, line_schema, parse_lines
 
 #: The table of a stream's root, and the column that deals its rows to days.
 ROWS, DAY = "rows", "day_id"
@@ -37,15 +37,15 @@ def stream_ingest(spark: SparkSession, path: str, schema: T.StructType, checkpoi
                   max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
     """Start a stream over the JSON Lines in ``path`` (``*.json`` only).  Each micro-batch holds the records parsed by ``schema``, with
     their text, their landing batch and file; it goes through ``transform`` (a DataFrame -> DataFrame function, e.g. validation and
-    flattening) and then to ``sink``."""
-    lines = T.StructType([T.StructField("value", T.StringType()), T.StructField("batch", T.StringType())])
-    r = (spark.readStream.schema(lines)
+    flattening) and then to ``sink``.  Whether there are landing batches is read from the folders at the start."""
+    r = (spark.readStream.schema(line_schema(spark, path))
          .option("pathGlobFilter", "*.json")
          .option("cleanSource", "archive")
          .option("sourceArchiveDir", archive))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     read = r.text(path).withColumn("source_file", F.col("_metadata.file_path"))
+    read = read if "batch" in read.columns else read.withColumn("batch", F.lit(None).cast("string"))
 
     def handler(batch: DataFrame, epoch: int) -> None:
         records = parse_lines(batch, schema)

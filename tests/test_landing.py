@@ -75,3 +75,11 @@ def test_missing_prefix_is_empty_batch(spark, tmp_path):
     valid, bad = ingest_orders(read_orders(spark, str(tmp_path / "nothing-landed-yet")))
     assert valid.count() == 0 and bad.count() == 0
     assert "line_item_id" in valid.columns
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    p = write_lines(tmp_path, "o", [order(), order(order_id="O2", order_time="12.5"), order(order_id="O3", item_list=[dict(ITEM, quantity=q) for q in ("3.0", " 4 ", "-5")])])
+    valid, bad = ingest_orders(read_orders(spark, p))
+    for df in (valid, bad):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert sorted(x.quantity for x in valid.collect()) == [-5, 2, 3, 4] and [x.reason for x in bad.collect()] == ["bad order_time"]

@@ -407,3 +407,32 @@ def test_licences(spark):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_crowded_buckets_do_not_compare_all_pairs(spark, monkeypatch):
+    import random
+
+    from starload.llm import minhash
+
+    r, docs, made = random.Random(3), [], []
+    for k in range(120):
+        words = [f"b{i}" for i in range(300)]
+        for at in r.sample(range(300), 22):
+            words[at] = f"own{k}x{at}"
+        docs.append(words)
+    docs += [[*docs[5][:-1], "other"], [*docs[90][:-2], "last", "two"]]
+    write = minhash.materialize
+
+    def seen(df, name):
+        out = write(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", seen)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {x.id: x.component_id for x in minhash.near_duplicates(df, shingle=2).collect()}
+    sets = [set(zip(w, w[1:])) for w in docs]
+    near = {i: next(j for j in range(i + 1) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in range(len(docs))}
+    assert got == near and near[120] == 5 and near[121] == 90
+    assert made[-1] < 10 * len(docs)

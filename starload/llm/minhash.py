@@ -113,19 +113,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     agree = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
     alike = F.expr(f"component_a <> component_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)") & (agree * 2 >= collections * rows)
     # members of crowded buckets that are still apart: each tries a random member of each of its buckets, and is checked with the most alike
-    dealt = materialize(_apart(members, labels, known.drop("sig")).where("crowded"), "dealt")
+    dealt = materialize(_apart(members, labels).where("crowded").select("key", "node", "component"), "dealt")
     if not dealt.isEmpty():
-        part = ("node", "component", "n", "bits")
-        drawn = dealt.groupBy("key").agg(F.max_by(F.struct(*part), F.xxhash64("key", "node")).alias("r")).select("key", *[F.col(f"r.{c}").alias(f"{c}_b") for c in part])
-        tried = dealt.select("key", *[F.col(c).alias(f"{c}_a") for c in part]).join(drawn, "key").where(alike)
-        best = materialize(tried.groupBy(F.col("node_a").alias("a")).agg(F.max_by("node_b", F.struct(agree, "node_b")).alias("b")), "pairs")
+        drawn = dealt.groupBy("key").agg(F.max_by(F.struct("node", "component"), F.xxhash64("key", "node")).alias("r")).select("key", "r.*")
+        drawn = drawn.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "component")])
+        tried = dealt.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "component")]).join(drawn, "key").where("component_a <> component_b").drop("key").distinct()
+        for x in "ab":  # a pair that meets in many buckets gets the sketches once
+            tried = tried.join(known.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "bits")]), f"node_{x}")
+        best = materialize(tried.where(alike).groupBy(F.col("node_a").alias("a")).agg(F.max_by("node_b", F.struct(agree, "node_b")).alias("b")), "pairs")
         discard(dealt)
         links = links.union(_linked(src, nodes, best, shingle, percent))
         labels = connected_components(links)
     # then every such pair is compared, in a crowded bucket those that share a rare shingle
-    apart = materialize(_apart(members, labels, known), "apart")
-    crowd = apart.where("crowded").select("node", "component", "n").distinct()
-    left, right = (apart.where("not crowded").select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "node", "component", "n", "sig", "bits")]) for x in "ab")
+    apart = materialize(_apart(members, labels), "apart")
+    crowd = apart.where("crowded").select("node", "component").distinct().join(nodes.select("node", "n"), "node")
+    few = materialize(apart.where("not crowded").join(known, "node"), "few")
+    left, right = (few.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("t", "node", "component", "n", "sig", "bits")]) for x in "ab")
     ordered = F.col("node_a") < F.col("node_b")
     # a pair that meets in several tables is made in the first of them
     same = F.filter(F.sequence(F.lit(0), F.lit(collections - 1)), lambda i: F.get("sig_a", i) == F.get("sig_b", i))
@@ -146,12 +149,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("id", "text_hash", "n_shingles", "group", F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _apart(members: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
-    """The members of buckets that lie in more than one component, with their sketches; ``crowded`` tells of large buckets."""
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that lie in more than one component; ``crowded`` tells of large buckets."""
     placed = members.join(labels, "node", "left").select("t", "key", "node", F.coalesce("component", "node").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("size"))
     split = split.where("c <> d").select("key", (F.col("size") > CROWD).alias("crowded"))
-    return placed.join(split, "key").join(known, "node")
+    return placed.join(split, "key")
 
 
 def _full_sets(src: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from contextvars import ContextVar
 from functools import wraps
 
@@ -99,6 +100,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _WHITE = re.compile(rb"[\x20\x09-\x0D]")
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_VALUES = np.arange(1, 257, dtype=np.uint64)
 _BASE, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 #: Bytes or words that are hashed at once, so that a long text doesn't need many times its size.
 STRETCH = 1 << 16
@@ -124,6 +126,13 @@ def _runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return (total[ends] - total[starts]) * down[starts]
 
 
+def _words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes begin, and their hashes."""
+    edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).view(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return starts, mixed(_runs(_VALUES[b], starts, ends) + (ends - starts).astype(np.uint64))
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of every word (run of anything but ASCII white space) of a text, in order."""
     out, at = [], 0
@@ -133,14 +142,42 @@ def word_hashes(text: bytes) -> np.ndarray:
             found = np.flatnonzero(_SPACE[np.frombuffer(text, np.uint8, STRETCH, at)])
             more = _WHITE.search(text, end)
             end = at + int(found[-1]) + 1 if len(found) else more.end() if more else len(text)
-        b = np.frombuffer(text[at:end], np.uint8)
-        edge = np.diff(np.concatenate([[True], _SPACE[b], [True]]).view(np.int8))
-        starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        out.append(mixed(_runs(b.astype(np.uint64) + np.uint64(1), starts, ends) + (ends - starts).astype(np.uint64)))
+        out.append(_words(np.frombuffer(text[at:end], np.uint8))[1])
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
+def hashed_together(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The word hashes of many texts, as :func:`word_hashes` gives them, short texts hashed together: (indices of the texts, their
+    hashes one after the other, where each one's begin and the last one's end).  Null texts have no words."""
+    group, size = [], 0
+
+    def hashed(group: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = [len(texts[i] or b"") for i in group]
+        if len(group) == 1 and sizes[0] > STRETCH:
+            h = word_hashes(texts[group[0]])
+            return np.array(group), h, np.array([0, len(h)])
+        at, h = _words(np.frombuffer(b" ".join(texts[i] or b"" for i in group), np.uint8))
+        return np.array(group), h, np.append(np.searchsorted(at, np.cumsum([0, *sizes[:-1]]) + np.arange(len(group))), len(h))
+
+    for i, text in enumerate(texts):
+        more = len(text or b"") + 1
+        if group and size + more > STRETCH:
+            yield hashed(group)
+            group, size = [], 0
+        group.append(i)
+        size += more
+    if group:
+        yield hashed(group)
+
+
+def room(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word of texts that lie one after the other (``bounds`` as :func:`hashed_together` gives them): its text, and how many
+    words this has from there on."""
+    which = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    return which, bounds[1:][which] - np.arange(bounds[-1])
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` words, in text order; one hash of the whole sequence if there are fewer words."""
     n = len(h)

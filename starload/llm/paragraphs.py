@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import discard, materialize, mixed, ready, shingle_hashes, text_bytes, tidy
+from starload.llm.common import discard, hashed_together, materialize, mixed, ready, room, shingle_hashes, text_bytes, tidy
 from starload.llm.components import connected_components
-from starload.llm.passages import breaks, hashes_of, matched, merged_spans, neighbours, run_around
+from starload.llm.passages import breaks, matched, merged_spans, neighbours, run_around
 
 REACH, BANDS, ROWS, SHINGLE = 10, 6, 2, 5
 #: Words of a passage, whatever surrounds it.
@@ -33,53 +33,52 @@ MIN_RUN = 50
 ENTRY = "key long, id long, p long, again long"
 
 
-def _distinct(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair of a key and a place once, ordered by both."""
+def _distinct(which: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every key of a text and its place once, ordered by all three; and 1 for each key that the text has at an earlier place as well."""
     keys = keys.view(np.int64)
-    order = np.lexsort((places, keys))
-    keys, places = keys[order], places[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (places[1:] != places[:-1])
-    return keys[new], places[new]
-
-
-def _again(keys: np.ndarray) -> np.ndarray:
-    """1 for each key that equals the one before it: the text has it at an earlier place as well."""
-    return np.concatenate([np.zeros(min(len(keys), 1), np.int64), (keys[1:] == keys[:-1]).astype(np.int64)])
+    order = np.lexsort((places, keys, which))
+    which, keys, places = which[order], keys[order], places[order]
+    new, again = np.ones(len(keys), bool), np.zeros(len(keys), bool)
+    again[1:] = (which[1:] == which[:-1]) & (keys[1:] == keys[:-1])
+    new[1:] = ~again[1:] | (places[1:] != places[:-1])
+    return which[new], keys[new], places[new], again[new].astype(np.int64)
 
 
 def _bands(reach: int, bands: int, rows: int, shingle: int):
     seeds = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
-    def keys_of(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        """Band keys of a text's paragraphs and the words where the shingles lie that made them, ordered by key and place."""
-        h = hashes_of(text)
-        if len(h) < shingle:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+    def keys_of(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Band keys of the paragraphs of texts that lie one after the other, and the words where the shingles lie that made them:
+        (text, key, place, again), ordered by all three."""
+        which, left = room(bounds)
         s = shingle_hashes(h, shingle)
-        starts = breaks(h, reach)
-        starts = starts[starts < len(s)]  # a shingle belongs to the paragraph where it begins
-        ends = np.append(starts[1:], len(s))
-        lengths = ends - starts
+        inside = np.flatnonzero(left[: len(s)] >= shingle)
+        starts = breaks(h, bounds, left, reach)
+        starts = np.searchsorted(inside, starts[left[starts] >= shingle])  # a shingle belongs to the paragraph where it begins
+        s, lengths = s[inside], np.diff(np.append(starts, len(inside)))
+        paragraph = np.repeat(np.arange(len(starts)), lengths)
         keys, places = [], []
         for t in range(bands):
             x = s * seeds[t * rows]
             low = np.minimum.reduceat(x, starts)
-            first = np.flatnonzero(x == np.repeat(low, lengths))  # leftmost in each paragraph
-            if len(first) > len(starts):
-                first = first[np.unique(np.searchsorted(starts, first, "right"), return_index=True)[1]]
+            first = np.flatnonzero(x == low[paragraph])
+            first = first[np.diff(paragraph[first], prepend=-1) > 0]  # leftmost in each paragraph
             for r in range(1, rows):
                 low = mixed(low) + np.minimum.reduceat(s * seeds[t * rows + r], starts)
             keys.append(mixed(low + np.uint64(t)))
-            places.append(first)
-        return _distinct(np.concatenate(keys), np.concatenate(places))
+            places.append(inside[first])
+        places = np.concatenate(places)
+        return _distinct(which[places], np.concatenate(keys), places - bounds[which[places]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[np.empty(0, np.int64)] for _ in range(4)]
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                k, p = keys_of(text.as_py())
-                for at, x in zip(rows, (k, np.full(len(k), id_, np.int64), p, _again(k)), strict=True):
+            ids = batch.column(0).to_numpy()
+            for index, h, bounds in hashed_together(batch.column(1).to_pylist()):
+                if np.diff(bounds).max() < shingle:
+                    continue
+                which, k, p, again = keys_of(h, bounds)
+                for at, x in zip(rows, (k, ids[index[which]], p, again), strict=True):
                     at.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in rows], names=["key", "id", "p", "again"])
 
@@ -172,18 +171,21 @@ def _contexts(reach: int):
         """Two finer keys for each seed: with the words that follow it, and with those that lead to it."""
         for batch in batches:
             rows = [[np.empty(0, np.int64)] for _ in range(4)]
-            for id_, text, seeds in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                h = hashes_of(text.as_py())
+            ids, seeds = batch.column(0).to_numpy(), batch.column(2).to_pylist()
+            for index, h, bounds in hashed_together(batch.column(1).to_pylist()):
                 if len(h) < reach:
                     continue
-                runs, p = shingle_hashes(h, reach), np.array([x["p"] for x in seeds], np.int64)
+                runs, (which, left) = shingle_hashes(h, reach), room(bounds)
+                p = np.concatenate([start + np.array([x["p"] for x in seeds[i]], np.int64) for i, start in zip(index, bounds, strict=False)])
+                p = p[p < len(h)]
                 keys, places = [], []
                 for side, at in ((1, p), (2, p - reach + 1)):
-                    fits = (at >= 0) & (at < len(runs))
+                    fits = (at >= bounds[which[p]]) & (left[np.maximum(at, 0)] >= reach)
                     keys.append(mixed(runs[at[fits]] + np.uint64(side)))
                     places.append(p[fits])
-                k, q = _distinct(np.concatenate(keys), np.concatenate(places))
-                for at, x in zip(rows, (k, np.full(len(k), id_, np.int64), q, _again(k)), strict=True):
+                q = np.concatenate(places)
+                of, k, q, again = _distinct(which[q], np.concatenate(keys), q - bounds[which[q]])
+                for at, x in zip(rows, (k, ids[index[of]], q, again), strict=True):
                     at.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in rows], names=["key", "id", "p", "again"])
 

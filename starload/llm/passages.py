@@ -14,36 +14,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starload.llm.common import fresh, leftmost_minima, materialize, mixed, word_hashes
+from starload.llm.common import fresh, hashed_together, leftmost_minima, materialize, mixed
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Texts whose hashes a task keeps, and their bytes.
-HELD, HELD_BYTES = 256, 8 << 20
 MATCH = ["a", "b", "start_a", "end_a", "start_b", "end_b", "seed_a", "seed_b"]
 
 
-def hashes_of(text: bytes | None) -> np.ndarray:
-    return word_hashes(text or b"")
-
-
-def window_minima(h: np.ndarray, w: int) -> np.ndarray:
-    """The positions that hold the smallest value (the leftmost one) of some run of ``w`` values, in order."""
-    if len(h) == 0:
-        return np.empty(0, np.int64)
-    if len(h) <= w:
-        return np.array([int(h.argmin())])
-    at = leftmost_minima(h, w)
-    return at[np.concatenate([[True], at[1:] != at[:-1]])]
-
-
-def breaks(h: np.ndarray, reach: int) -> np.ndarray:
-    """Where content-defined paragraphs begin: 0 and every position whose hash is the smallest within ``reach`` words."""
-    n = len(h)
-    if n <= 2 * reach + 1:
-        return np.zeros(min(n, 1), np.int64)
+def breaks(h: np.ndarray, bounds: np.ndarray, left: np.ndarray, reach: int) -> np.ndarray:
+    """Where content-defined paragraphs begin in texts that lie one after the other (``left`` words of the text from each word on):
+    at their first words, and at every position whose hash is the smallest within ``reach`` words of the text."""
+    wide = 2 * reach + 1
     x = mixed(h[:-1] * np.uint64(3) + h[1:])
-    at = leftmost_minima(x, 2 * reach + 1)
-    return np.concatenate([[0], np.flatnonzero(at == np.arange(len(at)) + reach) + reach]).astype(np.int64)
+    at = leftmost_minima(x, wide) if len(x) >= wide else np.empty(0, np.int64)
+    lowest = np.flatnonzero((at == np.arange(len(at)) + reach) & (left[: len(at)] > wide))
+    return np.unique(np.concatenate([bounds[:-1][np.diff(bounds) > 0], lowest + reach]))
 
 
 def run_around(x: np.ndarray, y: np.ndarray, i: int, j: int) -> tuple[int, int]:
@@ -72,22 +56,13 @@ def matched(pairs: DataFrame, docs: DataFrame, compare) -> DataFrame:
     both = seeds.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple[bytes, np.ndarray]] = {}  # texts that were hashed lately
-
-        def words(doc: int, text: bytes) -> np.ndarray:
-            held = known.get(doc)
-            if held is None or held[0] != text:
-                if len(known) >= HELD or sum(len(t) for t, _ in known.values()) > HELD_BYTES:
-                    known.clear()
-                held = known[doc] = (text, hashes_of(text))
-            return held[1]
-
         for batch in batches:
-            rows = []  # pairs come sorted by b
-            for a, b, seeds, ta, tb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
-                y = words(b, tb.as_py())
-                found = compare(words(a, ta.as_py()), y, sorted((s["pa"], s["pb"]) for s in seeds))
-                rows += [(a, b, *map(int, x)) for x in found]
+            a, b, seeds, ta, tb = (batch.column(i).to_pylist() for i in range(5))
+            texts = list(dict.fromkeys([*tb, *ta]))  # a text is in many pairs
+            known = {texts[i]: h[start:end] for index, h, bounds in hashed_together(texts) for i, start, end in zip(index, bounds, bounds[1:], strict=False)}
+            rows = []
+            for x, y, s, u, v in zip(a, b, seeds, ta, tb, strict=True):
+                rows += [(x, y, *map(int, f)) for f in compare(known[u], known[v], sorted((k["pa"], k["pb"]) for k in s))]
             columns = zip(*rows, strict=True) if rows else [[]] * len(MATCH)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=MATCH)
 

@@ -19,28 +19,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import discard, materialize, ready, shingle_hashes, text_bytes, tidy
-from starload.llm.passages import hashes_of, matched, merged_spans, neighbours, run_around, window_minima
+from starload.llm.common import discard, hashed_together, leftmost_minima, materialize, ready, room, shingle_hashes, text_bytes, tidy
+from starload.llm.passages import matched, merged_spans, neighbours, run_around
 
 MIN_RUN, ANCHOR, WINDOW = 50, 8, 26
 ROW = "key long, left long, right long, doc long, p long"
 
 
+def _anchored(h: np.ndarray, bounds: np.ndarray, which: np.ndarray, left: np.ndarray, anchor: int, window: int, prefix: int) -> np.ndarray:
+    """The selected positions of texts that lie one after the other; texts with fewer words than ``prefix`` have none."""
+    a, whole = shingle_hashes(h, anchor), window + anchor - 1
+    at = leftmost_minima(a, window) if len(a) >= window else np.empty(0, np.int64)
+    p = at[left[: len(at)] >= whole]  # windows inside one text
+    p = p[np.concatenate([np.ones(min(len(p), 1), bool), p[1:] != p[:-1]])]
+    sizes = np.diff(bounds)
+    few = [int(b + (a[b : b + n - anchor + 1].argmin() if n > anchor else 0)) for b, n in zip(bounds[:-1], sizes, strict=True) if prefix <= n < whole and n]
+    p = np.sort(np.concatenate([p, np.array(few, np.int64)])) if few else p
+    return p[(sizes[which[p]] >= prefix) & (left[p] >= prefix)]  # a suffix that is shorter than the prefix can't hold its share of a passage
+
+
 def _suffixes(anchor: int, window: int, prefix: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [[np.empty(0, np.int64)] for _ in range(5)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = hashes_of(text.as_py())
+            docs = batch.column(0).to_numpy()
+            for index, h, bounds in hashed_together(batch.column(1).to_pylist()):
                 if len(h) < prefix:
                     continue
-                p = window_minima(shingle_hashes(h, anchor), window)
-                runs = shingle_hashes(h, prefix)
-                p = p[p < len(runs)]  # a suffix that is shorter than the prefix can't hold its share of a passage
-                left = np.where(p >= prefix, runs[np.maximum(p - prefix, 0)], np.uint64(0))
-                after = p + prefix
-                right = np.where(after < len(runs), runs[np.minimum(after, len(runs) - 1)], np.uint64(0))
-                for at, x in zip(rows, (runs[p], left, right, np.full(len(p), doc, np.int64), p), strict=True):
+                which, left_over = room(bounds)
+                p = _anchored(h, bounds, which, left_over, anchor, window, prefix)
+                runs, place = shingle_hashes(h, prefix), p - bounds[which[p]]
+                left = np.where(place >= prefix, runs[np.maximum(p - prefix, 0)], np.uint64(0))
+                right = np.where(left_over[p] >= 2 * prefix, runs[np.minimum(p + prefix, len(runs) - 1)], np.uint64(0))
+                for at, x in zip(rows, (runs[p], left, right, docs[index[which[p]]], place), strict=True):
                     at.append(x.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in rows], names=["key", "left", "right", "doc", "p"])
 
@@ -52,17 +63,19 @@ def _windows(min_run: int, prefix: int):
         """Every run of ``min_run`` words around a suffix' first words (a key and its place), but for those inside a span."""
         for batch in batches:
             rows = [[np.empty(0, np.int64)] for _ in range(3)]
-            for doc, text, places, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                h = hashes_of(text.as_py())
+            docs, places, spans = batch.column(0).to_numpy(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for index, h, bounds in hashed_together(batch.column(1).to_pylist()):
                 if len(h) < min_run:
                     continue
-                wanted = np.zeros(len(h) - min_run + 1, bool)
-                for p in places:
-                    wanted[max(0, p - min_run + prefix) : p + 1] = True
-                for x in spans or []:
-                    wanted[x["start"] : max(x["start"], x["end"] - min_run + 1)] = False
-                at = np.flatnonzero(wanted)
-                for column, x in zip(rows, (shingle_hashes(h, min_run)[at].view(np.int64), np.full(len(at), doc, np.int64), at), strict=True):
+                wanted = np.zeros(len(h), bool)
+                for i, start, end in zip(index, bounds, bounds[1:], strict=False):
+                    here = wanted[start : max(start, end - min_run + 1)]
+                    for p in places[i]:
+                        here[max(0, p - min_run + prefix) : p + 1] = True
+                    for x in spans[i] or []:
+                        here[x["start"] : max(x["start"], x["end"] - min_run + 1)] = False
+                at, which = np.flatnonzero(wanted), room(bounds)[0]
+                for column, x in zip(rows, (shingle_hashes(h, min_run)[at].view(np.int64), docs[index[which[at]]], at - bounds[which[at]]), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in rows], names=["key", "doc", "p"])
 

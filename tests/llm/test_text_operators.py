@@ -436,3 +436,55 @@ def test_crowded_buckets_do_not_compare_all_pairs(spark, monkeypatch):
     near = {i: next(j for j in range(i + 1) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])) for i in range(len(docs))}
     assert got == near and near[120] == 5 and near[121] == 90
     assert made[-1] < 10 * len(docs)
+
+
+def test_crowded_buckets_move_sketches_once_a_node(spark, monkeypatch):
+    from starload.llm import minhash
+
+    docs, kept = [], {}
+    for k in range(60):  # every bucket that a phrase of 300 words makes is crowded, and its members stay apart
+        words = [f"b{i}" for i in range(300)]
+        for at in range(k, 300, 13):
+            words[at] = f"own{k}x{at}"
+        docs.append((k, " ".join(words)))
+    write = minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda df, name: kept.setdefault(name, []).append(df.columns) or write(df, name))
+    minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=2).count()
+    assert kept["dealt"] == [["key", "node", "component"]]
+    assert not {"sig", "bits"} & {c for columns in kept["apart"] for c in columns}
+
+
+def test_texts_hashed_together(monkeypatch):
+    import random
+
+    import numpy as np
+
+    from starload.llm import common
+
+    r = random.Random(5)
+    texts = [None, b"", b" \n ", b"one", b"  a\tb\x0b ", b"x" * 200, *[b" ".join(b"%d" % r.randrange(9) for _ in range(r.randrange(60))) for _ in range(50)], b""]
+    alone = [common.word_hashes(t or b"") for t in texts]
+    for stretch in (64, 1 << 16):
+        monkeypatch.setattr(common, "STRETCH", stretch)
+        groups = list(common.hashed_together(texts))
+        assert [i for index, _, _ in groups for i in index] == list(range(len(texts)))
+        got = [h[start:end] for _, h, bounds in groups for start, end in zip(bounds, bounds[1:], strict=False)]
+        assert all(np.array_equal(x, y) for x, y in zip(got, alone, strict=True))
+    assert len(groups) == 1
+
+
+def test_a_text_of_many_pairs_is_hashed_once(spark, monkeypatch):
+    from starload.llm import passages
+
+    hashed = []
+    real = passages.hashed_together
+    monkeypatch.setattr(passages, "hashed_together", lambda texts: hashed.append(len(texts)) or real(texts))
+    monkeypatch.setattr(passages, "materialize", lambda df, name: df)
+    docs = spark.createDataFrame([(k, f"t{k} same words") for k in range(1, 9)], "id long, text string").selectExpr("id", "cast(text as binary) text")
+    pairs = spark.createDataFrame([(a, 1, b, 1) for a in range(1, 9) for b in range(1, 9) if a < b], "a long, pa long, b long, pb long").coalesce(1)
+    runs = {}
+    monkeypatch.setattr(type(pairs), "mapInArrow", lambda df, f, schema: runs.update(f=f, rows=df))
+    passages.matched(pairs, docs, lambda x, y, seeds: [(0, len(x), 0, len(y), *seeds[0])])
+    table = runs["rows"].coalesce(1).toArrow().combine_chunks()
+    out = [r for b in runs["f"](table.to_batches()) for r in b.to_pylist()]
+    assert len(out) == 28 and hashed == [8] and all(r["end_a"] == r["end_b"] == 3 for r in out)

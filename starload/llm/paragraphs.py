@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.llm.common import discard, hashed_together, materialize, mixed, ready, room, shingle_hashes, text_bytes, tidy
@@ -31,6 +31,8 @@ MIN_RUN = 50
 
 
 ENTRY = "key long, id long, p long, again long"
+#: Behind the place of a band key lie 16 bits for the words from it on and 16 for the words before it, 0 if the text has not so many.
+SIDE = 16
 
 
 def _distinct(which: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -44,12 +46,37 @@ def _distinct(which: np.ndarray, keys: np.ndarray, places: np.ndarray) -> tuple[
     return which[new], keys[new], places[new], again[new].astype(np.int64)
 
 
-def _bands(reach: int, bands: int, rows: int, shingle: int):
+def _sides(h: np.ndarray, bounds: np.ndarray, which: np.ndarray, left: np.ndarray, p: np.ndarray, least: int) -> np.ndarray:
+    """Places p and short hashes of the words on both sides.  Of ``least`` equal words around two places one half at least lies behind
+    them (with the words there) or before them, so where both halves differ the run is shorter."""
+    after, place = -(-least // 2), p - bounds[which[p]]
+    before = least - after + 1
+    out = place.astype(np.int64) << 2 * SIDE
+    runs = {n: shingle_hashes(h, n) for n in {after, before}}
+    for n, at, fits, shift in ((after, p, left[p] >= after, SIDE), (before, p - before, place >= before, 0)):
+        out[fits] |= (runs[n][at[fits]] % np.uint64((1 << SIDE) - 1) + np.uint64(1)).astype(np.int64) << shift
+    return out
+
+
+def _place(p: Column) -> Column:
+    return F.shiftright(p, 2 * SIDE)
+
+
+def _may_run(p: Column, q: Column) -> Column:
+    """Whether two places of :func:`_sides` have the same words on one side."""
+    def same(shift: int) -> Column:
+        u, v = (F.shiftright(x, shift).bitwiseAND((1 << SIDE) - 1) for x in (p, q))
+        return (u == v) & (u != 0)
+
+    return same(SIDE) | same(0)
+
+
+def _bands(reach: int, bands: int, rows: int, shingle: int, least: int):
     seeds = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
 
     def keys_of(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Band keys of the paragraphs of texts that lie one after the other, and the words where the shingles lie that made them:
-        (text, key, place, again), ordered by all three."""
+        (text, key, place with its sides, again), ordered by all three."""
         which, left = room(bounds)
         s = shingle_hashes(h, shingle)
         inside = np.flatnonzero(left[: len(s)] >= shingle)
@@ -68,7 +95,7 @@ def _bands(reach: int, bands: int, rows: int, shingle: int):
             keys.append(mixed(low + np.uint64(t)))
             places.append(inside[first])
         places = np.concatenate(places)
-        return _distinct(which[places], np.concatenate(keys), places - bounds[which[places]])
+        return _distinct(which[places], np.concatenate(keys), _sides(h, bounds, which, left, places, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,12 +239,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     ready(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("text")).where("id is not null and text is not null")
-    entries = materialize(src.mapInArrow(_bands(reach, bands, rows, shingle), ENTRY), "entries")
+    least = least_run(min_run, shingle, percent)
+    entries = materialize(src.mapInArrow(_bands(reach, bands, rows, shingle, least), ENTRY), "entries")
     compare = _compare(shingle, percent, min_run)
 
-    met, more = _met(entries)
+    met_sides, more_sides = _met(entries)
     discard(entries)
-    found = matched(met, src, compare)
+    places = ["a", _place(F.col("pa")).alias("pa"), "b", _place(F.col("pb")).alias("pb")]
+    met, more = met_sides.select(*places), more_sides.select("id", _place(F.col("p")).alias("p"))
+    found = matched(_worth_comparing(met_sides, docs.select(F.col(id_col).cast("long").alias("id"))).select(*places), src, compare)
     through = met.join(found, ["a", "b"]).where("pb >= start_b and pb < end_b").select("b", "pb").distinct()
     apart = met.join(through, ["b", "pb"], "left_anti")
     more = more.join(through, (more.id == through.b) & (more.p == through.pb), "left_anti")
@@ -226,10 +256,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     finer = src.join(seeds, "id").select("id", "text", "seeds").mapInArrow(_contexts(min_run // 2), ENTRY)
     finer = materialize(finer, "finer")
     again = materialize(_met(finer)[0].join(met, ["a", "pa", "b", "pb"], "left_anti"), "again")
-    discard(finer, met, more)
+    discard(finer, met_sides, more_sides)
     return _clustered(materialize(found.union(matched(again, src, compare)), "found"))
 
 
+def _worth_comparing(met: DataFrame, ids: DataFrame) -> DataFrame:
+    """The seeds around which a run may be long enough to be looked at; texts need not be moved for the others.  Seeds of an id that
+    has several texts all stay, because the words beside a place are those of one of them."""
+    near = _may_run(F.col("pa"), F.col("pb"))
+    twice = materialize(ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and id is not null").select("id"), "twice")
+    out = met.where(near)
+    if not twice.isEmpty():
+        for x in ("a", "b"):
+            out = out.union(met.where(~near).join(twice, F.col(x) == F.col("id"), "left_semi"))
+    return out
+
+
 def _met(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every place of a key in a document with the first place in the document before it (by id) that has the key; and the
     further places (id, p) in documents that are before another one."""

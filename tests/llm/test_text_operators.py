@@ -184,6 +184,26 @@ def test_passages_that_a_document_repeats(spark):
     assert set(found) <= set(want)
 
 
+def test_texts_move_for_long_runs_only(spark, monkeypatch):
+    import random
+
+    from prose import prose
+
+    rng = random.Random(23)
+    phrase, passage, other = prose(rng, 12, 10**6), prose(rng, 70, 10**6), prose(rng, 70, 10**6)
+    rows = [(i, " ".join(prose(rng, 40, 10**6) + phrase + prose(rng, 40, 10**6))) for i in range(30)]
+    rows += [(i, " ".join(prose(rng, 30, 10**6) + passage + prose(rng, 30, 10**6))) for i in (30, 31)]
+    head = prose(rng, 30, 10**6)  # an id with two texts that have the passage at one place, and different words before it
+    rows += [(32, " ".join(head + other)), (32, " ".join(head[:20] + prose(rng, 10, 10**6) + other[:60])), (33, " ".join(head[5:] + other)), (34, " ".join(prose(rng, 9, 10**6) + other))]
+    moved, matched = [], paragraphs.matched
+    monkeypatch.setattr(paragraphs, "matched", lambda pairs, *a: (moved.append({(r.a, r.b) for r in pairs.select("a", "b").collect()}), matched(pairs, *a))[1])
+    found, want = collections.defaultdict(set), repeats(rows, 50)
+    for r in paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        found[r.id] |= set(range(r.start, r.end))
+    assert {31, 33, 34} <= set(found) and all(want[i] <= found[i] for i in (31, 33, 34))
+    assert moved[0] <= {(30, 31), (32, 33), (33, 34)} and (30, 31) in moved[0]  # no two texts that share the phrase alone
+
+
 def test_edited_passages(spark):
     """Pairs of documents that share an edited passage: how much of it is found, by brute force knowledge of where it lies."""
     import random

@@ -59,16 +59,26 @@ def permuted(position: Column, m: int, key: Column) -> Column:
     0..m-1 is permuted again until it is inside (cycle walking), which gives a permutation of 0..m-1."""
     side = F.lit(math.isqrt(max(m - 1, 0)) + 1).cast("bigint")
 
+    def added(high: Column, low: Column, i: Column) -> Column:
+        drawn = hash_int(F.concat_ws("-", low.cast("string"), i.cast("string"), key), "")
+        return F.pmod(high + drawn, side)
+
     def network(x: Column) -> Column:
         def swap(x: Column, i: Column) -> Column:
             half = F.pmod(x, side)
-            drawn = hash_int(F.concat_ws("-", half.cast("string"), i.cast("string"), key), "")
-            return half * side + F.pmod(F.floor(x / side).cast("bigint") + drawn, side)
+            return half * side + added(F.floor(x / side).cast("bigint"), half, i)
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x.cast("bigint"), swap)
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), network(position), lambda x, _: F.when(x < m, x).otherwise(network(x)))
-    return F.when(walked < m, walked).otherwise(F.raise_error(F.lit("no position found")).cast("bigint"))
+    # the first pass, after which nearly all positions are inside, is written out: lambdas are interpreted row by row, plain
+    # expressions are compiled, and each round's is evaluated once
+    high, low = F.floor(position / side).cast("bigint"), F.pmod(position.cast("bigint"), side)
+    for i in range(1, ROUNDS + 1):
+        high, low = low, added(high, low, F.lit(i))
+    first = high * side + low
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, lambda x, _: F.when(x < m, x).otherwise(network(x)))
+    found = F.when(first < m, first).otherwise(walked)
+    return F.when(found < m, found).otherwise(F.raise_error(F.lit("no position found")).cast("bigint"))
 
 
 def sample_per_group(groups: DataFrame, items: DataFrame, group_key: str, k_col: str, item_key: str, seed
@@ -92,7 +102,8 @@ def sample_per_group(groups: DataFrame, items: DataFrame, group_key: str, k_col:
     chunks = (groups.select(group_key, k.alias("__k")).where(F.col("__k") > 0)
               .withColumn("__c", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                       F.floor((F.col("__k") - 1) / CHUNK).cast("bigint")))))
-    chunks = chunks.repartition(group_key, "__c")
+    # a number of partitions is given, because chunks are few bytes and much work: merged by size they would be one task
+    chunks = chunks.repartition(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")), group_key, "__c")
     lo = F.col("__c") * CHUNK
     hi = F.least(F.col("__k"), lo + CHUNK) - 1
     key = F.concat_ws("-", F.col(group_key).cast("string"), F.lit(str(seed)))

@@ -1,4 +1,6 @@
 import datetime as dt
+import hashlib
+import math
 
 from pyspark.sql import functions as F
 
@@ -49,6 +51,32 @@ def test_permuted_is_a_permutation(spark):
         assert sorted(got) == list(range(m))
 
 
+def test_permuted_gives_the_places_of_the_network(spark):
+    """Against the network in Python: six rounds, again while the place is outside."""
+    def place(x, m, key):
+        side = math.isqrt(m - 1) + 1
+        for _ in range(65):
+            for i in range(1, 7):
+                high, low = divmod(x, side)
+                drawn = int(hashlib.md5(f"{low}-{i}-{key}".encode()).hexdigest()[:15], 16)
+                x = low * side + (high + drawn) % side
+            if x < m:
+                return x
+
+    for m in (2, 5, 17, 1000):
+        got = spark.range(m).select("id", permuted(F.col("id"), m, F.lit("3-7")).alias("p")).collect()
+        assert {r.id: r.p for r in got} == {x: place(x, m, "3-7") for x in range(m)}
+
+
+def test_few_groups_are_drawn_by_many_tasks(spark):
+    """Small groups are few bytes, which must not be merged into one task: their picks are the work."""
+    groups = spark.range(500).select(F.col("id").alias("g"), F.lit(40).alias("k"))
+    s = sample_per_group(groups, spark.range(100).withColumnRenamed("id", "item"), "g", "k", "item", 5)
+    s.collect()
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (3, "x")], "k int, v string")
     assert [r.k for r in check_unique(df, ["k"]).collect()] == [1]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starload.operators import dims, lookup
 from starload.operators.merge import dedupe_latest, dedupe_stored
+from starload.operators.nested import nest_orders
 from starload.plans import warehouse
 from starload.plans.warehouse import empty_warehouse, run_batch
 from starload.schemas import DIM_CUSTOMER, RAW_ORDER, STG_TRAFFIC, empty_frame
@@ -92,3 +93,24 @@ def test_customers_join_orders_before_lines(spark, tmp_path):
         spark.createDataFrame([], columns).write.parquet(str(tmp_path / f"{name}.parquet"))
     plan = bindings.stg_orders(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan[plan.index("(o_custkey"):]
+
+
+def test_lines_of_an_order_are_not_moved_again_to_be_nested(spark, tmp_path):
+    n = 4000
+    ids = spark.range(n)
+    tables = {"lineitem": spark.range(3 * n).selectExpr("id % 4000 as l_orderkey", "cast(id / 4000 as int) as l_linenumber", "id % 4000 as l_partkey", "1L as l_suppkey", "2.0D as l_quantity"),
+              "orders": ids.selectExpr("id as o_orderkey", "id as o_custkey"), "customer": ids.selectExpr("id as c_custkey", "md5(string(id)) as c_name", "0 as c_nationkey"),
+              "nation": spark.sql("select 0 as n_nationkey, 'N' as n_name, 0 as n_regionkey"), "region": spark.sql("select 0 as r_regionkey, 'R' as r_name"),
+              "part": ids.selectExpr("id as p_partkey", "md5(string(id)) as p_brand", "md5(string(-id)) as p_name", "1 as p_size", "'T' as p_type", "1.5D as p_retailprice")}
+    for name, rows in tables.items():
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")  # only nations are small
+    try:
+        nested = nest_orders(bindings.stg_orders(spark, str(tmp_path)))
+        rows = nested.collect()
+        plan = nested._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(rows) == n and {len(r.item_list) for r in rows} == {3}
+    assert "SortMergeJoin" in plan and "hashpartitioning(order_id" not in plan

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from starload.operators import dims, lookup
+from starload.operators import dims, lookup, merge
 from starload.operators.merge import dedupe_latest, dedupe_stored
 from starload.operators.nested import nest_orders
 from starload.plans import warehouse
@@ -114,3 +114,23 @@ def test_lines_of_an_order_are_not_moved_again_to_be_nested(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(rows) == n and {len(r.item_list) for r in rows} == {3}
     assert "SortMergeJoin" in plan and "hashpartitioning(order_id" not in plan
+
+
+def test_only_rows_of_days_with_repeats_are_moved_to_find_them(spark, monkeypatch):
+    held = {}
+    real = merge.materialize
+    monkeypatch.setattr(merge, "materialize", lambda df, name="table": held.setdefault(name, real(df, name)))
+    rows = [(f"k{i}", i % 10, i) for i in range(100)] + [("k3", 3, 500), ("k3", 5, 400), ("k13", 3, 0), ("k77", 7, 7), (None, None, 1), (None, None, 2), ("x", None, 3)]
+    df = spark.createDataFrame(rows, "k string, day long, v long")
+    got = dedupe_stored(df, ["k"], "v", F.col("day") + 64 * 1000)
+    assert sorted(map(str, got.collect())) == sorted(map(str, dedupe_latest(df, ["k"], "v").collect()))
+    assert {r.day for r in held["once"].select("day").distinct().collect()} <= {None, 0, 3, 5, 7}
+    assert held["once"].where("day = 5").count() == 10 and held["once"].where("day = 4").count() == 0
+
+
+def test_as_of_rows_of_one_version_are_told_apart_by_a_small_table(spark):
+    dim = spark.createDataFrame([("a", 1, 10), ("b", 2, 10), ("b", 3, 20)], "bk string, sk long, e long").withColumn("row_eff_time", F.timestamp_seconds("e")).drop("e")
+    facts = spark.createDataFrame([(1, "a", 5), (2, "b", 25), (3, "b", None)], "id int, k string, t long")
+    got = lookup.lookup_asof(facts, dim, "k", "bk", "sk", F.timestamp_seconds("t"))
+    assert {r.id: r.sk for r in got.collect()} == {1: 1, 2: 3, 3: None}
+    assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()

@@ -8,6 +8,7 @@ rule and value with partial aggregates, and one anti-join with all parents' keys
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,29 +58,29 @@ def check_rules(tables: dict[str, DataFrame], rules: list[Rule], primary: dict[s
     everywhere in the library; a null refers to nothing and is left to the rules of the kind "not null".  An empty result means
     that all constraints hold."""
     looked = []
+    number = {r: n for n, r in enumerate(rules)}  # what is moved and counted names its rule by number
     for name, df in tables.items():
         of = [r for r in rules if r.table == name]
-        what = lambda r: F.struct(F.lit(r.name).alias("rule"), _key((primary[name],) if r.kind == "not null" else r.columns).alias("key"))
+        what = lambda r: F.struct(F.lit(number[r]).alias("no"), _key((primary[name],) if r.kind == "not null" else r.columns).alias("key"))
         when = {"not null": lambda r: F.col(r.columns[0]).isNull(), "foreign key": lambda r: F.col(r.columns[0]).isNotNull()}
         each = [F.when(when[r.kind](r), what(r)) if r.kind in when else what(r) for r in of]
         if each:
-            looked.append(df.select(F.lit(name).alias("table"), F.explode(F.array(*each)).alias("x")).where("x is not null").select("table", "x.*"))
+            looked.append(df.select(F.explode(F.array(*each)).alias("x")).where("x is not null").select("x.*"))
     seen = looked[0]
     for more in looked[1:]:
         seen = seen.unionByName(more)
-    counted = seen.groupBy("table", "rule", "key").agg(F.count(F.lit(1)).alias("n"))
-    kind = F.col("rule")
-    twice = (kind.startswith("primary key") | kind.startswith("unique")) & (F.col("n") > 1)
-    wrong = counted.where(twice | kind.startswith("not null"))
+    counted = seen.groupBy("no", "key").agg(F.count(F.lit(1)).alias("n"))
+    kind = lambda *kinds: F.col("no").isin([n for r, n in number.items() if r.kind in kinds])
+    wrong = counted.where((kind("primary key", "unique") & (F.col("n") > 1)) | kind("not null"))
     references = [r for r in rules if r.kind == "foreign key" and r.table in tables]
     if references:
         parents = sorted({r.parent for r in references})
-        keys = tables[parents[0]].select(F.lit(parents[0]).alias("__parent"), _key((primary[parents[0]],)).alias("__key"))
-        for p in parents[1:]:
-            keys = keys.unionByName(tables[p].select(F.lit(p).alias("__parent"), _key((primary[p],)).alias("__key")))
-        pointing = counted.where(kind.startswith("foreign key")).withColumn("__to", F.regexp_extract("rule", "-> (.*)$", 1))
+        keys = reduce(DataFrame.unionByName, [tables[p].select(F.lit(k).alias("__parent"), _key((primary[p],)).alias("__key")) for k, p in enumerate(parents)])
+        to = F.coalesce(*[F.when(F.col("no") == number[r], F.lit(parents.index(r.parent))) for r in references])
+        pointing = counted.where(kind("foreign key")).withColumn("__to", to)
         wrong = wrong.unionByName(pointing.join(keys, (F.col("__to") == F.col("__parent")) & (F.col("key") == F.col("__key")), "left_anti").drop("__to"))
-    return wrong.select("table", "rule", F.array_join("key", "|", "NULL").alias("key"), "n")
+    named = F.array(*[F.struct(F.lit(r.table).alias("table"), F.lit(r.name).alias("rule")) for r in rules])[F.col("no")]
+    return wrong.select(named["table"].alias("table"), named["rule"].alias("rule"), F.array_join("key", "|", "NULL").alias("key"), "n")
 
 
 def check_warehouse(tables: dict[str, DataFrame]) -> DataFrame:

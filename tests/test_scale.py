@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from starload.operators import dims, lookup, merge
 from starload.operators.merge import dedupe_latest, dedupe_stored
 from starload.operators.nested import nest_orders
-from starload.plans import warehouse
+from starload.plans import deltas, warehouse
+from starload.plans.constraints import check_warehouse
+from starload.plans.summary import build_periodic_summary
 from starload.plans.warehouse import empty_warehouse, run_batch
 from starload.schemas import DIM_CUSTOMER, RAW_ORDER, STG_TRAFFIC, empty_frame
 from starload.sources import bindings
 from starload.sources.landing import land, parse_lines, read_traffic
 from starload.streaming import ingest
+from test_constraints import SOUND
 from test_landing import order
 
 
@@ -134,3 +137,42 @@ def test_as_of_rows_of_one_version_are_told_apart_by_a_small_table(spark):
     got = lookup.lookup_asof(facts, dim, "k", "bk", "sk", F.timestamp_seconds("t"))
     assert {r.id: r.sk for r in got.collect()} == {1: 1, 2: 3, 3: None}
     assert "LeftAnti" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_distinct_counts_of_days_move_distinct_pairs_only(spark):
+    sales = spark.createDataFrame([(20240101, "o1", 1, 2, 1.5, 0.5), (20240101, "o1", 2, 1, 1.0, 0.5), (20240101, None, 3, 1, 1.0, 0.5), (20240102, None, None, 1, 1.0, None)],
+                                  "order_date_id int, order_id string, customer_id long, quantity int, revenue double, gross_profit double")
+    traffic = spark.createDataFrame([("s1", 20240101, 3, 1.0, 1, 0), ("s1", 20240101, 1, 1.0, 0, 0), (None, 20240101, 1, 1.0, 0, 0)],
+                                    "session_id string, visit_date_id int, page_views int, session_duration double, clicks int, transactions int")
+    customers = spark.createDataFrame([(1, "c"), (2, "c"), (3, "d")], "customer_id long, customer_bk string")
+    out = build_periodic_summary(sales, traffic, [20240101, 20240102], customers)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    got = {r.date_id: (r.unique_orders, r.unique_customers, r.quantity, r.num_sessions, r.page_views) for r in out.collect()}
+    assert got == {20240101: (1, 2, 4, 1, 5), 20240102: (0, 0, 1, 0, None)}
+    assert "Expand" not in plan
+
+
+def test_lines_that_go_to_their_parts_carry_one_order_key(spark, tmp_path):
+    test_customers_join_orders_before_lines(spark, tmp_path)
+    plan = bindings.stg_orders(spark, str(tmp_path), parts_last=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in plan[:plan.index("p_partkey")]
+
+
+def test_rules_are_counted_by_number(spark):
+    tables = {t: spark.createDataFrame(rows, schema) for t, (schema, rows) in SOUND.items()}
+    plan = check_warehouse(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(no" in plan and "hashpartitioning(table" not in plan
+
+
+def test_a_batch_of_deltas_finds_its_replaced_lines_once(spark, monkeypatch):
+    held = []
+    real = deltas.materialize
+    monkeypatch.setattr(deltas, "materialize", lambda df, name="table": held.append(name) or real(df, name))
+    sales = spark.createDataFrame([(20240101, "o1", 1, 2, 1.5, 0.5, 1), (20240101, "o1", 2, 1, 1.0, 0.5, 1), (20240101, None, None, 1, 1.0, 0.5, 1)],
+                                  "order_date_id int, order_id string, customer_id long, quantity int, revenue double, gross_profit double, sign int")
+    customers = spark.createDataFrame([(1, "c"), (2, "c")], "customer_id long, customer_bk string")
+    days, counts = deltas.change_days(empty_frame(spark, deltas.DAY_STATE), empty_frame(spark, deltas.VALUE_STATE), sales, None, customers, [20240101])
+    row = days.first()
+    assert (row.lines, row.unique_orders, row.unique_customers, row.quantity) == (3, 1, 1, 4)
+    assert sorted((r.kind, r.value, r.n) for r in counts.collect()) == [("customer", "c", 2), ("order", "o1", 2)]
+    assert held == ["signed_sales", "tally"]

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from starload.plans import warehouse
 from starload.plans.facts import UnresolvedKeyError
 from starload.plans.tables import load_warehouse
 from starload.plans.warehouse import empty_warehouse, run_batch
@@ -103,3 +104,15 @@ def test_fail_mode_names_malformed_records(spark, tmp_path):
     (src / "a.json").write_text("[1, 2")
     with pytest.raises(InvalidRecordError, match="malformed"):
         ingest_traffic(read_traffic(spark, str(tmp_path)), on_invalid="fail")
+
+
+def test_tables_of_a_stored_batch_are_written_once(spark, batches, tmp_path, monkeypatch):
+    names = []
+    real = warehouse.materialize
+    monkeypatch.setattr(warehouse, "materialize", lambda df, name="table": names.append(name) or real(df, name))
+    root = str(tmp_path / "wh")
+    twice = batches[0].unionByName(batches[0])
+    w = run_batch(spark, empty_warehouse(spark), twice, None, root=root)
+    assert waiting(w) == waiting(load_warehouse(spark, root)) == [("L1", "Ann", "no customer version", 1)]
+    assert facts(w) == [("L2", 2)] and w.dim_customer.count() == 2 and w.dim_sku.count() == 1
+    assert not {"dim_customer", "dim_sku", "quarantine_sales"} & set(names) and "fct_sales_batch" in names
